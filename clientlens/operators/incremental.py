@@ -46,9 +46,9 @@ def merge_incremental(target: DataFrame | None, new: DataFrame, key: str = "tran
 
 
 def refresh_fact_transactions(transactions: DataFrame, dim: DataFrame, target: DataFrame | None,
-                              lookback_days: int = 3, closed: str = "left") -> DataFrame:
+                              lookback_days: int = 3, closed: str = "left", last_year=None) -> DataFrame:
     """Q13 for the transaction fact: the lookback filter is applied to the staged
     transactions *before* the point-in-time join, so only the slice is joined."""
     batch = fact_transactions(select_batch(transactions, target, "event_timestamp", lookback_days),
-                              dim, closed)
+                              dim, closed, last_year)
     return merge_by_key(target, batch, "transaction_id")

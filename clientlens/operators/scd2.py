@@ -76,18 +76,23 @@ def _years(lo: Column, hi: Column) -> Column:
 
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
                        version_cols: list[str], closed: str = "both",
-                       valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+                       valid_from: str = "valid_from", valid_to: str = "valid_to",
+                       last_year: Column | None = None) -> DataFrame:
     """Left-join each fact to the version of its key valid at time ``ts``.
 
     ``closed='both'`` tests ``valid_from <= ts <= valid_to`` (a fact at midnight
     of a change day then meets two versions, as with SQL BETWEEN);
     ``closed='left'`` tests ``valid_from <= ts < valid_to`` (exactly one).
     ``version_cols`` are carried from the version side (renamed by the caller
-    if they clash with fact columns).
+    if they clash with fact columns). ``last_year`` is a scalar upper bound of
+    ``year(ts)`` over the facts; open-ended versions are replicated up to it.
     """
     if closed not in ("both", "left"):
         raise ValueError("closed must be 'both' or 'left'")
-    last_year = facts.agg(F.max(F.year(F.col(ts)))).scalar()
+    if last_year is None:
+        # any upper bound of the fact years is exact; callers pass one from a
+        # cheaper upstream table so the facts are not computed twice
+        last_year = facts.agg(F.max(F.year(F.col(ts)))).scalar()
     v = versions.select(
         F.col(key).alias("_vk"),
         F.col(valid_from).cast("timestamp").alias("_vf"),

@@ -8,18 +8,21 @@ reuse shuffles within one plan.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clientlens.operators import clean, dedup, intermediate, marts, scd2, staging
+from clientlens.session import scratch_path
 from clientlens.sources import adapters
 
 
 class Chain:
     def __init__(self, raw_customers: DataFrame, raw_transactions: DataFrame,
                  raw_loyalty_events: DataFrame, raw_support_tickets: DataFrame,
-                 as_of: str, run_ts: str, closed: str = "left"):
+                 as_of: str, run_ts: str, closed: str = "left", materialize: bool = False):
         self.raw_customers = raw_customers
         self.raw_transactions = raw_transactions
         self.raw_loyalty_events = raw_loyalty_events
@@ -27,16 +30,31 @@ class Chain:
         self.as_of = as_of
         self.run_ts = run_ts
         self.closed = closed
+        self.materialize = materialize
+        self._run_id = uuid.uuid4().hex
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Cut the lineage of a dataset that many branches read.
+
+        It is written once as Parquet under the shared folder named by
+        ``spark.checkpoint.dir`` and read back: computed once, re-readable
+        after an executor loss, and with real size statistics for the planner.
+        """
+        if not self.materialize:
+            return df
+        path = scratch_path(df.sparkSession, f"chain-{self._run_id}/{name}")
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, midnight: bool = False,
                     closed: str = "left", as_of: str = adapters.AS_OF,
-                    run_ts: str = adapters.RUN_TS) -> "Chain":
+                    run_ts: str = adapters.RUN_TS, materialize: bool = True) -> "Chain":
         return cls(adapters.raw_customers(spark, sf_dir),
                    adapters.raw_transactions(spark, sf_dir, midnight=midnight),
                    adapters.raw_loyalty_events(spark, sf_dir),
                    adapters.raw_support_tickets(spark, sf_dir),
-                   as_of, run_ts, closed)
+                   as_of, run_ts, closed, materialize)
 
     # processed zone -----------------------------------------------------------
     @cached_property
@@ -53,11 +71,11 @@ class Chain:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return dedup.dedupe_customers(self.raw_customers)
+        return self._keep("customers", dedup.dedupe_customers(self.raw_customers))
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return clean.compute_rolling_spend(self.clean_transactions)
+        return self._keep("transactions", clean.compute_rolling_spend(self.clean_transactions))
 
     @cached_property
     def messages(self) -> DataFrame:
@@ -93,6 +111,15 @@ class Chain:
     def int_customer_support(self) -> DataFrame:
         return intermediate.int_customer_support(self.stg_support_ticket_messages, self.stg_customers)
 
+    # upper bounds of event years, from the cheapest upstream table --------------
+    @cached_property
+    def transaction_year_bound(self):
+        return self.clean_transactions.agg(F.max(F.year("event_timestamp"))).scalar()
+
+    @cached_property
+    def ticket_year_bound(self):
+        return self.stg_support_ticket_messages.agg(F.max(F.year("opened_at"))).scalar()
+
     # marts --------------------------------------------------------------------
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -100,11 +127,13 @@ class Chain:
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
-        return marts.fact_transactions(self.stg_transactions, self.dim_customer, self.closed)
+        return marts.fact_transactions(self.stg_transactions, self.dim_customer, self.closed,
+                                       self.transaction_year_bound)
 
     @cached_property
     def fact_support(self) -> DataFrame:
-        return marts.fact_support(self.int_customer_support, self.dim_customer, self.run_ts)
+        return marts.fact_support(self.int_customer_support, self.dim_customer, self.run_ts,
+                                  last_year=self.ticket_year_bound)
 
     @cached_property
     def feature_store_customer(self) -> DataFrame:

@@ -125,8 +125,9 @@ def q_fact_transactions_incremental(spark, sf_dir):
     c = _chain(spark, sf_dir)
     first = staging.stg_transactions(c.transactions, FIRST_RUN_TS).filter(
         F.col("event_timestamp") < F.lit(INCREMENTAL_SPLIT).cast("timestamp"))
-    target = marts.fact_transactions(first, c.dim_customer)
-    return incremental.refresh_fact_transactions(c.stg_transactions, c.dim_customer, target, 3)
+    target = marts.fact_transactions(first, c.dim_customer, last_year=c.transaction_year_bound)
+    return incremental.refresh_fact_transactions(c.stg_transactions, c.dim_customer, target, 3,
+                                                 last_year=c.transaction_year_bound)
 
 
 def q_fact_support(spark, sf_dir):

@@ -85,5 +85,9 @@ def check_raw_inputs(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
 
 
 def corrupt_rows(df: DataFrame) -> DataFrame:
-    """Rows whose CSV fields failed to parse (needs ``keep_corrupt=True``)."""
+    """Rows whose CSV fields failed to parse (needs ``keep_corrupt=True``).
+
+    Spark refuses queries that reference only the corrupt-record column of a
+    raw file, so report or write these rows whole (all columns).
+    """
     return df.filter(F.col(CORRUPT).isNotNull())

@@ -1,0 +1,24 @@
+"""T1-T4."""
+
+import pytest
+
+from clientlens.operators import quality
+
+
+def test_checks_and_gate(spark):
+    df = spark.createDataFrame([("a", "GOLD"), ("a", "SILVER"), (None, "TIN"), ("b", None), ("c", "TIN"),
+                                ("d", "COPPER")], "customer_id string, loyalty_tier string")
+    checks = quality._checks("m", {"customer_id": ["unique", "not_null"],
+                                   "loyalty_tier": [("accepted_values", quality.TIERS if hasattr(quality, "TIERS")
+                                                     else ["BRONZE", "SILVER", "GOLD", "PLATINUM"])]})
+    res = {(r.column_name, r.test_name): r.failures for r in quality.run_checks({"m": df}, checks).collect()}
+    assert res == {("customer_id", "unique"): 1, ("customer_id", "not_null"): 1,
+                   ("loyalty_tier", "accepted_values"): 2}        # TIN and COPPER; NULL passes
+    with pytest.raises(quality.DataQualityError):
+        quality.assert_passing(quality.run_checks({"m": df}, checks))
+    ok = spark.createDataFrame([("a", "GOLD"), ("b", None)], "customer_id string, loyalty_tier string")
+    assert quality.assert_passing(quality.run_checks({"m": ok}, checks)) == 3
+
+
+def test_check_counts_match_the_declared_suite():
+    assert len(quality.STAGING_CHECKS) == 14 and len(quality.MART_CHECKS) == 22
