@@ -23,6 +23,24 @@ def deletion_keys_1(s: Column) -> Column:
     return F.array_distinct(F.concat(F.array(s), F.when(n > 0, dels).otherwise(F.array().cast("array<string>"))))
 
 
+def explode_deletion_keys_1(df, src: str, out: str):
+    """Rows of ``df`` repeated once per distinct member of ``src``'s
+    one-deletion neighbourhood (``src`` itself included), in column ``out``.
+
+    Deleting any character of a run of equal characters gives the same
+    string, so one deletion per run is emitted: exactly the distinct keys,
+    generated with a codegen'd explode + substring instead of array lambdas.
+    """
+    s = F.col(src)
+    n = F.length(s)
+    pos = F.explode(F.sequence(F.lit(-1), F.greatest(n - 1, F.lit(-1)))).alias("_dpos")
+    p = F.col("_dpos")
+    key = F.when(p < 0, s).otherwise(F.concat(s.substr(F.lit(1), p), s.substr(p + 2, n)))
+    run_start = (p <= 0) | (s.substr(p + 1, F.lit(1)) != s.substr(p, F.lit(1)))
+    return (df.select("*", pos).filter(run_start)
+              .withColumn(out, key).drop("_dpos"))
+
+
 def deletion_keys_2(s: Column) -> Column:
     """array: ``s`` and every string with one or two characters removed."""
     return F.array_distinct(F.flatten(F.transform(deletion_keys_1(s), deletion_keys_1)))

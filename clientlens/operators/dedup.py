@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.functions.scalar import email_prefix, normalize
-from clientlens.functions.text import deletion_keys_1, deletion_keys_2
+from clientlens.functions.text import deletion_keys_1, deletion_keys_2, explode_deletion_keys_1
 
 FIRST_MAX = 1
 PREFIX_MAX = 2
@@ -65,20 +65,26 @@ def matching_groups(df: DataFrame, first_max: int = FIRST_MAX, prefix_max: int =
     groups = (_comparison_values(df).groupBy(*VALUE_COLS)
               .agg(F.min("customer_id").alias("min_id"), F.count(F.lit(1)).alias("n")))
 
-    keyed = groups.select("min_id", *VALUE_COLS,
-                          F.explode(deletion_keys_1(F.col("_fn"))).alias("_fk"))
+    keyed = explode_deletion_keys_1(groups.select("min_id", *VALUE_COLS), "_fn", "_fk")
     sizes = keyed.groupBy("_ln", "_st", "_fk").agg(F.count(F.lit(1)).alias("_kn"))
     keyed = keyed.join(sizes, ["_ln", "_st", "_fk"])
 
     def pairs(side: DataFrame, keys: list[str]) -> DataFrame:
-        a = side.select(*keys, "_fn", "_ep")
-        b = side.select(*keys, F.col("_fn").alias("o_fn"), F.col("_ep").alias("o_ep"),
-                        F.col("min_id").alias("other_min_id"))
-        return (a.join(b, keys)
-                 .filter(((F.col("_fn") != F.col("o_fn")) | (F.col("_ep") != F.col("o_ep")))
-                         & _within(F.col("_fn"), F.col("o_fn"), first_max)
-                         & _within(F.col("_ep"), F.col("o_ep"), prefix_max))
-                 .select(*VALUE_COLS, "o_fn", "o_ep", "other_min_id"))
+        # both sides are the same projection, so they share one shuffle
+        side = side.select(*keys, "_fn", "_ep", "min_id")
+        a, b = side.alias("a"), side.alias("b")
+        on = [F.col("a." + k) == F.col("b." + k) for k in keys]
+        cond = on[0]
+        for c in on[1:]:
+            cond = cond & c
+        return (a.join(b, cond)
+                 .filter(((F.col("a._fn") != F.col("b._fn")) | (F.col("a._ep") != F.col("b._ep")))
+                         & _within(F.col("a._fn"), F.col("b._fn"), first_max)
+                         & _within(F.col("a._ep"), F.col("b._ep"), prefix_max))
+                 .select(F.col("a._ln").alias("_ln"), F.col("a._st").alias("_st"),
+                         F.col("a._fn").alias("_fn"), F.col("a._ep").alias("_ep"),
+                         F.col("b._fn").alias("o_fn"), F.col("b._ep").alias("o_ep"),
+                         F.col("b.min_id").alias("other_min_id")))
 
     small = keyed.filter(F.col("_kn") <= split_above)
     pk = deletion_keys_2(F.col("_ep")) if prefix_max == 2 else deletion_keys_1(F.col("_ep"))

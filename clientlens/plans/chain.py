@@ -22,7 +22,8 @@ from clientlens.sources import adapters
 class Chain:
     def __init__(self, raw_customers: DataFrame, raw_transactions: DataFrame,
                  raw_loyalty_events: DataFrame, raw_support_tickets: DataFrame,
-                 as_of: str, run_ts: str, closed: str = "left", materialize: bool = False):
+                 as_of: str, run_ts: str, closed: str = "left", materialize: bool = False,
+                 materialize_marts: bool = False):
         self.raw_customers = raw_customers
         self.raw_transactions = raw_transactions
         self.raw_loyalty_events = raw_loyalty_events
@@ -31,6 +32,7 @@ class Chain:
         self.run_ts = run_ts
         self.closed = closed
         self.materialize = materialize
+        self.materialize_marts = materialize_marts
         self._run_id = uuid.uuid4().hex
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
@@ -42,6 +44,9 @@ class Chain:
         """
         if not self.materialize:
             return df
+        return self._write(name, df)
+
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
         path = scratch_path(df.sparkSession, f"chain-{self._run_id}/{name}")
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.parquet(path)
@@ -49,12 +54,20 @@ class Chain:
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, midnight: bool = False,
                     closed: str = "left", as_of: str = adapters.AS_OF,
-                    run_ts: str = adapters.RUN_TS, materialize: bool = True) -> "Chain":
+                    run_ts: str = adapters.RUN_TS, materialize: bool = True,
+                    materialize_marts: bool = False) -> "Chain":
         return cls(adapters.raw_customers(spark, sf_dir),
                    adapters.raw_transactions(spark, sf_dir, midnight=midnight),
                    adapters.raw_loyalty_events(spark, sf_dir),
                    adapters.raw_support_tickets(spark, sf_dir),
-                   as_of, run_ts, closed, materialize)
+                   as_of, run_ts, closed, materialize, materialize_marts)
+
+    def reuse_processed(self, other: "Chain") -> "Chain":
+        """Start from ``other``'s processed datasets (already built)."""
+        for name in ("split", "customers", "transactions", "messages"):
+            if name in other.__dict__ or name in ("customers", "transactions"):
+                self.__dict__[name] = getattr(other, name)
+        return self
 
     # processed zone -----------------------------------------------------------
     @cached_property
@@ -120,25 +133,32 @@ class Chain:
     def ticket_year_bound(self):
         return self.stg_support_ticket_messages.agg(F.max(F.year("opened_at"))).scalar()
 
+    def _mart(self, name: str, df: DataFrame) -> DataFrame:
+        return self._write(name, df) if self.materialize_marts else df
+
     # marts --------------------------------------------------------------------
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return marts.dim_customer(self.stg_customers, self.int_customer_loyalty, self.as_of)
+        return self._mart("dim_customer",
+                          marts.dim_customer(self.stg_customers, self.int_customer_loyalty, self.as_of))
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
-        return marts.fact_transactions(self.stg_transactions, self.dim_customer, self.closed,
-                                       self.transaction_year_bound)
+        return self._mart("fact_transactions",
+                          marts.fact_transactions(self.stg_transactions, self.dim_customer, self.closed,
+                                                  self.transaction_year_bound))
 
     @cached_property
     def fact_support(self) -> DataFrame:
-        return marts.fact_support(self.int_customer_support, self.dim_customer, self.run_ts,
-                                  last_year=self.ticket_year_bound)
+        return self._mart("fact_support",
+                          marts.fact_support(self.int_customer_support, self.dim_customer, self.run_ts,
+                                             last_year=self.ticket_year_bound))
 
     @cached_property
     def feature_store_customer(self) -> DataFrame:
-        return marts.feature_store_customer(self.dim_customer, self.fact_transactions,
-                                            self.fact_support, self.as_of, self.run_ts)
+        return self._mart("feature_store_customer",
+                          marts.feature_store_customer(self.dim_customer, self.fact_transactions,
+                                                       self.fact_support, self.as_of, self.run_ts))
 
     def staging_tables(self) -> dict[str, DataFrame]:
         return {"stg_customers": self.stg_customers, "stg_transactions": self.stg_transactions,
