@@ -7,16 +7,18 @@ Both avoid a window or join whose partition is one whole key:
   ordered window then runs over that collapsed table, whose size per key is
   bounded by calendar days, and the rows are expanded back afterwards in
   chunks of at most ``chunk_rows`` rows per task.
-* interval join: versions are replicated once per calendar year they cover
-  (open ends clipped to the last fact year) and joined on (key, year) plus the
-  range test, so a key with many facts is split by AQE's skew handling and
-  never meets all of its versions at once.
+* interval join: the range test runs on distinct (key, day, midnight) points
+  of the facts, not on fact rows, against versions replicated once per
+  calendar year they cover; facts then take their matches by an equi-join on
+  the point. A key with many facts never meets its versions row by row, and a
+  key with many versions meets at most 732 points per year.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from clientlens.functions.scalar import open_end
 
@@ -74,6 +76,15 @@ def _years(lo: Column, hi: Column) -> Column:
     return F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
 
+def _by_year(versions: DataFrame, key: str, valid_from: str, valid_to: str, version_cols: list[str],
+             last_year) -> DataFrame:
+    """Versions replicated once per calendar year they cover (open ends clipped
+    to ``last_year``), keyed ``_vk``/``_vy`` with bounds ``_vf``/``_vt``."""
+    v = versions.select(F.col(key).alias("_vk"), F.col(valid_from).alias("_vf"),
+                        F.col(valid_to).alias("_vt"), *version_cols)
+    return v.withColumn("_vy", F.explode(_years(F.year("_vf"), F.least(F.year("_vt"), last_year))))
+
+
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
                        version_cols: list[str], closed: str = "both",
                        valid_from: str = "valid_from", valid_to: str = "valid_to",
@@ -86,19 +97,53 @@ def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
     ``version_cols`` are carried from the version side (renamed by the caller
     if they clash with fact columns). ``last_year`` is a scalar upper bound of
     ``year(ts)`` over the facts; open-ended versions are replicated up to it.
+
+    With date bounds (the SCD2 dimension), whether a fact falls in a version
+    depends only on (key, date of ``ts``, ``ts`` at midnight), so the range test
+    runs on the distinct such *points* — at most 732 per key and year, however
+    many facts a key has — inner-joined to the versions by (key, year), which
+    AQE may split on either side. Facts then meet their matches by an equi-join
+    on the point, spread over tasks by (key, day).
     """
     if closed not in ("both", "left"):
         raise ValueError("closed must be 'both' or 'left'")
+    date_bounds = all(isinstance(versions.schema[c].dataType, DateType) for c in (valid_from, valid_to))
+    if not date_bounds:
+        return _interval_join(facts, versions, key, ts, version_cols, closed, valid_from, valid_to, last_year)
+    both = closed == "both"
+    t = F.col(ts)
+    f = facts.withColumn("_pd", F.to_date(t))
+    if both:
+        f = f.withColumn("_pm", t == F.col("_pd").cast("timestamp"))
+    pkeys = [key, "_pd"] + (["_pm"] if both else [])
+    points = (f.select(*pkeys).filter(F.col(key).isNotNull() & F.col("_pd").isNotNull()).distinct()
+              .withColumn("_py", F.year("_pd")))
+    if last_year is None:
+        last_year = points.agg(F.max("_py")).scalar()
+    v = _by_year(versions, key, valid_from, valid_to, version_cols, last_year)
+    d, vt = F.col("_pd"), F.col("_vt")
+    if both:
+        upper = (d < vt) | ((d == vt) & F.col("_pm"))
+    else:
+        upper = d < vt
+        v = v.filter(F.col("_vf") < vt)            # empty versions match nothing
+    matches = (points.join(v, (F.col(key) == F.col("_vk")) & (F.col("_py") == F.col("_vy"))
+                           & (d >= F.col("_vf")) & upper)
+               .select(*[F.col(k).alias("_m" + k) for k in pkeys], *version_cols))
+    on = [F.col(k) == F.col("_m" + k) for k in pkeys]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return f.join(matches, cond, "left").drop(*pkeys[1:], *["_m" + k for k in pkeys])
+
+
+def _interval_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, version_cols: list[str],
+                   closed: str, valid_from: str, valid_to: str, last_year) -> DataFrame:
+    """Timestamp bounds: facts join the versions by (key, year) plus the range test."""
     if last_year is None:
-        # any upper bound of the fact years is exact; callers pass one from a
-        # cheaper upstream table so the facts are not computed twice
         last_year = facts.agg(F.max(F.year(F.col(ts)))).scalar()
-    v = versions.select(
-        F.col(key).alias("_vk"),
-        F.col(valid_from).cast("timestamp").alias("_vf"),
-        F.col(valid_to).cast("timestamp").alias("_vt"),
-        *version_cols)
-    v = v.withColumn("_vy", F.explode(_years(F.year("_vf"), F.least(F.year("_vt"), last_year))))
+    v = _by_year(versions, key, valid_from, valid_to, version_cols, last_year)
+    v = v.withColumn("_vf", F.col("_vf").cast("timestamp")).withColumn("_vt", F.col("_vt").cast("timestamp"))
     f = facts.withColumn("_fy", F.year(F.col(ts)))
     t = F.col(ts)
     upper = (t <= F.col("_vt")) if closed == "both" else (t < F.col("_vt"))

@@ -34,6 +34,7 @@ class Chain:
         self.materialize = materialize
         self.materialize_marts = materialize_marts
         self._run_id = uuid.uuid4().hex
+        self._written = materialize      # processed tables are read back from files
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         """Cut the lineage of a dataset that many branches read.
@@ -67,6 +68,7 @@ class Chain:
         for name in ("split", "customers", "transactions", "messages"):
             if name in other.__dict__ or name in ("customers", "transactions"):
                 self.__dict__[name] = getattr(other, name)
+        self._written = other._written
         return self
 
     # processed zone -----------------------------------------------------------
@@ -127,7 +129,10 @@ class Chain:
     # upper bounds of event years, from the cheapest upstream table --------------
     @cached_property
     def transaction_year_bound(self):
-        return self.clean_transactions.agg(F.max(F.year("event_timestamp"))).scalar()
+        # the written processed table when there is one (a pruned Parquet
+        # read), else the cleaning split, which is cheaper than rolling spend
+        src = self.transactions if self._written else self.clean_transactions
+        return src.agg(F.max(F.year("event_timestamp"))).scalar()
 
     @cached_property
     def ticket_year_bound(self):

@@ -46,7 +46,11 @@ def _processed(spark: SparkSession, sf_dir: str, midnight: bool = False, closed:
     models. Staging, intermediate and mart queries start from it lazily."""
     key = _key(spark, sf_dir, "processed", midnight)
     if key not in _BUILT:
-        _BUILT[key] = Chain.from_tables(spark, sf_dir, midnight=midnight, materialize=True)
+        built = Chain.from_tables(spark, sf_dir, midnight=midnight, materialize=True)
+        if midnight:
+            # event times do not reach the customer table: its written copy is shared
+            built.__dict__["customers"] = _processed(spark, sf_dir).customers
+        _BUILT[key] = built
     base = _BUILT[key]
     c = Chain(base.raw_customers, base.raw_transactions, base.raw_loyalty_events, base.raw_support_tickets,
               base.as_of, base.run_ts, closed)

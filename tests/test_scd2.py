@@ -92,3 +92,52 @@ def test_point_in_time_equals_range_join(spark):
         a = sorted((r.fid, r.tag) for r in got.select("fid", "tag").collect())
         b = sorted((r.fid, r.tag) for r in want.select("fid", "tag").collect())
         assert a == b, closed
+
+
+def _brute(facts, versions, closed):
+    v = versions.withColumnRenamed("customer_id", "vc")
+    upper = (F.col("ts") <= F.col("valid_to").cast("timestamp")) if closed == "both" else \
+        (F.col("ts") < F.col("valid_to").cast("timestamp"))
+    return facts.join(v, (F.col("customer_id") == F.col("vc"))
+                      & (F.col("ts") >= F.col("valid_from").cast("timestamp")) & upper, "left")
+
+
+def test_point_in_time_hot_key_with_same_day_versions(spark):
+    # one key holds most facts and many versions, several of them empty
+    # (same-date ties), which only a midnight fact meets under BETWEEN
+    rnd = random.Random(5)
+    vrows, d = [], date(2020, 1, 1)
+    for i in range(60):
+        nd = d if rnd.random() < 0.3 else d + timedelta(days=rnd.randint(1, 40))
+        vrows.append(("hot", d, nd, f"h{i}"))
+        d = nd
+    vrows.append(("hot", d, date(9999, 12, 31), "hlast"))
+    vrows.append(("cold", date(2020, 5, 5), date(9999, 12, 31), "c0"))
+    frows = []
+    for i in range(3000):
+        c = "hot" if rnd.random() < 0.9 else "cold"
+        day = date(2019, 12, 1) + timedelta(days=rnd.randint(0, 1000))
+        ts = datetime.combine(day, datetime.min.time())
+        if rnd.random() < 0.6:
+            ts += timedelta(seconds=rnd.randint(0, 86399))
+        frows.append((str(i), c, ts))
+    frows.append(("nullts", "hot", None))
+    versions, facts = spark.createDataFrame(vrows, VERS), spark.createDataFrame(frows, FACT)
+    for closed in ("both", "left"):
+        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed)
+        assert got.columns == facts.columns + ["tag"]
+        a = sorted((r.fid, str(r.tag)) for r in got.select("fid", "tag").collect())
+        b = sorted((r.fid, str(r.tag)) for r in _brute(facts, versions, closed).select("fid", "tag").collect())
+        assert a == b, closed
+
+
+def test_point_in_time_timestamp_bounds(spark):
+    versions = spark.createDataFrame([("c", datetime(2021, 1, 1, 12), datetime(2021, 1, 2, 12), "v1"),
+                                      ("c", datetime(2021, 1, 2, 12), datetime(2030, 1, 1), "v2")],
+                                     "customer_id string, valid_from timestamp, valid_to timestamp, tag string")
+    facts = spark.createDataFrame([("a", "c", datetime(2021, 1, 1, 11)), ("b", "c", datetime(2021, 1, 2, 12)),
+                                   ("c", "c", datetime(2021, 1, 2, 11, 59))], FACT)
+    for closed, want in (("both", [("a", "None"), ("b", "v1"), ("b", "v2"), ("c", "v1")]),
+                         ("left", [("a", "None"), ("b", "v2"), ("c", "v1")])):
+        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed)
+        assert sorted((r.fid, str(r.tag)) for r in got.collect()) == want
