@@ -8,6 +8,7 @@ each query for the correctness check.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 
 from clientlens.operators import clean, dedup, incremental, kpis, marts, quality, staging
 from clientlens.plans.chain import Chain
-from clientlens.sources import adapters
+from clientlens.plans.pipeline import RunResult, run_from_files
+from clientlens.session import scratch_path
+from clientlens.sources import adapters, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +35,7 @@ def _chain(spark: SparkSession, sf_dir: str, **kw) -> Chain:
     return Chain.from_tables(spark, sf_dir, materialize=False, **kw)
 
 
-_BUILT: dict[tuple, Chain] = {}
+_BUILT: dict[tuple, object] = {}   # built chains, raw-file folders, daily runs
 
 
 def _key(spark: SparkSession, sf_dir: str, *rest) -> tuple:
@@ -70,6 +73,61 @@ def _built(spark: SparkSession, sf_dir: str) -> Chain:
     return _BUILT[key]
 
 
+def _raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw inputs written once per application and input folder as the
+    sources deliver them (NDJSON, headered CSV), in the shared checkpoint folder."""
+    key = _key(spark, sf_dir, "raw-files")
+    if key not in _BUILT:
+        _BUILT[key] = adapters.write_raw_inputs(spark, sf_dir, scratch_path(spark, f"raw-{uuid.uuid4().hex}"))
+    return _BUILT[key]
+
+
+def _raw_file(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return os.path.join(_raw_files(spark, sf_dir), adapters.RAW_FILES[name])
+
+
+def _daily_run(spark: SparkSession, sf_dir: str) -> RunResult:
+    """One full daily run over the raw files (zones written and re-read, both
+    data-test gates), once per application and input folder."""
+    key = _key(spark, sf_dir, "daily-run")
+    if key not in _BUILT:
+        root = scratch_path(spark, f"zones-{uuid.uuid4().hex}")
+        _BUILT[key] = run_from_files(spark, _raw_files(spark, sf_dir), root, adapters.AS_OF, adapters.RUN_TS)
+    return _BUILT[key]
+
+
+def q_scan_transactions_csv(spark, sf_dir):
+    """S2 + Q1: the headered CSV scan (header checked against the schema), clean rows."""
+    return clean.clean_transactions(readers.load_transactions(spark, _raw_file(spark, sf_dir, "transactions")))[0]
+
+
+def q_scan_customers_json(spark, sf_dir):
+    """The NDJSON customer scan under the explicit schema."""
+    return readers.load_customers(spark, _raw_file(spark, sf_dir, "customers"))
+
+
+def q_scan_loyalty_events_csv(spark, sf_dir):
+    """S4 + Q7: the loyalty CSV scan, staged."""
+    return staging.stg_loyalty_events(readers.load_loyalty_events(spark, _raw_file(spark, sf_dir, "loyalty_events")),
+                                      adapters.RUN_TS)
+
+
+def q_scan_support_tickets_json(spark, sf_dir):
+    """S3 + Q6: the nested NDJSON ticket scan, flattened to messages."""
+    return clean.flatten_support_tickets(readers.load_support_tickets(spark, _raw_file(spark, sf_dir,
+                                                                                         "support_tickets")))
+
+
+def q_daily_run_fact_transactions(spark, sf_dir):
+    """The committed transaction fact of a full run from the raw files."""
+    return _daily_run(spark, sf_dir).tables["fact_transactions"]
+
+
+def q_daily_run_feature_store(spark, sf_dir):
+    """The feature table of a full run from the raw files."""
+    return _daily_run(spark, sf_dir).tables["feature_store_customer"]
+
+
 def q_quarantine_clean(spark, sf_dir):
     return _chain(spark, sf_dir).clean_transactions
 

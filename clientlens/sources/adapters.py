@@ -138,18 +138,40 @@ def raw_ticket_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MESSAGES_PER_ROW = 256               # most messages one nested ticket row carries
+
+
 def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested ticket rows (the NDJSON input shape) built from the flat turns.
 
     This only re-creates the shape the source delivers; in production the
     nested rows arrive as files and are read by ``load_support_tickets``.
+    Turns are unique per conversation, so grouping by ``turn div
+    MESSAGES_PER_ROW`` bounds every array: a longer ticket arrives as several
+    rows with the same ticket columns, which flatten to the same messages.
     """
     m = raw_ticket_messages(spark, sf_dir)
     msgs = F.array_sort(F.collect_list(F.struct("turn", "sender", "text", "sent_at")))
-    return (m.groupBy("ticket_id", "customer_id", "opened_at", "category")
+    return (m.groupBy("ticket_id", "customer_id", "opened_at", "category",
+                      F.floor(F.col("turn") / MESSAGES_PER_ROW).alias("_part"))
             .agg(msgs.alias("m"))
             .select("ticket_id", "customer_id", "opened_at", "category",
                     F.transform("m", lambda x: F.struct(x["sender"].alias("sender"),
                                                         x["text"].alias("text"),
                                                         x["sent_at"].alias("sent_at")))
                     .cast(schemas.SUPPORT_TICKETS["messages"].dataType).alias("messages")))
+
+
+RAW_FILES = {"customers": "customers.json", "transactions": "transactions.csv",
+             "support_tickets": "support_tickets.json", "loyalty_events": "loyalty_events.csv"}
+
+
+def write_raw_inputs(spark: SparkSession, sf_dir: str, raw_dir: str) -> str:
+    """Write the four raw inputs as the sources deliver them (NDJSON / headered
+    CSV) under ``raw_dir``; ``readers`` and ``run_from_files`` read them back."""
+    p = lambda k: os.path.join(raw_dir, RAW_FILES[k])
+    raw_customers(spark, sf_dir).write.mode("overwrite").json(p("customers"))
+    raw_transactions(spark, sf_dir).write.mode("overwrite").option("header", True).csv(p("transactions"))
+    raw_support_tickets(spark, sf_dir).write.mode("overwrite").json(p("support_tickets"))
+    raw_loyalty_events(spark, sf_dir).write.mode("overwrite").option("header", True).csv(p("loyalty_events"))
+    return raw_dir

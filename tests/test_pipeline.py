@@ -9,11 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_pipeline_from_files_twice(spark, tmpdir_path):
-    raw = os.path.join(tmpdir_path, "raw")
-    adapters.raw_customers(spark, SF).write.json(os.path.join(raw, "customers.json"))
-    adapters.raw_transactions(spark, SF).write.option("header", True).csv(os.path.join(raw, "transactions.csv"))
-    adapters.raw_support_tickets(spark, SF).write.json(os.path.join(raw, "support_tickets.json"))
-    adapters.raw_loyalty_events(spark, SF).write.option("header", True).csv(os.path.join(raw, "loyalty_events.csv"))
+    raw = adapters.write_raw_inputs(spark, SF, os.path.join(tmpdir_path, "raw"))
     root = os.path.join(tmpdir_path, "zones")
 
     r1 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS)
