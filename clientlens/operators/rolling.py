@@ -15,6 +15,9 @@ frame is split into three pieces, each computed over a bounded partition:
 * boundary-day tail  (key, day) window again: the sum of seconds at or after
   the same time of day ``days`` days earlier, found with an as-of lookup.
 
+The per-second prefix table feeds three branches and is checkpointed once
+(to the shared folder named by ``spark.checkpoint.dir``).
+
 Sums are carried as exact decimals together with non-null counts, so a frame
 whose values are all NULL yields NULL, as in a window aggregate.
 """
@@ -34,7 +37,10 @@ def rolling_sum_count(df: DataFrame, key: str, ts: str, value: Column | str, cou
     non-null ``counted``) over the trailing ``days``-day frame of each row."""
     value = F.col(value) if isinstance(value, str) else value
     span = days * DAY
-    base = df.withColumn("_rk", F.col(key)).withColumn("_rs", F.unix_seconds(F.col(ts)))
+    # the key wrapped in a struct: never NULL and equal when both keys are NULL,
+    # so plain equi-joins keep NULL keys together (as a window partition does)
+    # and can reuse the (key, day) / (key, second) partitioning of earlier steps
+    base = df.withColumn("_rk", F.struct(F.col(key).alias("k"))).withColumn("_rs", F.unix_seconds(F.col(ts)))
 
     # one row per (key, second): peers in the same second collapse here
     per_sec = (base.filter(F.col("_rs").isNotNull())
@@ -51,6 +57,10 @@ def rolling_sum_count(df: DataFrame, key: str, ts: str, value: Column | str, cou
         "_rk", "_rd", "_rs", *metrics,
         *[F.sum(m).over(upto).alias("p_" + m) for m in metrics],
         *[F.sum(m).over(in_day).alias("d_" + m) for m in metrics])
+    # three branches read this table (daily totals, the as-of lookup, the
+    # final sum); cut the lineage once so the input is not scanned and
+    # shuffled per branch. The checkpoint keeps its (key, day) partitioning.
+    prefix = prefix.checkpoint(eager=True)
 
     # whole days strictly between the boundary days: window over daily totals
     daily = prefix.groupBy("_rk", "_rd").agg(*[F.first("d_" + m).alias("d_" + m) for m in metrics])
@@ -76,15 +86,12 @@ def rolling_sum_count(df: DataFrame, key: str, ts: str, value: Column | str, cou
              .filter(F.col("_probe") == 1)
              .select("_rk", F.col("_q").alias("_rs"), *["l_" + m for m in metrics]))
 
-    def same_key(a: str, b: str) -> Column:
-        return F.col(a).eqNullSafe(F.col(b))
-
     full_days = full_days.withColumnsRenamed({"_rk": "_fk", "_rd": "_fd"})
     tails = tails.withColumnsRenamed({"_rk": "_tk", "_rs": "_ts"})
     z = F.lit(0)
     per_second = (
-        prefix.join(full_days, same_key("_rk", "_fk") & (F.col("_rd") == F.col("_fd")), "left")
-              .join(tails, same_key("_rk", "_tk") & (F.col("_rs") == F.col("_ts")), "left")
+        prefix.join(full_days, (F.col("_rk") == F.col("_fk")) & (F.col("_rd") == F.col("_fd")), "left")
+              .join(tails, (F.col("_rk") == F.col("_tk")) & (F.col("_rs") == F.col("_ts")), "left")
               .select(F.col("_rk").alias("_ok"), F.col("_rs").alias("_os"),
                       *[(F.col("p_" + m) + F.coalesce(F.col("f_" + m), z) + F.coalesce(F.col("l_" + m), z))
                         .alias("w_" + m) for m in metrics]))
@@ -93,5 +100,5 @@ def rolling_sum_count(df: DataFrame, key: str, ts: str, value: Column | str, cou
         F.when(F.col("w_nv") > 0, F.col("w_s")).cast(sum_type).alias(sum_name),
         F.col("w_nc").cast("bigint").alias(count_name))
 
-    out = base.join(per_second, same_key("_rk", "_ok") & (F.col("_rs") == F.col("_os")), "left")
+    out = base.join(per_second, (F.col("_rk") == F.col("_ok")) & (F.col("_rs") == F.col("_os")), "left")
     return out.select(*df.columns, sum_name, count_name)
