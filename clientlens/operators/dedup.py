@@ -62,12 +62,16 @@ def matching_groups(df: DataFrame, first_max: int = FIRST_MAX, prefix_max: int =
     """
     if first_max != 1:
         raise ValueError("first-name neighbourhood keys are built for distance 1")
+    # both tables below feed several branches (key sizes, the two pair
+    # joins, thresholds, pair counts); each is computed once and its lineage
+    # cut, so the customer input is not re-scanned per branch
     groups = (_comparison_values(df).groupBy(*VALUE_COLS)
-              .agg(F.min("customer_id").alias("min_id"), F.count(F.lit(1)).alias("n")))
+              .agg(F.min("customer_id").alias("min_id"), F.count(F.lit(1)).alias("n"))
+              .checkpoint(eager=True))
 
     keyed = explode_deletion_keys_1(groups.select("min_id", *VALUE_COLS), "_fn", "_fk")
     sizes = keyed.groupBy("_ln", "_st", "_fk").agg(F.count(F.lit(1)).alias("_kn"))
-    keyed = keyed.join(sizes, ["_ln", "_st", "_fk"])
+    keyed = keyed.join(sizes, ["_ln", "_st", "_fk"]).checkpoint(eager=True)
 
     def pairs(side: DataFrame, keys: list[str]) -> DataFrame:
         # both sides are the same projection, so they share one shuffle
