@@ -62,7 +62,7 @@ def tier_history(customers: DataFrame, events: DataFrame, chunk_rows: int = 1 <<
         F.col("tier_sequence").cast("bigint").alias("tier_sequence"),
         raw_to.isNull().alias("is_current"))
 
-    has_events = events.select("customer_id").distinct()
+    has_events = combos.select("customer_id").distinct()      # reuses the combos shuffle
     without = (customers.join(has_events, "customer_id", "left_anti")
                .select("customer_id", "loyalty_tier",
                        F.col("signup_date").alias("valid_from"),

@@ -144,8 +144,12 @@ class Chain:
     # marts --------------------------------------------------------------------
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return self._mart("dim_customer",
-                          marts.dim_customer(self.stg_customers, self.int_customer_loyalty, self.as_of))
+        dim = marts.dim_customer(self.stg_customers, self.int_customer_loyalty, self.as_of)
+        if self.materialize_marts:
+            return self._write("dim_customer", dim)
+        # both facts and the feature table read the dimension: over a written
+        # processed zone its lineage is cut once instead of recomputed per reader
+        return dim.checkpoint(eager=True) if self._written else dim
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
