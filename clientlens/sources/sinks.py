@@ -7,9 +7,16 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Group rows by the partition columns before a partitioned write, so each
+    task writes few files; AQE's rebalance coalesces small groups and splits a
+    large one (a hot date is not one task)."""
+    return df.hint("rebalance", *partition_by)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """K1/K2/K4: full overwrite as Parquet, optionally Hive-partitioned."""
-    w = df.write.mode("overwrite")
+    w = (_rebalanced(df, partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -17,7 +24,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
 
@@ -72,3 +79,27 @@ def commit_version(spark: SparkSession, df: DataFrame, table_root: str,
     fs.delete(ptr, False)
     fs.rename(tmp, ptr)
     return os.path.join(table_root, name)
+
+
+def overwrite_partitions(spark: SparkSession, content: DataFrame, touched: DataFrame, table_path: str,
+                         part: str, stage_path: str) -> list:
+    """Replace the ``touched`` partitions of a partitioned Parquet table with ``content``.
+
+    The new content is written to ``stage_path`` first, so the table is never
+    read and overwritten by one job; it is then swapped in with dynamic
+    partition overwrite, and touched partitions left without rows are removed.
+    A failure before the swap leaves the table as it was; a re-run after a
+    failed swap recomputes the same partitions. Returns the removed values.
+    """
+    write_table(content, stage_path, [part])
+    staged = spark.read.parquet(stage_path)
+    # one row per touched partition value (bounded by the calendar), computed
+    # before the swap while the table still holds the replaced rows
+    emptied = [r[0] for r in touched.join(staged.select(part).distinct(), part, "left_anti").collect()]
+    write_partitions(staged, table_path, [part])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in emptied:
+        p = jvm.org.apache.hadoop.fs.Path(table_path, f"{part}={v.isoformat() if hasattr(v, 'isoformat') else v}")
+        p.getFileSystem(conf).delete(p, True)
+    return emptied

@@ -36,3 +36,34 @@ def test_update_inside_lookback_and_late_row_skipped(spark):
     got = rows(merge_incremental(target, batch))
     assert got == [("a", datetime(2024, 1, 12), 10), ("b", datetime(2024, 1, 8), 20),
                    ("c", datetime(2024, 1, 1), 3), ("e", datetime(2024, 1, 7), 5)]
+
+
+def test_partition_rewrite_touches_only_changed_dates(spark, tmpdir_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from clientlens.operators.incremental import rewrite_partitions, select_batch
+    from clientlens.sources import sinks
+
+    def part(df):
+        return df.withColumn("p", F.to_date("event_timestamp"))
+
+    table, stage = os.path.join(tmpdir_path, "t"), os.path.join(tmpdir_path, "stage")
+    target = part(spark.createDataFrame([("a", datetime(2024, 1, 10), 1), ("b", datetime(2024, 1, 8), 2),
+                                         ("c", datetime(2024, 1, 1), 3), ("f", datetime(2024, 1, 9), 6)], S))
+    sinks.write_table(target, table, ["p"])
+    untouched = sorted(os.listdir(os.path.join(table, "p=2024-01-01")))
+    t = spark.read.parquet(table)
+    batch = part(select_batch(spark.createDataFrame([
+        ("b", datetime(2024, 1, 8), 20), ("c", datetime(2024, 1, 1), 30), ("d", datetime(2024, 1, 6, 23), 4),
+        ("e", datetime(2024, 1, 7), 5), ("a", datetime(2024, 1, 12), 10)], S), t, "event_timestamp", 3))
+    content, touched = rewrite_partitions(t, batch, "transaction_id", "p")
+    assert sorted(str(r.p) for r in touched.collect()) == ["2024-01-07", "2024-01-08", "2024-01-10", "2024-01-12"]
+    emptied = sinks.overwrite_partitions(spark, content, touched, table, "p", stage)
+    assert [str(v) for v in emptied] == ["2024-01-10"]          # a moved away from Jan 10
+    got = rows(spark.read.parquet(table).drop("p"))
+    assert got == [("a", datetime(2024, 1, 12), 10), ("b", datetime(2024, 1, 8), 20),
+                   ("c", datetime(2024, 1, 1), 3), ("e", datetime(2024, 1, 7), 5), ("f", datetime(2024, 1, 9), 6)]
+    assert sorted(os.listdir(os.path.join(table, "p=2024-01-01"))) == untouched
+    assert not os.path.exists(os.path.join(table, "p=2024-01-10"))

@@ -30,3 +30,17 @@ def test_pipeline_from_files_twice(spark, tmpdir_path):
     cols = [c for c in r2.tables["fact_transactions"].columns]
     assert r2.tables["fact_transactions"].select(cols).exceptAll(spark.read.parquet(v1).select(cols)).count() == 0
     assert r2.tables["fact_transactions"].count() == n_fact
+
+
+def test_pipeline_partitioned_fact_refresh(spark, tmpdir_path):
+    raw = adapters.write_raw_inputs(spark, SF, os.path.join(tmpdir_path, "raw"))
+    root = os.path.join(tmpdir_path, "zones")
+    kw = dict(fact_layout="partitioned", fact_period="month")
+    r1 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS, **kw)
+    first = r1.tables["fact_transactions"]
+    cols = first.columns
+    rows1 = sorted(first.collect())
+    assert len(rows1) == r1.tables["stg_transactions"].count()
+    assert "event_month" not in cols
+    r2 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS, **kw)
+    assert sorted(r2.tables["fact_transactions"].select(cols).collect()) == rows1
