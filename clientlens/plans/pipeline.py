@@ -30,7 +30,8 @@ class RunResult:
 
 
 def _write_read(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
-    sinks.write_table(df, path, partition_by)
+    # the zones are partitioned by low-cardinality columns only (channel)
+    sinks.write_table(df, path, partition_by, rebalance=False)
     return spark.read.parquet(path)
 
 

@@ -14,9 +14,14 @@ def _rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by)
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """K1/K2/K4: full overwrite as Parquet, optionally Hive-partitioned."""
-    w = (_rebalanced(df, partition_by) if partition_by else df).write.mode("overwrite")
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                rebalance: bool = True) -> None:
+    """K1/K2/K4: full overwrite as Parquet, optionally Hive-partitioned.
+
+    ``rebalance`` (partitioned writes only) costs one shuffle and is meant for
+    many partition values (dates); with a handful (channels) every task writes
+    at most that many files anyway, so it can be left off."""
+    w = (_rebalanced(df, partition_by) if partition_by and rebalance else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
