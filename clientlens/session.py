@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -20,6 +21,23 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for a cluster run, from the bytes the largest shuffle
+    moves (after column pruning and map-side combine, usually well under the
+    input size): enough initial partitions that each holds about
+    ``partition_bytes``; AQE then coalesces small ones to that size rather than
+    keeping parallelism, and splits skewed join partitions."""
+    n = min(max_partitions, max(200, math.ceil(shuffle_bytes / partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 << 20)),
+    }
+
+
 def get_spark(master: str | None = None, app: str = "clientlens",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
