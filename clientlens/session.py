@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints hold fact-sized intermediates (the rolling-sum prefix)
+    "spark.checkpoint.compress": "true",
 }
 
 
