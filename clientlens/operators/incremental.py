@@ -72,12 +72,15 @@ def touched_partitions(target: DataFrame, batch: DataFrame, key: str, part: str)
     return batch.select(part).unionByName(replaced.select(part)).distinct()
 
 
-def rewrite_partitions(target: DataFrame, batch: DataFrame, key: str, part: str) -> tuple[DataFrame, DataFrame]:
+def rewrite_partitions(target: DataFrame, batch: DataFrame, key: str, part: str) -> tuple[DataFrame, list]:
     """New content of the touched partitions only: their target rows minus the
-    replaced keys, plus the batch. Returns (content, touched). The semi-join on
-    the partition column lets Spark prune the target's untouched partitions."""
-    touched = touched_partitions(target, batch, key, part)
-    kept = target.join(touched, part, "left_semi").join(batch.select(key), key, "left_anti")
+    replaced keys, plus the batch. Returns (content, touched values).
+
+    The touched values (one per partition, bounded by the calendar) are
+    collected so the target is read through a literal partition filter:
+    untouched partitions are never scanned."""
+    touched = [r[0] for r in touched_partitions(target, batch, key, part).collect()]
+    kept = target.filter(F.col(part).isin(touched)).join(batch.select(key), key, "left_anti")
     return kept.unionByName(batch.select(*target.columns)), touched
 
 
@@ -101,4 +104,5 @@ def refresh_fact_partitions(transactions: DataFrame, dim: DataFrame, table_path:
     # the slice feeds the touched partitions, the key anti-join and the new rows
     batch = batch.checkpoint(eager=True)
     content, touched = rewrite_partitions(target, batch, "transaction_id", part)
-    sinks.overwrite_partitions(spark, content, touched, table_path, part, stage_path)
+    if touched:
+        sinks.overwrite_partitions(spark, content, touched, table_path, part, stage_path)

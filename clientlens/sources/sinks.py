@@ -86,9 +86,10 @@ def commit_version(spark: SparkSession, df: DataFrame, table_root: str,
     return os.path.join(table_root, name)
 
 
-def overwrite_partitions(spark: SparkSession, content: DataFrame, touched: DataFrame, table_path: str,
+def overwrite_partitions(spark: SparkSession, content: DataFrame, touched: list, table_path: str,
                          part: str, stage_path: str) -> list:
-    """Replace the ``touched`` partitions of a partitioned Parquet table with ``content``.
+    """Replace the ``touched`` partitions (values of ``part``) of a partitioned
+    Parquet table with ``content``.
 
     The new content is written to ``stage_path`` first, so the table is never
     read and overwritten by one job; it is then swapped in with dynamic
@@ -98,9 +99,9 @@ def overwrite_partitions(spark: SparkSession, content: DataFrame, touched: DataF
     """
     write_table(content, stage_path, [part])
     staged = spark.read.parquet(stage_path)
-    # one row per touched partition value (bounded by the calendar), computed
-    # before the swap while the table still holds the replaced rows
-    emptied = [r[0] for r in touched.join(staged.select(part).distinct(), part, "left_anti").collect()]
+    # partition values only: at most one row per touched partition
+    present = {r[0] for r in staged.select(part).distinct().collect()}
+    emptied = [v for v in touched if v not in present]
     write_partitions(staged, table_path, [part])
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
