@@ -2,8 +2,9 @@
 
 import os
 
+from clientlens.operators import clean
 from clientlens.plans.pipeline import run_from_files
-from clientlens.sources import adapters, sinks
+from clientlens.sources import adapters, readers, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,6 +17,8 @@ def test_pipeline_from_files_twice(spark, tmpdir_path):
     assert r1.tests_run == 36
     a = r1.audit
     assert a["input_rows"] == a["clean_rows"] + a["quarantined_rows"] and a["quarantined_rows"] > 0
+    explicit = clean.audit_counts(readers.load_transactions(spark, os.path.join(raw, "transactions.csv")))
+    assert explicit.first().asDict() == a          # observed on the write == a separate aggregation
     assert spark.read.parquet(sinks.quarantine_path(os.path.join(root, "processed"), "transactions")).count() \
         == a["quarantined_rows"]
     n_fact = r1.tables["fact_transactions"].count()
