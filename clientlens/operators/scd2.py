@@ -33,9 +33,9 @@ def tier_history(customers: DataFrame, events: DataFrame, chunk_rows: int = 1 <<
     Columns: customer_id, loyalty_tier, valid_from, valid_to, tier_sequence, is_current.
     """
     order = ["event_date", "event_type", "new_tier"]
-    combos = (events.groupBy("customer_id", *order).agg(F.count(F.lit(1)).alias("k")))
+    counted = events.groupBy("customer_id", *order).agg(F.count(F.lit(1)).alias("k"))
     w = Window.partitionBy("customer_id").orderBy(*order)
-    combos = combos.select(
+    combos = counted.select(
         "customer_id", *order, "k",
         F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("last_seq"),
         F.lead("event_date").over(w).alias("next_date"))
@@ -62,7 +62,7 @@ def tier_history(customers: DataFrame, events: DataFrame, chunk_rows: int = 1 <<
         F.col("tier_sequence").cast("bigint").alias("tier_sequence"),
         raw_to.isNull().alias("is_current"))
 
-    has_events = combos.select("customer_id").distinct()      # reuses the combos shuffle
+    has_events = events.select("customer_id").distinct()
     without = (customers.join(has_events, "customer_id", "left_anti")
                .select("customer_id", "loyalty_tier",
                        F.col("signup_date").alias("valid_from"),

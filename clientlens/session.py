@@ -18,8 +18,10 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpoints hold fact-sized intermediates (the rolling-sum prefix)
+    # checkpoints hold fact-sized intermediates (the rolling-sum prefix);
+    # their files are removed from the shared folder once no longer referenced
     "spark.checkpoint.compress": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
