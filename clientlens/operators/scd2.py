@@ -23,13 +23,18 @@ from pyspark.sql.types import DateType
 from clientlens.functions.scalar import open_end
 
 
-def tier_history(customers: DataFrame, events: DataFrame, chunk_rows: int = 1 << 20) -> DataFrame:
+def tier_history(customers: DataFrame, events: DataFrame, chunk_rows: int = 1 << 20,
+                 backfill_signup: bool = False) -> DataFrame:
     """Q9: one row per customer x tier state.
 
     Customers with events get one version per event (valid from its date to
     the next event's date, open-ended for the last). Customers without events
     get one open-ended version from their signup date with their signup tier.
     Ties on one date are ordered by (event_type, new_tier).
+    With ``backfill_signup`` a known customer whose signup precedes the first
+    event also gets a version with the signup tier from signup to that event
+    (sequence 1; the event versions then count from 2), so facts before the
+    first event are not left without a tier.
     Columns: customer_id, loyalty_tier, valid_from, valid_to, tier_sequence, is_current.
     """
     order = ["event_date", "event_type", "new_tier"]
@@ -69,7 +74,20 @@ def tier_history(customers: DataFrame, events: DataFrame, chunk_rows: int = 1 <<
                        open_end().alias("valid_to"),
                        F.lit(1).cast("bigint").alias("tier_sequence"),
                        F.lit(True).alias("is_current")))
-    return with_events.unionByName(without)
+    if not backfill_signup:
+        return with_events.unionByName(without)
+    first = counted.groupBy("customer_id").agg(F.min("event_date").alias("_first"))
+    backfill = (customers.join(first, "customer_id")
+                .filter(F.col("signup_date") < F.col("_first"))
+                .select("customer_id", "loyalty_tier",
+                        F.col("signup_date").alias("valid_from"),
+                        F.col("_first").alias("valid_to"),
+                        F.lit(1).cast("bigint").alias("tier_sequence"),
+                        F.lit(False).alias("is_current")))
+    shifted = (with_events.join(backfill.select("customer_id", F.lit(1).alias("_shift")), "customer_id", "left")
+               .withColumn("tier_sequence", F.col("tier_sequence") + F.coalesce(F.col("_shift"), F.lit(0)))
+               .select(*with_events.columns))
+    return shifted.unionByName(without).unionByName(backfill)
 
 
 def _years(lo: Column, hi: Column) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientlens.operators import clean, dedup, incremental, kpis, marts, quality, staging
+from clientlens.operators import clean, dedup, incremental, kpis, marts, quality, scd2, staging
 from clientlens.plans.chain import Chain
 from clientlens.plans.pipeline import RunResult, run_from_files
 from clientlens.session import scratch_path
@@ -203,6 +203,12 @@ def q_tier_history(spark, sf_dir):
     return _processed(spark, sf_dir).int_customer_loyalty
 
 
+def q_tier_history_backfilled(spark, sf_dir):
+    """Q9 with the signup version before each customer's first event."""
+    c = _processed(spark, sf_dir)
+    return scd2.tier_history(c.stg_customers, c.stg_loyalty_events, backfill_signup=True)
+
+
 def q_int_customer_support(spark, sf_dir):
     return _processed(spark, sf_dir).int_customer_support
 

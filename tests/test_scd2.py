@@ -141,3 +141,22 @@ def test_point_in_time_timestamp_bounds(spark):
                          ("left", [("a", "None"), ("b", "v2"), ("c", "v1")])):
         got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed)
         assert sorted((r.fid, str(r.tag)) for r in got.collect()) == want
+
+
+def test_history_backfill_signup_option(spark):
+    customers = spark.createDataFrame([("early", "BRONZE", date(2020, 1, 1)), ("late", "GOLD", date(2022, 1, 1)),
+                                       ("none", "SILVER", date(2020, 1, 1))], CUST)
+    events = spark.createDataFrame([
+        ("early", "tier_upgrade", "GOLD", date(2021, 1, 1)),
+        ("early", "tier_upgrade", "PLATINUM", date(2021, 6, 1)),
+        ("late", "tier_upgrade", "PLATINUM", date(2021, 1, 1)),      # signed up after the event: no backfill
+        ("ghost", "tier_upgrade", "GOLD", date(2021, 1, 1)),         # unknown customer: no backfill
+    ], EV)
+    h = {(r.customer_id, r.tier_sequence): r
+         for r in tier_history(customers, events, backfill_signup=True).collect()}
+    assert sorted(h) == [("early", 1), ("early", 2), ("early", 3), ("ghost", 1), ("late", 1), ("none", 1)]
+    b = h[("early", 1)]
+    assert (b.loyalty_tier, b.valid_from, b.valid_to, b.is_current) == \
+        ("BRONZE", date(2020, 1, 1), date(2021, 1, 1), False)
+    assert h[("early", 2)].loyalty_tier == "GOLD" and h[("early", 3)].is_current
+    assert h[("late", 1)].loyalty_tier == "PLATINUM" and h[("none", 1)].valid_to == date(9999, 12, 31)
