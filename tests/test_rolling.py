@@ -18,8 +18,9 @@ def plain(df, days=90):
                      F.count("id").over(w).alias("c2"))
 
 
-def run(df, days=90):
-    return rolling_sum_count(df, "k", "ts", "v", "id", days, "s", "c")
+def run(df, days=90, plain_max_rows=0):
+    # 0 forces the skew-safe decomposition; a large bound takes the plain window
+    return rolling_sum_count(df, "k", "ts", "v", "id", days, "s", "c", plain_max_rows=plain_max_rows)
 
 
 def test_boundaries(spark):
@@ -36,13 +37,16 @@ def test_boundaries(spark):
         ("i", "n", t0, None),                                                 # NULL amount
         ("j", "n", t0 + timedelta(days=1), None),
     ]
+    rows.append(("t", "x", None, Decimal("5.00")))                          # no time: NULLs, seen by none
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r.id: (r.s, r.c) for r in run(df).collect()}
-    assert got["b"] == (Decimal("3.00"), 2)
-    assert got["d"] == (Decimal("2.00"), 1)
-    assert got["e"] == got["f"] == (Decimal("3.00"), 2)
-    assert got["g"] == got["h"] == (Decimal("3.00"), 2)
-    assert got["j"] == (None, 2)
+    for bound in (0, 100):
+        got = {r.id: (r.s, r.c) for r in run(df, plain_max_rows=bound).collect()}
+        assert got["b"] == (Decimal("3.00"), 2)
+        assert got["d"] == (Decimal("2.00"), 1)
+        assert got["e"] == got["f"] == (Decimal("3.00"), 2)
+        assert got["g"] == got["h"] == (Decimal("3.00"), 2)
+        assert got["j"] == (None, 2)
+        assert got["t"] == (None, None)
 
 
 def test_equals_plain_window_with_hot_key(spark):
@@ -57,8 +61,8 @@ def test_equals_plain_window_with_hot_key(spark):
         v = None if rnd.random() < 0.02 else Decimal(rnd.randint(1, 99999)) / 100
         rows.append((str(i), k, ts, v))
     df = spark.createDataFrame(rows, SCHEMA)
-    for days in (90, 30, 1):
-        j = run(df, days).join(plain(df, days), "id")
+    for days, bound in ((90, 0), (30, 0), (1, 0), (90, 10**6), (1, 10**6)):
+        j = run(df, days, bound).join(plain(df, days), "id")
         assert j.count() == len(rows)
         bad = j.filter(~F.col("s").eqNullSafe(F.col("s2")) | (F.col("c") != F.col("c2")))
         assert bad.count() == 0, days
