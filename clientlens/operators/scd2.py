@@ -103,10 +103,21 @@ def _by_year(versions: DataFrame, key: str, valid_from: str, valid_to: str, vers
     return v.withColumn("_vy", F.explode(_years(F.year("_vf"), F.least(F.year("_vt"), last_year))))
 
 
+DIRECT_MAX_VERSIONS = 64      # versions of one key and year a fact may be compared with
+
+
+def max_versions_per_key_year(versions_by_year: DataFrame) -> int:
+    """Exact size of the largest (key, year) group of the replicated versions."""
+    n = (versions_by_year.groupBy("_vk", "_vy").agg(F.count(F.lit(1)).alias("n"))
+         .agg(F.max("n")).first()[0])
+    return n or 0
+
+
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
                        version_cols: list[str], closed: str = "both",
                        valid_from: str = "valid_from", valid_to: str = "valid_to",
-                       last_year: Column | None = None) -> DataFrame:
+                       last_year: Column | None = None,
+                       direct_max_versions: int = DIRECT_MAX_VERSIONS) -> DataFrame:
     """Left-join each fact to the version of its key valid at time ``ts``.
 
     ``closed='both'`` tests ``valid_from <= ts <= valid_to`` (a fact at midnight
@@ -116,7 +127,12 @@ def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
     if they clash with fact columns). ``last_year`` is a scalar upper bound of
     ``year(ts)`` over the facts; open-ended versions are replicated up to it.
 
-    With date bounds (the SCD2 dimension), whether a fact falls in a version
+    When an exact count shows at most ``direct_max_versions`` versions in any
+    (key, year), each fact is compared with at most that many versions and the
+    facts join the year-replicated versions directly (one shuffle of the
+    facts; AQE splits a hot key's facts). Otherwise:
+
+    with date bounds (the SCD2 dimension), whether a fact falls in a version
     depends only on (key, date of ``ts``, ``ts`` at midnight), so the range test
     runs on the distinct such *points* — at most 732 per key and year, however
     many facts a key has — inner-joined to the versions by (key, year), which
@@ -128,6 +144,13 @@ def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
     date_bounds = all(isinstance(versions.schema[c].dataType, DateType) for c in (valid_from, valid_to))
     if not date_bounds:
         return _interval_join(facts, versions, key, ts, version_cols, closed, valid_from, valid_to, last_year)
+    if direct_max_versions:
+        if last_year is None:
+            last_year = facts.agg(F.max(F.year(F.col(ts)))).scalar()
+        by_year = _by_year(versions, key, valid_from, valid_to, version_cols, last_year)
+        if max_versions_per_key_year(by_year) <= direct_max_versions:
+            return _interval_join(facts, versions, key, ts, version_cols, closed, valid_from, valid_to,
+                                  last_year)
     both = closed == "both"
     t = F.col(ts)
     f = facts.withColumn("_pd", F.to_date(t))

@@ -56,13 +56,16 @@ def test_point_in_time_boundaries(spark):
                                    ("inside", "c", datetime(2021, 3, 1, 5)),
                                    ("late", "c", datetime(2030, 1, 1)),
                                    ("unknown", "z", datetime(2021, 3, 1))], FACT)
-    both = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], "both").collect()
-    left = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], "left").collect()
-    tags = lambda rows, f: sorted(str(r.tag) for r in rows if r.fid == f)
-    assert tags(both, "before") == ["None"] and tags(both, "unknown") == ["None"]
-    assert tags(both, "midnight") == ["v1", "v2"] and tags(left, "midnight") == ["v2"]
-    assert tags(left, "inside") == ["v1"] and tags(left, "late") == ["v2"]
-    assert len(left) == 5 and len(both) == 6
+    for direct in (0, 64):
+        both = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], "both",
+                                  direct_max_versions=direct).collect()
+        left = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], "left",
+                                  direct_max_versions=direct).collect()
+        tags = lambda rows, f: sorted(str(r.tag) for r in rows if r.fid == f)
+        assert tags(both, "before") == ["None"] and tags(both, "unknown") == ["None"]
+        assert tags(both, "midnight") == ["v1", "v2"] and tags(left, "midnight") == ["v2"]
+        assert tags(left, "inside") == ["v1"] and tags(left, "late") == ["v2"]
+        assert len(left) == 5 and len(both) == 6
 
 
 def test_point_in_time_equals_range_join(spark):
@@ -82,8 +85,9 @@ def test_point_in_time_equals_range_join(spark):
             ts = datetime.combine(rnd.choice(vrows)[1], datetime.min.time())
         frows.append((str(i), c, ts))
     versions, facts = spark.createDataFrame(vrows, VERS), spark.createDataFrame(frows, FACT)
-    for closed in ("both", "left"):
-        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed)
+    for closed, direct in (("both", 0), ("left", 0), ("both", 64), ("left", 64)):
+        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed,
+                                 direct_max_versions=direct)
         v = versions.withColumnRenamed("customer_id", "vc")
         upper = (F.col("ts") <= F.col("valid_to").cast("timestamp")) if closed == "both" else \
             (F.col("ts") < F.col("valid_to").cast("timestamp"))
@@ -123,8 +127,9 @@ def test_point_in_time_hot_key_with_same_day_versions(spark):
         frows.append((str(i), c, ts))
     frows.append(("nullts", "hot", None))
     versions, facts = spark.createDataFrame(vrows, VERS), spark.createDataFrame(frows, FACT)
-    for closed in ("both", "left"):
-        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed)
+    for closed, direct in (("both", 0), ("left", 0), ("both", 10**6), ("left", 10**6)):
+        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed,
+                                 direct_max_versions=direct)
         assert got.columns == facts.columns + ["tag"]
         a = sorted((r.fid, str(r.tag)) for r in got.select("fid", "tag").collect())
         b = sorted((r.fid, str(r.tag)) for r in _brute(facts, versions, closed).select("fid", "tag").collect())
