@@ -1,0 +1,18 @@
+"""Session helpers: cluster shuffle sizing and the shared checkpoint folder."""
+
+from clientlens.session import cluster_conf, ensure_checkpoint_dir, scratch_path
+
+
+def test_cluster_conf_sizes_from_shuffle_bytes():
+    c = cluster_conf(20 * 10**12)
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-20 * 10**12 // (256 << 20))
+    assert c["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert cluster_conf(10**6)["spark.sql.shuffle.partitions"] == "200"          # floor
+    assert cluster_conf(10**18)["spark.sql.shuffle.partitions"] == "100000"      # cap
+
+
+def test_checkpoint_folder_is_read_from_the_session(spark):
+    before = spark.conf.get("spark.checkpoint.dir")
+    # a folder already named by the session is used as is, never replaced
+    assert ensure_checkpoint_dir(spark, fallback="/nonexistent/other") == before
+    assert scratch_path(spark, "x").startswith(before)
