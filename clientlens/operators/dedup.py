@@ -144,6 +144,16 @@ def likely_duplicate_pair_count(df: DataFrame, **kw) -> DataFrame:
     return df.sparkSession.range(1).select(total.cast("bigint").alias("likely_duplicate_pairs"))
 
 
+def block_sizes(df: DataFrame) -> DataFrame:
+    """Size of every (last name, state) block: rows and distinct comparison
+    values (the skew report; pairs are never formed per block)."""
+    cv = _comparison_values(df)
+    return (cv.groupBy(*VALUE_COLS).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(F.col("_ln").alias("last_name_norm"), F.col("_st").alias("state"))
+            .agg(F.sum("n").cast("bigint").alias("customers"),
+                 F.count(F.lit(1)).alias("distinct_values")))
+
+
 # --- evaluation against an answer key -------------------------------------------------
 
 def evaluate_dedup(customers_flagged: DataFrame, truth: DataFrame) -> DataFrame:

@@ -154,6 +154,10 @@ def q_dedup_pair_count(spark, sf_dir):
     return dedup.likely_duplicate_pair_count(adapters.raw_customers(spark, sf_dir))
 
 
+def q_dedup_block_sizes(spark, sf_dir):
+    return dedup.block_sizes(adapters.raw_customers(spark, sf_dir))
+
+
 def q_dedup_eval(spark, sf_dir):
     return dedup.evaluate_dedup(_processed(spark, sf_dir).customers, adapters.duplicate_key(spark, sf_dir))
 

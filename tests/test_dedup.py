@@ -87,3 +87,16 @@ def test_evaluation(spark):
     fp = {r.customer_id for r in dedup.dedup_false_positives(flags2, truth).collect()}
     assert fp == {"a", "d"}
     assert [r.customer_id for r in dedup.dedup_false_positive_sample(flags2, truth, 1).collect()] == ["a"]
+
+
+def test_block_sizes(spark):
+    df = cust(spark, [
+        ("1", "Ann", "Lee ", "ann@x.com", "2020-01-01", "Gold", "CA"),
+        ("2", "ann", "lee", "ann@y.com", "2020-01-01", "Gold", "CA"),     # same comparison values as 1
+        ("3", "Bob", "Lee", "bob@x.com", "2020-01-01", "Gold", "CA"),
+        ("4", "Bob", "Lee", "bob@x.com", "2020-01-01", "Gold", "NV"),
+        ("5", "Cy", "Lee", "cy@x.com", "2020-01-01", "Gold", None),         # no state: in no block
+    ])
+    got = {(r.last_name_norm, r.state): (r.customers, r.distinct_values)
+           for r in dedup.block_sizes(df).collect()}
+    assert got == {("lee", "CA"): (3, 2), ("lee", "NV"): (1, 1)}
