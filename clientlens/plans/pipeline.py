@@ -35,6 +35,30 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str, partition_by=None
     return spark.read.parquet(path)
 
 
+def clean_job(spark: SparkSession, raw_customers: DataFrame, raw_transactions: DataFrame,
+              raw_support_tickets: DataFrame, out_dir: str) -> tuple[dict[str, DataFrame], dict]:
+    """The cleaning job. Writes ``customers`` (duplicates flagged),
+    ``transactions`` (clean, with rolling spend, partitioned by channel),
+    ``support_ticket_messages`` and ``_quarantine/transactions`` under
+    ``out_dir``; returns the read-back tables and the transaction audit."""
+    # G1 counts ride on the quarantine write (a single scan -> filter -> write
+    # stage, so each task's counts are merged once) instead of another scan
+    audit = Observation("transaction_audit")
+    clean_tx, quarantined = clean.clean_transactions(raw_transactions, audit)
+    sinks.write_table(quarantined, sinks.quarantine_path(out_dir, "transactions"))
+    counts = dict(audit.get)
+    counts["quarantine_rate"] = counts["quarantined_rows"] / counts["input_rows"] if counts["input_rows"] else None
+    p = lambda t: os.path.join(out_dir, t)
+    tables = {
+        "customers": _write_read(spark, dedup.dedupe_customers(raw_customers), p("customers")),
+        "transactions": _write_read(spark, clean.compute_rolling_spend(clean_tx), p("transactions"),
+                                    partition_by=["channel"]),
+        "support_ticket_messages": _write_read(spark, clean.flatten_support_tickets(raw_support_tickets),
+                                               p("support_ticket_messages")),
+    }
+    return tables, counts
+
+
 def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_transactions: DataFrame,
                  raw_support_tickets: DataFrame, raw_loyalty_events: DataFrame, root: str,
                  as_of: str, run_ts: str, closed: str = "left", lookback_days: int = 3,
@@ -52,20 +76,10 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_transactions
     z = lambda zone, t: readers.zone_path(root, zone, t)
 
     # processed zone (cleaning job)
-    proc = os.path.join(root, "processed")
-    # G1 counts ride on the quarantine write (a single scan -> filter -> write
-    # stage, so each task's counts are merged once) instead of another scan
-    audit = Observation("transaction_audit")
-    clean_tx, quarantined = clean.clean_transactions(raw_transactions, audit)
-    sinks.write_table(quarantined, sinks.quarantine_path(proc, "transactions"))
-    out.audit = dict(audit.get)
-    out.audit["quarantine_rate"] = (out.audit["quarantined_rows"] / out.audit["input_rows"]
-                                    if out.audit["input_rows"] else None)
-    customers = _write_read(spark, dedup.dedupe_customers(raw_customers), z("processed", "customers"))
-    transactions = _write_read(spark, clean.compute_rolling_spend(clean_tx), z("processed", "transactions"),
-                               partition_by=["channel"])
-    messages = _write_read(spark, clean.flatten_support_tickets(raw_support_tickets),
-                           z("processed", "support_ticket_messages"))
+    processed, out.audit = clean_job(spark, raw_customers, raw_transactions, raw_support_tickets,
+                                     os.path.join(root, "processed"))
+    customers, transactions, messages = (processed["customers"], processed["transactions"],
+                                         processed["support_ticket_messages"])
 
     # staging zone + gate
     stg = {

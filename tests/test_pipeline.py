@@ -47,3 +47,16 @@ def test_pipeline_partitioned_fact_refresh(spark, tmpdir_path):
     assert "event_month" not in cols
     r2 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS, **kw)
     assert sorted(r2.tables["fact_transactions"].select(cols).collect()) == rows1
+
+
+def test_command_line_clean_and_daily(spark, tmpdir_path):
+    from clientlens.__main__ import main
+    raw = adapters.write_raw_inputs(spark, SF, os.path.join(tmpdir_path, "raw"))
+    out = os.path.join(tmpdir_path, "processed")
+    r = main(["clean", raw, out], spark)
+    a = r["audit"]
+    assert a["input_rows"] == a["clean_rows"] + a["quarantined_rows"]
+    assert sorted(os.listdir(out)) == ["_quarantine", "customers", "support_ticket_messages", "transactions"]
+    d = main(["daily", raw, os.path.join(tmpdir_path, "zones"), "--as-of", adapters.AS_OF,
+              "--run-ts", adapters.RUN_TS], spark)
+    assert d["tests_passed"] == 36 and d["audit"] == a
