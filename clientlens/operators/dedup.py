@@ -91,9 +91,11 @@ def matching_groups(df: DataFrame, first_max: int = FIRST_MAX, prefix_max: int =
                          F.col("b.min_id").alias("other_min_id")))
 
     small = keyed.filter(F.col("_kn") <= split_above)
-    pk = deletion_keys_2(F.col("_ep")) if prefix_max == 2 else deletion_keys_1(F.col("_ep"))
-    large = keyed.filter(F.col("_kn") > split_above).withColumn("_pk", F.explode(pk))
-    edges = pairs(small, ["_ln", "_st", "_fk"]).unionByName(pairs(large, ["_ln", "_st", "_fk", "_pk"]))
+    edges = pairs(small, ["_ln", "_st", "_fk"])
+    large = keyed.filter(F.col("_kn") > split_above)
+    if not large.isEmpty():         # a cheap probe of the checkpointed table
+        pk = deletion_keys_2(F.col("_ep")) if prefix_max == 2 else deletion_keys_1(F.col("_ep"))
+        edges = edges.unionByName(pairs(large.withColumn("_pk", F.explode(pk)), ["_ln", "_st", "_fk", "_pk"]))
     return groups, edges
 
 
