@@ -83,13 +83,15 @@ def flatten_support_tickets(df: DataFrame) -> DataFrame:
                       parse_ts(F.col("message.sent_at")).alias("message_sent_at")))
 
 
-def compute_rolling_spend(transactions: DataFrame, days: int = 90) -> DataFrame:
+def compute_rolling_spend(transactions: DataFrame, days: int = 90, plain_max_rows: int | None = None) -> DataFrame:
     """Q5: trailing ``days``-day spend and transaction count per customer.
 
     Money is summed as exact decimal(18,2); see ``clientlens.operators.rolling``
-    for how the frame is evaluated without one task per customer.
+    for how the frame is evaluated without one task per customer
+    (``plain_max_rows=0`` always takes the skew-safe decomposition).
     """
     from clientlens.functions.scalar import money
-    from clientlens.operators.rolling import rolling_sum_count
+    from clientlens.operators.rolling import PLAIN_MAX_ROWS, rolling_sum_count
     return rolling_sum_count(transactions, "customer_id", "event_timestamp", money("amount"),
-                             "transaction_id", days, f"rolling_{days}d_spend", f"rolling_{days}d_txn_count")
+                             "transaction_id", days, f"rolling_{days}d_spend", f"rolling_{days}d_txn_count",
+                             plain_max_rows=PLAIN_MAX_ROWS if plain_max_rows is None else plain_max_rows)

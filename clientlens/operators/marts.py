@@ -53,15 +53,16 @@ VERSION_ATTRS = ["customer_sk", "loyalty_tier", "customer_segment", "state", "si
 
 
 def fact_transactions(transactions: DataFrame, dim: DataFrame, closed: str = "left",
-                      last_year=None) -> DataFrame:
+                      last_year=None, direct_max_versions: int | None = None) -> DataFrame:
     """Q12: transactions with the customer version valid at event time.
 
     ``closed='left'`` (default) gives each transaction at most one version;
     ``closed='both'`` reproduces BETWEEN semantics, where an event at
     midnight of a tier-change day meets both adjacent versions.
     """
+    kw = {} if direct_max_versions is None else {"direct_max_versions": direct_max_versions}
     j = point_in_time_join(transactions, dim, "customer_id", "event_timestamp", VERSION_ATTRS, closed,
-                           last_year=last_year)
+                           last_year=last_year, **kw)
     return j.select(
         "transaction_id", "customer_id", "customer_sk", "amount", "event_timestamp", "channel",
         "rolling_90d_spend", "rolling_90d_txn_count", "loyalty_tier", "customer_segment",

@@ -175,6 +175,12 @@ def q_rolling_90d(spark, sf_dir):
     return _chain(spark, sf_dir).transactions
 
 
+def q_rolling_90d_skew_safe(spark, sf_dir):
+    """Q5 through the skew-safe decomposition (the path a key above the
+    plain-window bound takes), on the same rows."""
+    return clean.compute_rolling_spend(_chain(spark, sf_dir).clean_transactions, plain_max_rows=0)
+
+
 def q_rolling_90d_midnight(spark, sf_dir):
     return _chain(spark, sf_dir, midnight=True).transactions
 
@@ -225,6 +231,14 @@ def q_fact_transactions(spark, sf_dir):
     return _processed(spark, sf_dir).fact_transactions
 
 
+def q_fact_transactions_point_join(spark, sf_dir):
+    """Q12 through the point reduction (the path taken when a customer has
+    more versions per year than the direct-join bound), on the same rows."""
+    c = _processed(spark, sf_dir)
+    return marts.fact_transactions(c.stg_transactions, c.dim_customer, "left", c.transaction_year_bound,
+                                   direct_max_versions=0)
+
+
 def q_fact_transactions_closed(spark, sf_dir):
     return _processed(spark, sf_dir, midnight=True, closed="both").fact_transactions
 
