@@ -150,6 +150,12 @@ def q_dedup_customers(spark, sf_dir):
     return _chain(spark, sf_dir).customers
 
 
+def q_dedup_customers_split_keys(spark, sf_dir):
+    """Q4 with every key group split by the e-mail prefix keys (the path a key
+    group above ``split_above`` takes), on the same rows."""
+    return dedup.dedupe_customers(adapters.raw_customers(spark, sf_dir), split_above=0)
+
+
 def q_dedup_pair_count(spark, sf_dir):
     return dedup.likely_duplicate_pair_count(adapters.raw_customers(spark, sf_dir))
 
