@@ -7,11 +7,13 @@ Both avoid a window or join whose partition is one whole key:
   ordered window then runs over that collapsed table, whose size per key is
   bounded by calendar days, and the rows are expanded back afterwards in
   chunks of at most ``chunk_rows`` rows per task.
-* interval join: the range test runs on distinct (key, day, midnight) points
-  of the facts, not on fact rows, against versions replicated once per
-  calendar year they cover; facts then take their matches by an equi-join on
-  the point. A key with many facts never meets its versions row by row, and a
-  key with many versions meets at most 732 points per year.
+* interval join: versions are replicated once per calendar year they cover.
+  When an exact count shows few versions per (key, year), facts join them
+  directly on (key, year) plus the range test (each fact meets that few).
+  Otherwise the range test runs on distinct (key, day, midnight) points of
+  the facts, not on fact rows, and facts take their matches by an equi-join
+  on the point: a key with many facts never meets its versions row by row,
+  and a key with many versions meets at most 732 points per year.
 """
 
 from __future__ import annotations
