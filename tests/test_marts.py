@@ -107,3 +107,39 @@ def test_ticket_rollup_ratio(spark):
     assert r["k1"].resolution_hours == 1 and r["k1"].agent_to_customer_ratio == 2.0
     assert r["k1"].message_count == 3 and r["k1"].customer_message_count == 1
     assert r["k2"].agent_to_customer_ratio is None and r["k2"].resolution_hours == 0
+
+
+def test_enrichment_unknown_customer_and_zero_rolling_spend(spark):
+    from clientlens.operators.intermediate import int_customer_transactions
+    tx = spark.createDataFrame([
+        ("t1", "c1", Decimal("10.00"), datetime(2024, 1, 31, 9), "web", Decimal("0.00"), 1, datetime(2024, 6, 1)),
+        ("t2", "zz", Decimal("5.00"), datetime(2024, 1, 1), "web", Decimal("5.00"), 1, datetime(2024, 6, 1)),
+    ], "transaction_id string, customer_id string, amount decimal(18,2), event_timestamp timestamp, "
+       "channel string, rolling_90d_spend decimal(18,2), rolling_90d_txn_count bigint, _loaded_at timestamp")
+    cust = spark.createDataFrame([("c1", "A", "B", "a@b", "GOLD", "CA", date(2024, 1, 1), False)],
+                                 "customer_id string, first_name string, last_name string, email string, "
+                                 "loyalty_tier string, state string, signup_date date, is_likely_duplicate boolean")
+    got = {r.transaction_id: r for r in int_customer_transactions(tx, cust).collect()}
+    assert got["t1"].pct_of_90d_spend is None                          # zero spend: no ratio
+    assert got["t1"].days_since_signup == 30 and got["t1"].customer_lifecycle_stage == "new_customer"
+    assert got["t2"].loyalty_tier is None and got["t2"].days_since_signup is None
+    assert got["t2"].customer_lifecycle_stage == "established_customer"   # unknown: ELSE branch
+    assert got["t2"].pct_of_90d_spend == 1.0
+
+
+def test_dimension_drops_unknown_customers_and_keys_versions(spark):
+    import hashlib
+
+    from clientlens.operators.marts import dim_customer
+    hist = spark.createDataFrame([("c1", "GOLD", date(2024, 1, 1), date(9999, 12, 31), 1, True),
+                                  ("ghost", "GOLD", date(2024, 1, 1), date(9999, 12, 31), 1, True)],
+                                 "customer_id string, loyalty_tier string, valid_from date, valid_to date, "
+                                 "tier_sequence bigint, is_current boolean")
+    cust = spark.createDataFrame([("c1", "A", "B", "a@b", "CA", date(2024, 5, 3), False, datetime(2024, 8, 1))],
+                                 "customer_id string, first_name string, last_name string, email string, "
+                                 "state string, signup_date date, is_likely_duplicate boolean, _loaded_at timestamp")
+    rows = dim_customer(cust, hist, "2024-08-01").collect()
+    assert [r.customer_id for r in rows] == ["c1"]
+    r = rows[0]
+    assert r.customer_sk == hashlib.md5(b"c1-2024-01-01").hexdigest()
+    assert r.customer_age_days == 90 and r.customer_segment == "new"
