@@ -54,7 +54,7 @@ def test_equals_plain_window_with_hot_key(spark):
     base = datetime(2023, 1, 1)
     rows = []
     for i in range(3000):
-        k = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 30)}"
+        k = "hot" if rnd.random() < 0.4 else (None if rnd.random() < 0.05 else f"k{rnd.randint(0, 30)}")
         ts = base + timedelta(seconds=rnd.randint(0, 400 * 86400))
         if rnd.random() < 0.1:                                   # peers in the same second
             ts = base + timedelta(days=rnd.randint(0, 400))
