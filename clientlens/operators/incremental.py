@@ -80,7 +80,11 @@ def rewrite_partitions(target: DataFrame, batch: DataFrame, key: str, part: str)
     collected so the target is read through a literal partition filter:
     untouched partitions are never scanned."""
     touched = [r[0] for r in touched_partitions(target, batch, key, part).collect()]
-    kept = target.filter(F.col(part).isin(touched)).join(batch.select(key), key, "left_anti")
+    values = [v for v in touched if v is not None]
+    in_touched = F.col(part).isin(values) if values else F.lit(False)
+    if len(values) < len(touched):                   # the NULL (default) partition
+        in_touched = in_touched | F.col(part).isNull()
+    kept = target.filter(in_touched).join(batch.select(key), key, "left_anti")
     return kept.unionByName(batch.select(*target.columns)), touched
 
 

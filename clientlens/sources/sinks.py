@@ -98,7 +98,9 @@ def overwrite_partitions(spark: SparkSession, content: DataFrame, touched: list,
     failed swap recomputes the same partitions. Returns the removed values.
     """
     write_table(content, stage_path, [part])
-    staged = spark.read.parquet(stage_path)
+    # the content's schema, not partition-type inference (a stage holding only
+    # the NULL partition would otherwise read back as type void)
+    staged = spark.read.schema(content.schema).parquet(stage_path)
     # partition values only: at most one row per touched partition
     present = {r[0] for r in staged.select(part).distinct().collect()}
     emptied = [v for v in touched if v not in present]
@@ -106,6 +108,8 @@ def overwrite_partitions(spark: SparkSession, content: DataFrame, touched: list,
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in emptied:
-        p = jvm.org.apache.hadoop.fs.Path(table_path, f"{part}={v.isoformat() if hasattr(v, 'isoformat') else v}")
+        # date / number / plain-text values; NULL lives in Spark's default partition
+        text = "__HIVE_DEFAULT_PARTITION__" if v is None else (v.isoformat() if hasattr(v, "isoformat") else v)
+        p = jvm.org.apache.hadoop.fs.Path(table_path, f"{part}={text}")
         p.getFileSystem(conf).delete(p, True)
     return emptied

@@ -70,3 +70,21 @@ def test_partition_rewrite_touches_only_changed_dates(spark, tmpdir_path):
                    ("c", datetime(2024, 1, 1), 3), ("e", datetime(2024, 1, 7), 5), ("f", datetime(2024, 1, 9), 6)]
     assert sorted(os.listdir(os.path.join(table, "p=2024-01-01"))) == untouched
     assert not os.path.exists(os.path.join(table, "p=2024-01-10"))
+
+
+def test_partition_rewrite_keeps_rows_of_the_null_partition(spark, tmpdir_path):
+    import os
+
+    from clientlens.operators.incremental import rewrite_partitions
+    from clientlens.sources import sinks
+
+    ps = "transaction_id string, v int, p int"
+    table, stage = os.path.join(tmpdir_path, "t"), os.path.join(tmpdir_path, "stage")
+    sinks.write_table(spark.createDataFrame([("a", 1, None), ("b", 2, None), ("c", 3, 7)], ps), table, ["p"])
+    t = spark.read.parquet(table)
+    batch = spark.createDataFrame([("a", 10, None), ("c", 30, None)], ps)   # c moves into the NULL partition
+    content, touched = rewrite_partitions(t, batch.select(*t.columns), "transaction_id", "p")
+    emptied = sinks.overwrite_partitions(spark, content, touched, table, "p", stage)
+    assert emptied == [7]
+    got = sorted((r.transaction_id, r.v, r.p) for r in spark.read.parquet(table).collect())
+    assert got == [("a", 10, None), ("b", 2, None), ("c", 30, None)]
