@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientlens.functions.scalar import mean, money_avg, money_sum, mode_key
+from clientlens.functions.scalar import mean, money_avg, money_sum, mode_key, zero_safe_div
 
 
 def customer_kpis(features: DataFrame) -> DataFrame:
@@ -146,5 +146,5 @@ def share_of_base(features: DataFrame, facts: DataFrame) -> DataFrame:
     base = features.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_at_churn_risk").alias("r"))
     transacted = facts.agg(F.count_distinct("customer_id")).scalar()
     return base.select(
-        (F.col("r") * 100.0 / F.col("n")).alias("pct_at_risk"),
-        (transacted * 100.0 / F.col("n")).alias("pct_transacted"))
+        zero_safe_div(F.col("r") * 100.0, "n").alias("pct_at_risk"),           # NULL for an empty base
+        zero_safe_div(transacted * 100.0, "n").alias("pct_transacted"))
