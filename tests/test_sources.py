@@ -81,3 +81,18 @@ def test_versioned_commit(spark, tmpdir_path):
     v1 = sinks.commit_version(spark, spark.read.parquet(v0).union(spark.range(3, 5)), root)
     assert v1 != v0 and spark.read.parquet(sinks.current_version(spark, root)).count() == 5
     assert spark.read.parquet(v0).count() == 3     # the previous version is untouched
+
+
+def test_failed_commit_keeps_the_last_good_version(spark, tmpdir_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    root = os.path.join(tmpdir_path, "fact")
+    good = spark.range(5).withColumnRenamed("id", "k")
+    v0 = sinks.commit_version(spark, good, root)
+    broken = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("boom")))
+                                   .otherwise(F.col("id")).alias("k"))
+    with pytest.raises(Exception):
+        sinks.commit_version(spark, broken, root)
+    assert sinks.current_version(spark, root) == v0
+    assert sorted(r.k for r in spark.read.parquet(sinks.current_version(spark, root)).collect()) == list(range(5))
