@@ -182,7 +182,9 @@ def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
 
 def _interval_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, version_cols: list[str],
                    closed: str, valid_from: str, valid_to: str, last_year) -> DataFrame:
-    """Timestamp bounds: facts join the versions by (key, year) plus the range test."""
+    """Facts join the year-replicated versions by (key, year) plus the range
+    test: for timestamp bounds, and for date bounds with few versions per
+    (key, year)."""
     if last_year is None:
         last_year = facts.agg(F.max(F.year(F.col(ts)))).scalar()
     v = _by_year(versions, key, valid_from, valid_to, version_cols, last_year)
