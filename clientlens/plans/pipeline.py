@@ -136,6 +136,8 @@ def run_from_files(spark: SparkSession, input_dir: str, root: str, as_of: str, r
     """The same run over raw files: customers.json, transactions.csv,
     support_tickets.json and loyalty_events.csv in ``input_dir``."""
     p = lambda n: os.path.join(input_dir, n)
+    readers.check_raw_paths(spark, {n: p(n) for n in ("customers.json", "transactions.csv",
+                                                       "support_tickets.json", "loyalty_events.csv")})
     return run_pipeline(spark,
                         readers.load_customers(spark, p("customers.json")),
                         readers.load_transactions(spark, p("transactions.csv")),

@@ -77,6 +77,19 @@ class MissingInput(RuntimeError):
     pass
 
 
+def check_raw_paths(spark: SparkSession, paths: dict[str, str]) -> None:
+    """S10 for files: every named input path must exist (checked before any scan)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    missing = []
+    for name, path in paths.items():
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if not p.getFileSystem(conf).exists(p):
+            missing.append(name)
+    if missing:
+        raise MissingInput(f"raw inputs missing: {', '.join(sorted(missing))}")
+
+
 def check_raw_inputs(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
     """Preflight — every raw input must be present and non-empty."""
     empty = [name for name, df in frames.items() if df.isEmpty()]

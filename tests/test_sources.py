@@ -61,6 +61,14 @@ def test_presence_check(spark):
     readers.check_raw_inputs(spark, {"x": spark.range(1)})
 
 
+def test_missing_raw_files_fail_before_any_scan(spark, tmpdir_path):
+    from clientlens.plans.pipeline import run_from_files
+    os.makedirs(os.path.join(tmpdir_path, "in", "customers.json"))
+    with pytest.raises(readers.MissingInput, match="loyalty_events.csv"):
+        run_from_files(spark, os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out"),
+                       "2024-01-01", "2024-01-01 00:00:00")
+
+
 def test_partitioned_and_quarantine_sinks(spark, tmpdir_path):
     df = spark.createDataFrame([("t1", "web"), ("t2", "mobile_app")], "transaction_id string, channel string")
     out = os.path.join(tmpdir_path, "processed", "transactions")
