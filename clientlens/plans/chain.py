@@ -65,7 +65,7 @@ class Chain:
 
     def reuse_processed(self, other: "Chain") -> "Chain":
         """Start from ``other``'s processed datasets (already built)."""
-        for name in ("split", "customers", "transactions", "messages"):
+        for name in ("split", "customers", "transactions", "messages", "dim_customer"):
             if name in other.__dict__ or name in ("customers", "transactions"):
                 self.__dict__[name] = getattr(other, name)
         self._written = other._written

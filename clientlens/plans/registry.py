@@ -52,8 +52,13 @@ def _processed(spark: SparkSession, sf_dir: str, midnight: bool = False, closed:
     if key not in _BUILT:
         built = Chain.from_tables(spark, sf_dir, midnight=midnight, materialize=True)
         if midnight:
-            # event times do not reach the customer table: its written copy is shared
-            built.__dict__["customers"] = _processed(spark, sf_dir).customers
+            # event times reach neither the customer table nor the dimension:
+            # their built copies are shared
+            plain = _processed(spark, sf_dir)
+            built.__dict__["customers"] = plain.customers
+            built.__dict__["dim_customer"] = plain.dim_customer
+        else:
+            built.dim_customer                     # checkpointed once, shared by the mart queries
         _BUILT[key] = built
     base = _BUILT[key]
     c = Chain(base.raw_customers, base.raw_transactions, base.raw_loyalty_events, base.raw_support_tickets,
