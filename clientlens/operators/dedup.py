@@ -90,9 +90,11 @@ def matching_groups(df: DataFrame, first_max: int = FIRST_MAX, prefix_max: int =
                          F.col("b._fn").alias("o_fn"), F.col("b._ep").alias("o_ep"),
                          F.col("b.min_id").alias("other_min_id")))
 
-    small = keyed.filter(F.col("_kn") <= split_above)
+    # a key shared by one value group forms no pair: only keys of two or more take part
+    paired = keyed.filter(F.col("_kn") >= 2)
+    small = paired.filter(F.col("_kn") <= split_above)
     edges = pairs(small, ["_ln", "_st", "_fk"])
-    large = keyed.filter(F.col("_kn") > split_above)
+    large = paired.filter(F.col("_kn") > split_above)
     if not large.isEmpty():         # a cheap probe of the checkpointed table
         pk = deletion_keys_2(F.col("_ep")) if prefix_max == 2 else deletion_keys_1(F.col("_ep"))
         edges = edges.unionByName(pairs(large.withColumn("_pk", F.explode(pk)), ["_ln", "_st", "_fk", "_pk"]))
