@@ -14,11 +14,11 @@ i AS (SELECT item_id, coalesce({WORDS_1}, []) AS w FROM benchmark),
 grams AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS gram
   FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s FROM i WHERE len(w) > 0)),
-at AS (
+spots AS (
   SELECT r, s, k, array_to_string(w[s:s + k - 1], ' ') AS gram
   FROM (SELECT r, w, k, unnest(generate_series(1, len(w) - k + 1)) AS s
         FROM d, (SELECT DISTINCT k FROM grams) WHERE len(w) >= k)),
-hits AS (SELECT r, s, at.k, item_id FROM at JOIN grams ON at.k = grams.k AND at.gram = grams.gram),
+hits AS (SELECT r, s, spots.k, item_id FROM spots JOIN grams ON spots.k = grams.k AND spots.gram = grams.gram),
 covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(s, s + k - 1)) AS p FROM hits) GROUP BY r),
 items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
           FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
@@ -65,5 +65,90 @@ FROM f
 """
 
 
+_URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+
+
+def _op2() -> str:
+    from clientlens.llm.urlgraph import DAMPING, LINK, ROUNDS, RULES, THRESHOLD
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    rules = ", ".join(f"({quote(r.host)}, {quote(r.path)}, {quote(r.verdict)})" for r in RULES)
+    rounds = "".join(f"""
+r{i + 1} AS MATERIALIZED (
+  SELECT host, sum(t) AS t, sum(d) AS d FROM (
+    SELECT target AS host, {DAMPING} * r.t * links / all_out AS t, 0.0::DOUBLE AS d
+    FROM edges JOIN outs USING (source) JOIN r{i} r ON r.host = source
+    UNION ALL
+    SELECT source, 0.0, {DAMPING} * r.d * links / all_in FROM edges JOIN ins USING (target) JOIN r{i} r ON r.host = target
+    UNION ALL SELECT * FROM r0) GROUP BY host),""" for i in range(ROUNDS))
+    return f"""
+WITH p AS (
+  SELECT page_id, row_number() OVER () AS n, html,
+         translate(coalesce(regexp_extract(url, '{_URL}', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '{_URL}', 2), '') AS path FROM pages),
+rules(rh, rp, verdict) AS (VALUES {rules}),
+fit AS (
+  SELECT n, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict
+  FROM p JOIN rules ON (host = rh OR suffix(host, '.' || rh)) AND starts_with(path, rp) GROUP BY n),
+links AS (
+  SELECT host AS source, translate(unnest(regexp_extract_all(html, {quote(LINK)}, 1)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target FROM p),
+far AS (SELECT source, target, count(*) AS links FROM links WHERE source != '' AND source != target GROUP BY ALL),
+hosts AS (SELECT host FROM p UNION SELECT target FROM far),
+up AS (SELECT host AS source, regexp_extract(host, '^[^.]+\\.([^.]+\\..+)$', 1) AS target FROM hosts),
+family AS (SELECT * FROM up WHERE target != '' UNION SELECT target, source FROM up WHERE target != ''),
+edges AS MATERIALIZED (
+  SELECT source, target, sum(links) AS links
+  FROM (SELECT * FROM far UNION ALL SELECT source, target, 1 FROM family) GROUP BY ALL),
+outs AS (SELECT source, sum(links) AS all_out FROM edges GROUP BY source),
+ins AS (SELECT target, sum(links) AS all_in FROM edges GROUP BY target),
+c AS (SELECT host, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS b
+      FROM p JOIN fit USING (n) GROUP BY host),
+r0 AS MATERIALIZED (
+  SELECT host, {1 - DAMPING} * coalesce(a / nullif(sum(a) OVER (), 0), 0) AS t,
+         {1 - DAMPING} * coalesce(b / nullif(sum(b) OVER (), 0), 0) AS d FROM c),{rounds}
+last AS (SELECT host, round(t * {THRESHOLD}, 12) AS t, round(d, 12) AS d FROM r{ROUNDS})
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN coalesce(d, 0) > coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN fit USING (n) LEFT JOIN last USING (host)
+"""
+
+
+def _op6() -> str:
+    from clientlens.llm.licenses import RULES, SENTENCES
+    names = ", ".join(f"'{s}': '{name}'" for name, s in SENTENCES.items())
+    fits = ", ".join(f"CASE WHEN contains(l, ',{','.join(rule)},') THEN '{name}' END" for name, rule in RULES)
+    cut = (r"list_filter(list_transform(string_split(regexp_replace({0}, '([.!?;:])([ \t\r\n])', '\1' || chr(10), 'g'), chr(10)), "
+           r"lambda s: trim(regexp_replace(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+           r"'[^0-9a-z\x{{80}}-\x{{10FFFF}}]+', ' ', 'g'))), lambda s: s != '')")
+    ids = "list_filter(list_transform({0}, lambda s: k[s]), lambda x: x IS NOT NULL)"
+    return f"""
+WITH names AS (SELECT MAP {{{names}}} AS k),
+s AS (SELECT doc_id, {cut.format("coalesce(text, '')")} AS a,
+             {cut.format("regexp_replace(coalesce(text, ''), '([^\\n])\\n([^\\n])', '\\1 \\2', 'g')")} AS b FROM documents),
+i AS (SELECT doc_id, len(a) AS n_sentences, {ids.format("a")} AS a, {ids.format("b")} AS b FROM s, names),
+f AS (SELECT doc_id, n_sentences, a, ',' || array_to_string(a, ',') || ',' AS l, ',' || array_to_string(b, ',') || ',' AS m FROM i)
+SELECT doc_id, n_sentences::BIGINT AS n_sentences, len(a)::BIGINT AS n_known, coalesce(array_to_string(a, ','), '') AS sentence_ids,
+       coalesce(array_to_string(list_sort(list_distinct(list_filter(
+         list_concat([{fits}], [{fits.replace('contains(l,', 'contains(m,')}]), lambda x: x IS NOT NULL))), ','), '') AS licenses
+FROM f
+"""
+
+
+# base32 of a SHA-1: five hex digits are twenty bits, four base32 digits
+_BASE32 = "||".join(
+    "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"(('0x' || substr(sha1(html), {5 * g + 1}, 5))::BIGINT // {32 ** (3 - j)}) % 32 + 1, 1)" for g in range(8) for j in range(4))
+
+OP7 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id != first THEN first END AS refers_to
+FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_benchmark_decontamination": OP1, "op5_quality_rules": _op5()}
+    return {"op1_benchmark_decontamination": OP1, "op2_url_filters": _op2(), "op5_quality_rules": _op5(),
+            "op6_license_scans": _op6(), "op7_warc": OP7}

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientlens.llm import binpack, common, decontam, langid, neardup, packing, quality, sharding
+from clientlens.llm import (binpack, common, decontam, langid, licenses, neardup, packing, quality, sharding,
+                            urlgraph, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,11 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.size(h["spans"]) > 0).alias("contaminated"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page: its rule's, else its host's."""
+    return urlgraph.judge(common.table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; a third of them is held out of the fit."""
     docs = common.table(spark, sf_dir, "documents")
@@ -49,6 +55,23 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that every document states."""
+    scanned, result = licenses.scan(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    r = F.col(result)
+    return scanned.select("doc_id", r["sentences"].alias("n_sentences"), F.size(r["known"]).cast("long").alias("n_known"),
+                          F.array_join(r["known"], ",").alias("sentence_ids"), F.array_join(r["licenses"], ",").alias("licenses"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, and the archives read back in splits."""
+    pages = common.table(spark, sf_dir, "pages")
+    kind = dict(pages.dtypes)["page_id"]
+    return warc.archive_and_read(pages).select(
+        F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt to 16 shards by a uniform shuffle with exact counts."""
     docs = common.table(spark, sf_dir, "documents")
