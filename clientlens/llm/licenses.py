@@ -57,7 +57,7 @@ SENTENCES = {
     "bsd-2-licensed": "licensed under the bsd 2 clause license",
     "bsd-3-licensed": "licensed under the bsd 3 clause license",
     "bsd-3-spdx": "spdx license identifier bsd 3 clause",
-    "mpl-2-terms": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl-2-terms": "this source code form is subject to the terms of the mozilla public license v",
     "mpl-2-obtain": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
     "cc-by-4-licensed": "licensed under cc by 4 0",
     "cc-by-sa-4-licensed": "licensed under cc by sa 4 0",
@@ -110,7 +110,7 @@ RULES = [
     ("proprietary", ["rights-reserved"]),
 ]
 
-SENTENCE_END = r"([.!?;:])([ \t\r\n])"
+SENTENCE_END = r"([.!?])([ \t\r\n])"
 NO_WORD = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 WRAPPED = r"([^\n])\n([^\n])"
 

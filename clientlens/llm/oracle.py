@@ -117,7 +117,7 @@ def _op6() -> str:
     from clientlens.llm.licenses import RULES, SENTENCES
     names = ", ".join(f"'{s}': '{name}'" for name, s in SENTENCES.items())
     fits = ", ".join(f"CASE WHEN contains(l, ',{','.join(rule)},') THEN '{name}' END" for name, rule in RULES)
-    cut = (r"list_filter(list_transform(string_split(regexp_replace({0}, '([.!?;:])([ \t\r\n])', '\1' || chr(10), 'g'), chr(10)), "
+    cut = (r"list_filter(list_transform(string_split(regexp_replace({0}, '([.!?])([ \t\r\n])', '\1' || chr(10), 'g'), chr(10)), "
            r"lambda s: trim(regexp_replace(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
            r"'[^0-9a-z\x{{80}}-\x{{10FFFF}}]+', ' ', 'g'))), lambda s: s != '')")
     ids = "list_filter(list_transform({0}, lambda s: k[s]), lambda x: x IS NOT NULL)"
