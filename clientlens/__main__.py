@@ -5,7 +5,8 @@
 
 INPUT_DIR holds customers.json, transactions.csv, support_tickets.json and
 loyalty_events.csv. The master comes from the launcher unless ``--master`` is
-given; ``spark.checkpoint.dir`` should name a shared folder on a cluster.
+given; on a cluster ``spark.checkpoint.dir`` must name a shared folder and
+``--shuffle-gb`` sizes the shuffle.
 Prints one JSON line with the transaction audit (and the number of data
 tests that passed for ``daily``).
 """
@@ -29,18 +30,24 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     d.add_argument("root")
     d.add_argument("--as-of", required=True)
     d.add_argument("--run-ts", required=True)
-    d.add_argument("--fact-layout", choices=["versioned", "partitioned"], default="versioned")
+    d.add_argument("--fact-layout", choices=["versioned", "partitioned"], default="partitioned")
     d.add_argument("--fact-period", choices=["day", "month"], default="day")
     d.add_argument("--lookback-days", type=int, default=3)
     d.add_argument("--no-gate", action="store_true")
     for p in (c, d):
         p.add_argument("--master")
+        p.add_argument("--shuffle-gb", type=float, help="bytes the largest shuffle moves, in GB: sizes the shuffle for a cluster")
     a = ap.parse_args(argv)
 
     from clientlens.plans import pipeline
-    from clientlens.session import get_spark
+    from clientlens.session import cluster_conf, get_spark
     from clientlens.sources import adapters, readers
-    spark = spark or get_spark(a.master, app=f"clientlens-{a.cmd}")
+    conf = cluster_conf(int(a.shuffle_gb * 1e9)) if a.shuffle_gb else {}
+    if spark:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+    else:
+        spark = get_spark(a.master, app=f"clientlens-{a.cmd}", extra=conf)
     f = lambda k: os.path.join(a.input_dir, adapters.RAW_FILES[k])
     if a.cmd == "clean":
         _, audit = pipeline.clean_job(spark, readers.load_customers(spark, f("customers")),

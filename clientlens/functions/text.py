@@ -13,16 +13,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def deletion_keys_1(s: Column) -> Column:
-    """array: ``s`` itself plus every string with one character removed."""
-    n = F.length(s)
-    dels = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.concat(s.substr(F.lit(1), i), s.substr(i + 2, n)),
-    )
-    return F.array_distinct(F.concat(F.array(s), F.when(n > 0, dels).otherwise(F.array().cast("array<string>"))))
-
-
 def explode_deletion_keys_1(df, src: str, out: str):
     """Rows of ``df`` repeated once per distinct member of ``src``'s
     one-deletion neighbourhood (``src`` itself included), in column ``out``.
@@ -41,6 +31,37 @@ def explode_deletion_keys_1(df, src: str, out: str):
               .withColumn(out, key).drop("_dpos"))
 
 
-def deletion_keys_2(s: Column) -> Column:
-    """array: ``s`` and every string with one or two characters removed."""
-    return F.array_distinct(F.flatten(F.transform(deletion_keys_1(s), deletion_keys_1)))
+def _cuts(length: Column, k: int) -> list[tuple[Column, Column]]:
+    """(start from 0, length) of the k + 1 even segments of a string of that length."""
+    parts = k + 1
+    short, longer = F.floor(length / parts).cast("int"), (length % parts).cast("int")
+    out, start = [], F.lit(0)
+    for i in range(parts):
+        size = short + F.when(longer > i, 1).otherwise(0)
+        out.append((start, size))
+        start = start + size
+    return out
+
+
+def segments(s: Column, k: int) -> Column:
+    """array: the string's ``k + 1`` even segments as keys of its length, the
+    segment number and the segment."""
+    n = F.length(s)
+    return F.array(*[F.concat_ws(":", n.cast("string"), F.lit(str(i)), s.substr(start + 1, size))
+                     for i, (start, size) in enumerate(_cuts(n, k))])
+
+
+def probe_segments(s: Column, k: int) -> Column:
+    """array: every key under which a string not longer than ``s`` within edit
+    distance ``k`` can have a segment that occurs in ``s``. At most k edits
+    leave one of its k + 1 segments untouched, moved by at most k places, and
+    its length differs by at most k."""
+    n, keys = F.length(s), []
+    for less in range(k + 1):
+        m = n - less
+        for i, (start, size) in enumerate(_cuts(m, k)):
+            for shift in range(-k, k + 1):
+                at = start + shift
+                keys.append(F.when((m >= 0) & (at >= 0) & (at + size <= n),
+                                   F.concat_ws(":", m.cast("string"), F.lit(str(i)), s.substr(at + 1, size))))
+    return F.array_distinct(F.array_compact(F.array(*keys)))

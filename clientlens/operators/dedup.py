@@ -11,11 +11,12 @@ hold a third of all customers, so instead:
 1. Rows with identical comparison values collapse to one *value group*
    (``min`` id, map-side combined). Inside a group every pair matches, so all
    members but the smallest id are flagged without forming pairs.
-2. Near-equal value groups are found through deletion-neighbourhood keys of
-   the first name (edit distance <= 1 implies a shared key). Key groups are
-   bounded by the alphabet and name length, not by the data size; a key
-   group that is still larger than ``split_above`` is split further by the
-   two-deletion keys of the e-mail prefix, which is exact for distance <= 2.
+2. Near-equal value groups meet on two keys at once: a deletion-neighbourhood
+   key of the first name (edit distance <= 1 implies a shared one) and a
+   segment of the e-mail prefix (of ``k + 1`` even segments, edit distance
+   <= k leaves one untouched, moved by at most k places). Both are exact, so
+   every group takes this one path, whatever its size and whatever
+   ``prefix_max`` from 0 to 3 is.
 3. Candidate group pairs are verified with the thresholded built-in
    ``levenshtein``; each group keeps the smallest id among its matches.
 4. A row is flagged when its id is larger than the smallest id of its own
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.functions.scalar import email_prefix, normalize
-from clientlens.functions.text import deletion_keys_1, deletion_keys_2, explode_deletion_keys_1
+from clientlens.functions.text import explode_deletion_keys_1, probe_segments, segments
 
 FIRST_MAX = 1
 PREFIX_MAX = 2
@@ -50,8 +51,7 @@ def _within(a: Column, b: Column, k: int) -> Column:
     return F.levenshtein(a, b, k) >= 0
 
 
-def matching_groups(df: DataFrame, first_max: int = FIRST_MAX, prefix_max: int = PREFIX_MAX,
-                    split_above: int = 256) -> tuple[DataFrame, DataFrame]:
+def matching_groups(df: DataFrame, first_max: int = FIRST_MAX, prefix_max: int = PREFIX_MAX) -> tuple[DataFrame, DataFrame]:
     """Return (groups, edges).
 
     groups: one row per distinct comparison value (``VALUE_COLS``) with
@@ -62,43 +62,34 @@ def matching_groups(df: DataFrame, first_max: int = FIRST_MAX, prefix_max: int =
     """
     if first_max != 1:
         raise ValueError("first-name neighbourhood keys are built for distance 1")
-    # both tables below feed several branches (key sizes, the two pair
-    # joins, thresholds, pair counts); each is computed once and its lineage
-    # cut, so the customer input is not re-scanned per branch
+    if prefix_max not in range(4):
+        raise ValueError("e-mail prefix segments are built for distances 0 to 3")
+    # both tables below feed several branches; each is computed once and its
+    # lineage cut, so the customer input is not re-scanned per branch
     groups = (_comparison_values(df).groupBy(*VALUE_COLS)
               .agg(F.min("customer_id").alias("min_id"), F.count(F.lit(1)).alias("n"))
               .checkpoint(eager=True))
 
     keyed = explode_deletion_keys_1(groups.select("min_id", *VALUE_COLS), "_fn", "_fk")
     sizes = keyed.groupBy("_ln", "_st", "_fk").agg(F.count(F.lit(1)).alias("_kn"))
-    keyed = keyed.join(sizes, ["_ln", "_st", "_fk"]).checkpoint(eager=True)
-
-    def pairs(side: DataFrame, keys: list[str]) -> DataFrame:
-        # both sides are the same projection, so they share one shuffle
-        side = side.select(*keys, "_fn", "_ep", "min_id")
-        a, b = side.alias("a"), side.alias("b")
-        on = [F.col("a." + k) == F.col("b." + k) for k in keys]
-        cond = on[0]
-        for c in on[1:]:
-            cond = cond & c
-        return (a.join(b, cond)
-                 .filter(((F.col("a._fn") != F.col("b._fn")) | (F.col("a._ep") != F.col("b._ep")))
-                         & _within(F.col("a._fn"), F.col("b._fn"), first_max)
-                         & _within(F.col("a._ep"), F.col("b._ep"), prefix_max))
-                 .select(F.col("a._ln").alias("_ln"), F.col("a._st").alias("_st"),
-                         F.col("a._fn").alias("_fn"), F.col("a._ep").alias("_ep"),
-                         F.col("b._fn").alias("o_fn"), F.col("b._ep").alias("o_ep"),
-                         F.col("b.min_id").alias("other_min_id")))
-
-    # a key shared by one value group forms no pair: only keys of two or more take part
-    paired = keyed.filter(F.col("_kn") >= 2)
-    small = paired.filter(F.col("_kn") <= split_above)
-    edges = pairs(small, ["_ln", "_st", "_fk"])
-    large = paired.filter(F.col("_kn") > split_above)
-    if not large.isEmpty():         # a cheap probe of the checkpointed table
-        pk = deletion_keys_2(F.col("_ep")) if prefix_max == 2 else deletion_keys_1(F.col("_ep"))
-        edges = edges.unionByName(pairs(large.withColumn("_pk", F.explode(pk)), ["_ln", "_st", "_fk", "_pk"]))
-    return groups, edges
+    # a key that only one value group has forms no pair
+    keyed = (keyed.join(sizes.filter("_kn >= 2"), ["_ln", "_st", "_fk"])
+             .select("_ln", "_st", "_fk", "_fn", "_ep", "min_id").checkpoint(eager=True))
+
+    a = keyed.withColumn("_seg", F.explode(probe_segments(F.col("_ep"), prefix_max))).alias("a")
+    b = keyed.withColumn("_seg", F.explode(segments(F.col("_ep"), prefix_max))).alias("b")
+    on = [F.col("a." + k) == F.col("b." + k) for k in ("_ln", "_st", "_fk", "_seg")]
+    found = (a.join(b, on[0] & on[1] & on[2] & on[3])
+              .filter(((F.col("a._fn") != F.col("b._fn")) | (F.col("a._ep") != F.col("b._ep")))
+                      & _within(F.col("a._fn"), F.col("b._fn"), first_max)
+                      & _within(F.col("a._ep"), F.col("b._ep"), prefix_max)))
+
+    def edge(x: str, y: str) -> Column:
+        return F.struct(*[F.col(f"{x}.{c}").alias(c) for c in VALUE_COLS], F.col(f"{y}._fn").alias("o_fn"),
+                        F.col(f"{y}._ep").alias("o_ep"), F.col(f"{y}.min_id").alias("other_min_id"))
+
+    # the probing prefix is the longer one of a pair: both directions are edges
+    return groups, found.select(F.explode(F.array(edge("a", "b"), edge("b", "a"))).alias("e")).select("e.*")
 
 
 def flagged_ids(df: DataFrame, **kw) -> DataFrame:
@@ -139,10 +130,18 @@ def likely_duplicate_pair_count(df: DataFrame, **kw) -> DataFrame:
     across = (und.join(groups.select(*VALUE_COLS, "n"), VALUE_COLS)
               .join(other, ["_ln", "_st", "o_fn", "o_ep"])
               .agg(F.sum(F.col("n") * F.col("on"))))
-    other_ids = per_id.select("_ln", "_st", F.col("_fn").alias("o_fn"), F.col("_ep").alias("o_ep"),
-                              "customer_id", F.col("c").alias("oc"))
-    shared = (und.join(per_id, VALUE_COLS).join(other_ids, ["_ln", "_st", "o_fn", "o_ep", "customer_id"])
-              .agg(F.sum(F.col("c") * F.col("oc"))))
+    # a shared id lies in two value groups of the block at least: only such ids
+    # meet, so a hot group is not multiplied by its number of neighbours
+    several = per_id.groupBy("_ln", "_st", "customer_id").agg(F.count(F.lit(1)).alias("g")).filter("g >= 2").drop("g")
+    split = per_id.join(several, ["_ln", "_st", "customer_id"])
+    a = split.alias("a")
+    b = split.alias("b")
+    both = (a.join(b, (F.col("a._ln") == F.col("b._ln")) & (F.col("a._st") == F.col("b._st"))
+                   & (F.col("a.customer_id") == F.col("b.customer_id"))
+                   & (F.struct("a._fn", "a._ep") < F.struct("b._fn", "b._ep")))
+            .select(*[F.col("a." + c).alias(c) for c in VALUE_COLS], F.col("b._fn").alias("o_fn"),
+                    F.col("b._ep").alias("o_ep"), (F.col("a.c") * F.col("b.c")).alias("cc")))
+    shared = both.join(und, [*VALUE_COLS, "o_fn", "o_ep"], "left_semi").agg(F.sum("cc"))
     total = (F.coalesce(inside.scalar(), F.lit(0)) + F.coalesce(across.scalar(), F.lit(0))
              - F.coalesce(shared.scalar(), F.lit(0)))
     return df.sparkSession.range(1).select(total.cast("bigint").alias("likely_duplicate_pairs"))

@@ -46,11 +46,11 @@ def merge_incremental(target: DataFrame | None, new: DataFrame, key: str = "tran
 
 
 def refresh_fact_transactions(transactions: DataFrame, dim: DataFrame, target: DataFrame | None,
-                              lookback_days: int = 3, closed: str = "left", last_year=None) -> DataFrame:
+                              lookback_days: int = 3, closed: str = "left") -> DataFrame:
     """Q13 for the transaction fact: the lookback filter is applied to the staged
     transactions *before* the point-in-time join, so only the slice is joined."""
     batch = fact_transactions(select_batch(transactions, target, "event_timestamp", lookback_days),
-                              dim, closed, last_year)
+                              dim, closed)
     return merge_by_key(target, batch, "transaction_id")
 
 
@@ -89,18 +89,22 @@ def rewrite_partitions(target: DataFrame, batch: DataFrame, key: str, part: str)
 
 
 def refresh_fact_partitions(transactions: DataFrame, dim: DataFrame, table_path: str, stage_path: str,
-                            lookback_days: int = 3, closed: str = "left", last_year=None,
-                            period: str = "day") -> None:
+                            lookback_days: int = 3, closed: str = "left", period: str = "day") -> None:
     """Q13 on a fact stored partitioned by event ``period``: the same merge as
     ``refresh_fact_transactions``, but only the touched partitions are written
     (staged, then swapped in by dynamic partition overwrite), so a run costs
-    the size of its slice plus one key scan, not a rewrite of the table."""
+    the size of its slice plus one key scan, not a rewrite of the table.
+
+    A run that was stopped during its swap is finished first, from its stage:
+    the cutoff of this run then comes from the whole table, as if that run had
+    not been stopped."""
     from clientlens.sources import readers, sinks
     part = PERIOD_COLUMNS[period]
     spark = transactions.sparkSession
+    sinks.finish_swap(spark, table_path, stage_path)
     target = spark.read.parquet(table_path) if readers.table_exists(spark, table_path) else None
     batch = (fact_transactions(select_batch(transactions, target, "event_timestamp", lookback_days),
-                               dim, closed, last_year)
+                               dim, closed)
              .withColumn(part, period_of(F.col("event_timestamp"), period)))
     if target is None:
         sinks.write_table(batch, table_path, [part])

@@ -52,17 +52,14 @@ def dim_customer(customers: DataFrame, history: DataFrame, as_of: str) -> DataFr
 VERSION_ATTRS = ["customer_sk", "loyalty_tier", "customer_segment", "state", "signup_date"]
 
 
-def fact_transactions(transactions: DataFrame, dim: DataFrame, closed: str = "left",
-                      last_year=None, direct_max_versions: int | None = None) -> DataFrame:
+def fact_transactions(transactions: DataFrame, dim: DataFrame, closed: str = "left") -> DataFrame:
     """Q12: transactions with the customer version valid at event time.
 
     ``closed='left'`` (default) gives each transaction at most one version;
     ``closed='both'`` reproduces BETWEEN semantics, where an event at
     midnight of a tier-change day meets both adjacent versions.
     """
-    kw = {} if direct_max_versions is None else {"direct_max_versions": direct_max_versions}
-    j = point_in_time_join(transactions, dim, "customer_id", "event_timestamp", VERSION_ATTRS, closed,
-                           last_year=last_year, **kw)
+    j = point_in_time_join(transactions, dim, "customer_id", "event_timestamp", VERSION_ATTRS, closed)
     return j.select(
         "transaction_id", "customer_id", "customer_sk", "amount", "event_timestamp", "channel",
         "rolling_90d_spend", "rolling_90d_txn_count", "loyalty_tier", "customer_segment",
@@ -72,11 +69,11 @@ def fact_transactions(transactions: DataFrame, dim: DataFrame, closed: str = "le
         "_loaded_at")
 
 
-def fact_support(tickets: DataFrame, dim: DataFrame, run_ts: str, closed: str = "both",
-                 last_year=None) -> DataFrame:
-    """Q14: ticket roll-up with the customer version valid when it opened."""
+def fact_support(tickets: DataFrame, dim: DataFrame, run_ts: str, closed: str = "left") -> DataFrame:
+    """Q14: ticket roll-up with the customer version valid when it opened
+    (``closed`` as in ``fact_transactions``)."""
     s = tickets.drop("loyalty_tier", "state", "signup_date")
-    j = point_in_time_join(s, dim, "customer_id", "opened_at", VERSION_ATTRS, closed, last_year=last_year)
+    j = point_in_time_join(s, dim, "customer_id", "opened_at", VERSION_ATTRS, closed)
     return j.select(
         "ticket_id", "customer_id", "customer_sk", "opened_at", "category", "message_count",
         "resolution_hours", "agent_to_customer_ratio", "first_message_at", "last_message_at",

@@ -96,10 +96,12 @@ def _table_results(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
             parts.append(unique_failures(df, ch.column).select(
                 F.lit(model).alias("model"), F.lit(ch.column).alias("column_name"),
                 F.lit("unique").alias("test_name"), F.col("failures").cast("bigint")))
+    if not parts:
+        return spark.createDataFrame([], RESULT_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out if parts else spark.createDataFrame([], RESULT_SCHEMA)
+    return out
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:

@@ -6,9 +6,9 @@ same second seeing each other — the semantics of
 ``Window.partitionBy(key).orderBy(epoch_seconds).rangeBetween(-days*86400, 0)``.
 
 That plain window sorts all rows of a key in one task, so a key holding a
-third of the data becomes one task holding a third of the data. It is used
-only when an exact count shows every key within a bound; otherwise the
-frame is split into three pieces, each computed over a bounded partition:
+third of the data becomes one task holding a third of the data. Here the
+frame is split into three pieces, each computed over a bounded partition,
+for every key alike:
 
 * rows are first collapsed to one row per (key, second)   — map-side combine
 * intra-day prefix   (key, day) window, <= 86,400 rows per partition
@@ -29,42 +29,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY = 86400
-PLAIN_MAX_ROWS = 2_000_000      # rows of one key that a single window task may sort
-
-
-def max_rows_per_key(df: DataFrame, key: str) -> int:
-    """Exact size of the largest key group (a map-side combined count)."""
-    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return n or 0
-
-
-def _plain_window(df: DataFrame, key: str, ts: str, value: Column, counted: str, span: int,
-                  sum_name: str, count_name: str, sum_type: str) -> DataFrame:
-    """The frame as one range window per key (one shuffle, one sort). Rows
-    without a time get NULLs; a NULL order value never enters another row's
-    frame."""
-    rs = F.unix_seconds(F.col(ts))
-    w = Window.partitionBy(key).orderBy(rs).rangeBetween(-span, 0)
-    timed = rs.isNotNull()
-    return df.select(*df.columns,
-                     F.when(timed, F.sum(value).over(w)).cast(sum_type).alias(sum_name),
-                     F.when(timed, F.count(F.col(counted)).over(w)).cast("bigint").alias(count_name))
 
 
 def rolling_sum_count(df: DataFrame, key: str, ts: str, value: Column | str, counted: str,
                       days: int, sum_name: str, count_name: str,
-                      sum_type: str = "decimal(18,2)", plain_max_rows: int = PLAIN_MAX_ROWS) -> DataFrame:
+                      sum_type: str = "decimal(18,2)") -> DataFrame:
     """Append ``sum_name`` (sum of ``value``) and ``count_name`` (count of
-    non-null ``counted``) over the trailing ``days``-day frame of each row.
-
-    Like a broadcast behind a size check: when the largest key holds at most
-    ``plain_max_rows`` rows (counted exactly first), every window task sorts a
-    bounded partition and the plain range window is used; otherwise the
-    skew-safe decomposition below."""
+    non-null ``counted``) over the trailing ``days``-day frame of each row."""
     value = F.col(value) if isinstance(value, str) else value
     span = days * DAY
-    if plain_max_rows and max_rows_per_key(df, key) <= plain_max_rows:
-        return _plain_window(df, key, ts, value, counted, span, sum_name, count_name, sum_type)
     # the key wrapped in a struct: never NULL and equal when both keys are NULL,
     # so plain equi-joins keep NULL keys together (as a window partition does)
     # and can reuse the (key, day) / (key, second) partitioning of earlier steps

@@ -7,18 +7,16 @@ Both avoid a window or join whose partition is one whole key:
   ordered window then runs over that collapsed table, whose size per key is
   bounded by calendar days, and the rows are expanded back afterwards in
   chunks of at most ``chunk_rows`` rows per task.
-* interval join: versions are replicated once per calendar year they cover.
-  When an exact count shows few versions per (key, year), facts join them
-  directly on (key, year) plus the range test (each fact meets that few).
-  Otherwise the range test runs on distinct (key, day, midnight) points of
-  the facts, not on fact rows, and facts take their matches by an equi-join
-  on the point: a key with many facts never meets its versions row by row,
-  and a key with many versions meets at most 732 points per year.
+* interval join: versions meet the calendar years in which their key has
+  facts (never years without one). The range test runs on distinct (key, day,
+  midnight) points of the facts, not on fact rows, and facts take their matches
+  by an equi-join on the point: a key with many facts never meets its versions
+  row by row, and a key with many versions meets at most 732 points per year.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -47,18 +45,14 @@ def tier_history(customers: DataFrame, events: DataFrame, chunk_rows: int = 1 <<
         F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("last_seq"),
         F.lead("event_date").over(w).alias("next_date"))
 
-    def expand(df: DataFrame) -> DataFrame:
-        # chunk c covers sequence numbers [first + c*chunk, min(last, first + (c+1)*chunk - 1)]
-        first = F.col("last_seq") - F.col("k") + 1
-        lo = first + F.col("_c") * chunk_rows
-        hi = F.least(F.col("last_seq"), lo + chunk_rows - 1)
-        return df.withColumn("tier_sequence", F.explode(F.sequence(lo, hi)))
-
+    # chunk c covers sequence numbers [first + c*chunk, min(last, first + (c+1)*chunk - 1)];
+    # spread by (customer, chunk), so a hot (customer, date, tier) group is
+    # expanded by many tasks
+    first = F.col("last_seq") - F.col("k") + 1
+    lo = first + F.col("_c") * chunk_rows
+    hi = F.least(F.col("last_seq"), lo + chunk_rows - 1)
     chunks = combos.withColumn("_c", F.explode(F.sequence(F.lit(0), ((F.col("k") - 1) / chunk_rows).cast("bigint"))))
-    single = expand(chunks.filter(F.col("k") <= chunk_rows))
-    # a hot (customer, date, tier) group: spread its chunks over tasks first
-    spread = expand(chunks.filter(F.col("k") > chunk_rows).repartition("customer_id", "_c"))
-    rows = single.unionByName(spread)
+    rows = chunks.repartition("customer_id", "_c").withColumn("tier_sequence", F.explode(F.sequence(lo, hi)))
 
     raw_to = F.when(F.col("tier_sequence") < F.col("last_seq"), F.col("event_date")).otherwise(F.col("next_date"))
     with_events = rows.select(
@@ -92,67 +86,45 @@ def tier_history(customers: DataFrame, events: DataFrame, chunk_rows: int = 1 <<
     return shifted.unionByName(without).unionByName(backfill)
 
 
-def _years(lo: Column, hi: Column) -> Column:
-    return F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-
-
-def _by_year(versions: DataFrame, key: str, valid_from: str, valid_to: str, version_cols: list[str],
-             last_year) -> DataFrame:
-    """Versions replicated once per calendar year they cover (open ends clipped
-    to ``last_year``), keyed ``_vk``/``_vy`` with bounds ``_vf``/``_vt``."""
+def _by_year(versions: DataFrame, fact_years: DataFrame, key: str, valid_from: str, valid_to: str,
+             version_cols: list[str]) -> DataFrame:
+    """Versions once per year in which their key has facts and they are valid
+    (``fact_years``: distinct ``_yk``, ``_vy``), with bounds ``_vf``/``_vt``."""
     v = versions.select(F.col(key).alias("_vk"), F.col(valid_from).alias("_vf"),
                         F.col(valid_to).alias("_vt"), *version_cols)
-    return v.withColumn("_vy", F.explode(_years(F.year("_vf"), F.least(F.year("_vt"), last_year))))
+    return (v.join(fact_years, (F.col("_vk") == F.col("_yk")) & F.col("_vy").between(F.year("_vf"), F.year("_vt")))
+            .drop("_yk"))
 
 
-DIRECT_MAX_VERSIONS = 64      # versions of one key and year a fact may be compared with
-
-
-def max_versions_per_key_year(versions_by_year: DataFrame) -> int:
-    """Exact size of the largest (key, year) group of the replicated versions."""
-    n = (versions_by_year.groupBy("_vk", "_vy").agg(F.count(F.lit(1)).alias("n"))
-         .agg(F.max("n")).first()[0])
-    return n or 0
+def _fact_years(facts: DataFrame, key: str, day: str) -> DataFrame:
+    return (facts.filter(F.col(key).isNotNull() & F.col(day).isNotNull())
+            .select(F.col(key).alias("_yk"), F.year(day).alias("_vy")).distinct())
 
 
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
-                       version_cols: list[str], closed: str = "both",
-                       valid_from: str = "valid_from", valid_to: str = "valid_to",
-                       last_year: Column | None = None,
-                       direct_max_versions: int = DIRECT_MAX_VERSIONS) -> DataFrame:
+                       version_cols: list[str], closed: str = "left",
+                       valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
     """Left-join each fact to the version of its key valid at time ``ts``.
 
     ``closed='both'`` tests ``valid_from <= ts <= valid_to`` (a fact at midnight
     of a change day then meets two versions, as with SQL BETWEEN);
     ``closed='left'`` tests ``valid_from <= ts < valid_to`` (exactly one).
     ``version_cols`` are carried from the version side (renamed by the caller
-    if they clash with fact columns). ``last_year`` is a scalar upper bound of
-    ``year(ts)`` over the facts; open-ended versions are replicated up to it.
-
-    When an exact count shows at most ``direct_max_versions`` versions in any
-    (key, year), each fact is compared with at most that many versions and the
-    facts join the year-replicated versions directly (one shuffle of the
-    facts; AQE splits a hot key's facts). Otherwise:
+    if they clash with fact columns).
 
-    with date bounds (the SCD2 dimension), whether a fact falls in a version
+    With date bounds (the SCD2 dimension), whether a fact falls in a version
     depends only on (key, date of ``ts``, ``ts`` at midnight), so the range test
     runs on the distinct such *points* — at most 732 per key and year, however
     many facts a key has — inner-joined to the versions by (key, year), which
     AQE may split on either side. Facts then meet their matches by an equi-join
-    on the point, spread over tasks by (key, day).
+    on the point, spread over tasks by (key, day). No facts, no versions: an
+    empty slice replicates nothing, and a far-future fact only its own year.
     """
     if closed not in ("both", "left"):
         raise ValueError("closed must be 'both' or 'left'")
     date_bounds = all(isinstance(versions.schema[c].dataType, DateType) for c in (valid_from, valid_to))
     if not date_bounds:
-        return _interval_join(facts, versions, key, ts, version_cols, closed, valid_from, valid_to, last_year)
-    if direct_max_versions:
-        if last_year is None:
-            last_year = facts.agg(F.max(F.year(F.col(ts)))).scalar()
-        by_year = _by_year(versions, key, valid_from, valid_to, version_cols, last_year)
-        if max_versions_per_key_year(by_year) <= direct_max_versions:
-            return _interval_join(facts, versions, key, ts, version_cols, closed, valid_from, valid_to,
-                                  last_year)
+        return _interval_join(facts, versions, key, ts, version_cols, closed, valid_from, valid_to)
     both = closed == "both"
     t = F.col(ts)
     f = facts.withColumn("_pd", F.to_date(t))
@@ -161,9 +133,7 @@ def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
     pkeys = [key, "_pd"] + (["_pm"] if both else [])
     points = (f.select(*pkeys).filter(F.col(key).isNotNull() & F.col("_pd").isNotNull()).distinct()
               .withColumn("_py", F.year("_pd")))
-    if last_year is None:
-        last_year = points.agg(F.max("_py")).scalar()
-    v = _by_year(versions, key, valid_from, valid_to, version_cols, last_year)
+    v = _by_year(versions, _fact_years(points, key, "_pd"), key, valid_from, valid_to, version_cols)
     d, vt = F.col("_pd"), F.col("_vt")
     if both:
         upper = (d < vt) | ((d == vt) & F.col("_pm"))
@@ -181,13 +151,10 @@ def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
 
 
 def _interval_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, version_cols: list[str],
-                   closed: str, valid_from: str, valid_to: str, last_year) -> DataFrame:
-    """Facts join the year-replicated versions by (key, year) plus the range
-    test: for timestamp bounds, and for date bounds with few versions per
-    (key, year)."""
-    if last_year is None:
-        last_year = facts.agg(F.max(F.year(F.col(ts)))).scalar()
-    v = _by_year(versions, key, valid_from, valid_to, version_cols, last_year)
+                   closed: str, valid_from: str, valid_to: str) -> DataFrame:
+    """For timestamp bounds: facts join the versions of their key and year plus
+    the range test."""
+    v = _by_year(versions, _fact_years(facts, key, ts), key, valid_from, valid_to, version_cols)
     v = v.withColumn("_vf", F.col("_vf").cast("timestamp")).withColumn("_vt", F.col("_vt").cast("timestamp"))
     f = facts.withColumn("_fy", F.year(F.col(ts)))
     t = F.col(ts)

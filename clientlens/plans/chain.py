@@ -126,18 +126,6 @@ class Chain:
     def int_customer_support(self) -> DataFrame:
         return intermediate.int_customer_support(self.stg_support_ticket_messages, self.stg_customers)
 
-    # upper bounds of event years, from the cheapest upstream table --------------
-    @cached_property
-    def transaction_year_bound(self):
-        # the written processed table when there is one (a pruned Parquet
-        # read), else the cleaning split, which is cheaper than rolling spend
-        src = self.transactions if self._written else self.clean_transactions
-        return src.agg(F.max(F.year("event_timestamp"))).scalar()
-
-    @cached_property
-    def ticket_year_bound(self):
-        return self.stg_support_ticket_messages.agg(F.max(F.year("opened_at"))).scalar()
-
     def _mart(self, name: str, df: DataFrame) -> DataFrame:
         return self._write(name, df) if self.materialize_marts else df
 
@@ -149,19 +137,17 @@ class Chain:
             return self._write("dim_customer", dim)
         # both facts and the feature table read the dimension: over a written
         # processed zone its lineage is cut once instead of recomputed per reader
-        return dim.checkpoint(eager=True) if self._written else dim
+        return self._write("dim_customer", dim) if self._written else dim
 
     @cached_property
     def fact_transactions(self) -> DataFrame:
         return self._mart("fact_transactions",
-                          marts.fact_transactions(self.stg_transactions, self.dim_customer, self.closed,
-                                                  self.transaction_year_bound))
+                          marts.fact_transactions(self.stg_transactions, self.dim_customer, self.closed))
 
     @cached_property
     def fact_support(self) -> DataFrame:
         return self._mart("fact_support",
-                          marts.fact_support(self.int_customer_support, self.dim_customer, self.run_ts,
-                                             last_year=self.ticket_year_bound))
+                          marts.fact_support(self.int_customer_support, self.dim_customer, self.run_ts, self.closed))
 
     @cached_property
     def feature_store_customer(self) -> DataFrame:

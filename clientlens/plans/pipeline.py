@@ -4,20 +4,20 @@ intermediate -> marts -> gate.
 Every zone is written as Parquet and the next zone reads it back, so each
 stage's plan starts from files (no lineage across zones, re-readable after
 an executor loss), and the written tables carry real size statistics for
-AQE's join choices. The transaction fact is refreshed incrementally: the
-committed version is read, the lookback slice is merged, and the result is
-committed as a new version (the version being read is never overwritten).
+AQE's join choices. The transaction fact is refreshed incrementally: only
+the partitions that the lookback slice touches are staged and swapped in (or,
+with ``fact_layout="versioned"``, the merged fact is committed as a new version).
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-
 from clientlens.operators import clean, dedup, incremental, intermediate, marts, quality, scd2, staging
+from clientlens.session import scratch_path
 from clientlens.sources import readers, sinks
 
 
@@ -40,7 +40,18 @@ def clean_job(spark: SparkSession, raw_customers: DataFrame, raw_transactions: D
     """The cleaning job. Writes ``customers`` (duplicates flagged),
     ``transactions`` (clean, with rolling spend, partitioned by channel),
     ``support_ticket_messages`` and ``_quarantine/transactions`` under
-    ``out_dir``; returns the read-back tables and the transaction audit."""
+    ``out_dir``; returns the read-back tables and the transaction audit.
+
+    The raw transactions are parsed once: a scratch copy as Parquet feeds the
+    quarantine and the rolling spend, and is removed at the end."""
+    scratch = scratch_path(spark, f"raw-transactions-{uuid.uuid4().hex}")
+    try:
+        return _clean_job(spark, raw_customers, _write_read(spark, raw_transactions, scratch), raw_support_tickets, out_dir)
+    finally:
+        sinks.remove(spark, scratch)
+
+
+def _clean_job(spark, raw_customers, raw_transactions, raw_support_tickets, out_dir):
     # G1 counts ride on the quarantine write (a single scan -> filter -> write
     # stage, so each task's counts are merged once) instead of another scan
     audit = Observation("transaction_audit")
@@ -62,13 +73,12 @@ def clean_job(spark: SparkSession, raw_customers: DataFrame, raw_transactions: D
 def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_transactions: DataFrame,
                  raw_support_tickets: DataFrame, raw_loyalty_events: DataFrame, root: str,
                  as_of: str, run_ts: str, closed: str = "left", lookback_days: int = 3,
-                 gate: bool = True, fact_layout: str = "versioned", fact_period: str = "day") -> RunResult:
+                 gate: bool = True, fact_layout: str = "partitioned", fact_period: str = "day") -> RunResult:
     """Run every stage once; returns the read-back tables of all zones.
 
-    ``fact_layout='versioned'`` commits the merged transaction fact as a new
-    version folder; ``'partitioned'`` keeps it partitioned by ``fact_period``
-    and rewrites only the partitions the refresh touches (the layout for a
-    large fact, where a full rewrite per run would dominate)."""
+    ``fact_layout='partitioned'`` keeps the transaction fact partitioned by
+    ``fact_period`` and rewrites only the partitions the refresh touches;
+    ``'versioned'`` commits the whole merged fact as a new version folder."""
     readers.check_raw_inputs(spark, {"customers": raw_customers, "transactions": raw_transactions,
                                      "support_tickets": raw_support_tickets,
                                      "loyalty_events": raw_loyalty_events})
@@ -106,19 +116,17 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_transactions
     dim = _write_read(spark, marts.dim_customer(stg["stg_customers"], inter["int_customer_loyalty"], as_of),
                       z("marts", "dim_customer"))
     fact_root = z("marts", "fact_transactions")
-    tx_bound = stg["stg_transactions"].agg(F.max(F.year("event_timestamp"))).scalar()
     if fact_layout == "partitioned":
         incremental.refresh_fact_partitions(stg["stg_transactions"], dim, fact_root,
                                             z("marts", "_stage_fact_transactions"), lookback_days, closed,
-                                            last_year=tx_bound, period=fact_period)
+                                            period=fact_period)
         fact_tx = spark.read.parquet(fact_root).drop(incremental.PERIOD_COLUMNS[fact_period])
     else:
         committed = sinks.current_version(spark, fact_root)
         target = spark.read.parquet(committed) if committed else None
-        merged = incremental.refresh_fact_transactions(stg["stg_transactions"], dim, target, lookback_days,
-                                                       closed, last_year=tx_bound)
+        merged = incremental.refresh_fact_transactions(stg["stg_transactions"], dim, target, lookback_days, closed)
         fact_tx = spark.read.parquet(sinks.commit_version(spark, merged, fact_root))
-    fact_sp = _write_read(spark, marts.fact_support(inter["int_customer_support"], dim, run_ts),
+    fact_sp = _write_read(spark, marts.fact_support(inter["int_customer_support"], dim, run_ts, closed),
                           z("marts", "fact_support"))
     feats = _write_read(spark, marts.feature_store_customer(dim, fact_tx, fact_sp, as_of, run_ts),
                         z("marts", "feature_store_customer"))

@@ -155,12 +155,6 @@ def q_dedup_customers(spark, sf_dir):
     return _chain(spark, sf_dir).customers
 
 
-def q_dedup_customers_split_keys(spark, sf_dir):
-    """Q4 with every key group split by the e-mail prefix keys (the path a key
-    group above ``split_above`` takes), on the same rows."""
-    return dedup.dedupe_customers(adapters.raw_customers(spark, sf_dir), split_above=0)
-
-
 def q_dedup_pair_count(spark, sf_dir):
     return dedup.likely_duplicate_pair_count(adapters.raw_customers(spark, sf_dir))
 
@@ -186,12 +180,6 @@ def q_rolling_90d(spark, sf_dir):
     return _chain(spark, sf_dir).transactions
 
 
-def q_rolling_90d_skew_safe(spark, sf_dir):
-    """Q5 through the skew-safe decomposition (the path a key above the
-    plain-window bound takes), on the same rows."""
-    return clean.compute_rolling_spend(_chain(spark, sf_dir).clean_transactions, plain_max_rows=0)
-
-
 def q_rolling_90d_midnight(spark, sf_dir):
     return _chain(spark, sf_dir, midnight=True).transactions
 
@@ -242,14 +230,6 @@ def q_fact_transactions(spark, sf_dir):
     return _processed(spark, sf_dir).fact_transactions
 
 
-def q_fact_transactions_point_join(spark, sf_dir):
-    """Q12 through the point reduction (the path taken when a customer has
-    more versions per year than the direct-join bound), on the same rows."""
-    c = _processed(spark, sf_dir)
-    return marts.fact_transactions(c.stg_transactions, c.dim_customer, "left", c.transaction_year_bound,
-                                   direct_max_versions=0)
-
-
 def q_fact_transactions_closed(spark, sf_dir):
     return _processed(spark, sf_dir, midnight=True, closed="both").fact_transactions
 
@@ -261,9 +241,8 @@ def q_fact_transactions_incremental(spark, sf_dir):
     c = _processed(spark, sf_dir)
     first = staging.stg_transactions(c.transactions, FIRST_RUN_TS).filter(
         F.col("event_timestamp") < F.lit(INCREMENTAL_SPLIT).cast("timestamp"))
-    target = marts.fact_transactions(first, c.dim_customer, last_year=c.transaction_year_bound)
-    return incremental.refresh_fact_transactions(c.stg_transactions, c.dim_customer, target, 3,
-                                                 last_year=c.transaction_year_bound)
+    target = marts.fact_transactions(first, c.dim_customer)
+    return incremental.refresh_fact_transactions(c.stg_transactions, c.dim_customer, target, 3)
 
 
 def q_fact_transactions_partition_refresh(spark, sf_dir):
@@ -276,8 +255,7 @@ def q_fact_transactions_partition_refresh(spark, sf_dir):
     root = scratch_path(spark, f"fact-by-date-{uuid.uuid4().hex}")
     table, stage = os.path.join(root, "table"), os.path.join(root, "stage")
     for batch in (first, c.stg_transactions):
-        incremental.refresh_fact_partitions(batch, c.dim_customer, table, stage, 3,
-                                            last_year=c.transaction_year_bound, period=FACT_PERIOD)
+        incremental.refresh_fact_partitions(batch, c.dim_customer, table, stage, 3, period=FACT_PERIOD)
     return spark.read.parquet(table).drop(incremental.PERIOD_COLUMNS[FACT_PERIOD])
 
 
@@ -285,6 +263,11 @@ def q_fact_support(spark, sf_dir):
     return _processed(spark, sf_dir).fact_support
 
 
+def q_fact_support_closed(spark, sf_dir):
+    """Q14 with bounds closed at both ends (the reference's rule)."""
+    return _processed(spark, sf_dir, closed="both").fact_support
+
+
 def q_feature_store_customer(spark, sf_dir):
     return _processed(spark, sf_dir).feature_store_customer
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,14 +26,13 @@ BASE_CONF = {
 }
 
 
-def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle sizing for a cluster run, from the bytes the largest shuffle
     moves (after column pruning and map-side combine, usually well under the
     input size): enough initial partitions that each holds about
     ``partition_bytes``; AQE then coalesces small ones to that size rather than
     keeping parallelism, and splits skewed join partitions."""
-    n = min(max_partitions, max(200, math.ceil(shuffle_bytes / partition_bytes)))
+    n = max(200, math.ceil(shuffle_bytes / partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -67,12 +67,16 @@ def get_spark(master: str | None = None, app: str = "clientlens",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is used as is. Only
-    when it is unset (local runs, tests) a private folder is created.
+    On a cluster that setting names a shared folder and is used as is; without
+    it a cluster run is refused, since tasks and driver would not see each
+    other's files. Only a local run without it gets a private folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master {master})")
         path = fallback or tempfile.mkdtemp(prefix="clientlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from clientlens.functions.scalar import email_prefix, normalize
@@ -17,13 +18,13 @@ def flagged(df):
     return {r.customer_id for r in dedup.dedupe_customers(df).filter("is_likely_duplicate").collect()}
 
 
-def brute(spark, df):
+def brute(spark, df, prefix_max=2):
     """All pairs in a block, the rule verbatim."""
     n = df.select("customer_id", normalize("last_name").alias("ln"), normalize("first_name").alias("fn"),
                   email_prefix("email").alias("ep"), "state")
     a, b = n.alias("a"), n.alias("b")
     p = (a.join(b, (F.col("a.ln") == F.col("b.ln")) & (F.col("a.customer_id") < F.col("b.customer_id")))
-         .filter((F.levenshtein("a.fn", "b.fn") <= 1) & (F.levenshtein("a.ep", "b.ep") <= 2)
+         .filter((F.levenshtein("a.fn", "b.fn") <= 1) & (F.levenshtein("a.ep", "b.ep") <= prefix_max)
                  & (F.col("a.state") == F.col("b.state"))))
     return {r[0] for r in p.select("b.customer_id").distinct().collect()}, p.count()
 
@@ -61,9 +62,38 @@ def test_matches_brute_force_with_hot_blocks(spark):
         rows.append((f"{i:05d}", fn, ln, f"{ep}@mail.com", "2024-01-01", "Gold", rnd.choice(["CA", "CA", "NY"])))
     df = cust(spark, rows)
     want, pairs = brute(spark, df)
-    for split in (1000, 3):   # small-group path and the split path
-        assert {r.customer_id for r in dedup.flagged_ids(df, split_above=split).collect()} == want
-        assert dedup.likely_duplicate_pair_count(df, split_above=split).first()[0] == pairs
+    assert {r.customer_id for r in dedup.flagged_ids(df).collect()} == want
+    assert dedup.likely_duplicate_pair_count(df).first()[0] == pairs
+
+
+@pytest.mark.parametrize("prefix_max", [0, 1, 2, 3])
+def test_every_prefix_distance_is_exact_on_a_large_key_group(spark, prefix_max):
+    """One first name, hundreds of prefixes: equal, near and far ones, empty and
+    short ones, edits at the front, in the middle and at the end."""
+    rnd = random.Random(prefix_max)
+    base = ["annleeabcdef", "annleeabcxyz", "", "a", "ab", "ba", "abc", "abcabcabcabc", "zannleeabcdef", "annleeabcde"]
+    prefixes = list(base)
+    while len(prefixes) < 400:
+        p = list(rnd.choice(base[:2] + base[7:]))
+        for _ in range(rnd.randint(0, 4)):
+            i = rnd.randint(0, len(p))
+            kind = rnd.random()
+            if kind < 0.4:
+                p.insert(i, rnd.choice("abx"))
+            elif p and i < len(p):
+                p[i:i + 1] = [] if kind < 0.7 else [rnd.choice("abx")]
+        prefixes.append("".join(p))
+    df = cust(spark, [(f"{i:05d}", "ann", "lee", f"{p}@x", "2024-01-01", "Gold", "CA") for i, p in enumerate(prefixes)])
+    want, pairs = brute(spark, df, prefix_max)
+    assert {r.customer_id for r in dedup.flagged_ids(df, prefix_max=prefix_max).collect()} == want
+    assert dedup.likely_duplicate_pair_count(df, prefix_max=prefix_max).first()[0] == pairs
+
+
+def test_unsupported_distances_are_refused(spark):
+    df = cust(spark, [("1", "Ann", "Lee", "ann@x.com", "2020-01-01", "Gold", "CA")])
+    for wrong in ({"prefix_max": 4}, {"prefix_max": -1}, {"first_max": 2}):
+        with pytest.raises(ValueError):
+            dedup.flagged_ids(df, **wrong)
 
 
 def test_duplicate_ids_follow_reference_rules(spark):

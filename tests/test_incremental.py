@@ -3,6 +3,8 @@
 import re
 from datetime import datetime
 
+import pytest
+
 from clientlens.operators.incremental import merge_incremental
 
 S = "transaction_id string, event_timestamp timestamp, v int"
@@ -88,3 +90,54 @@ def test_partition_rewrite_keeps_rows_of_the_null_partition(spark, tmpdir_path):
     assert emptied == [7]
     got = sorted((r.transaction_id, r.v, r.p) for r in spark.read.parquet(table).collect())
     assert got == [("a", 10, None), ("b", 2, None), ("c", 30, None)]
+
+
+@pytest.mark.parametrize("stop", ["before the swap", "after one partition", "before the removal"])
+def test_stopped_swap_is_finished_by_the_next_run(spark, tmpdir_path, monkeypatch, stop):
+    """After a stop anywhere, a re-run ends in the state of a run that was not stopped."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from clientlens.operators import incremental
+    from clientlens.sources import sinks
+
+    facts = "transaction_id string, event_timestamp timestamp, v int"
+    old = [("a", datetime(2024, 1, 10), 1), ("b", datetime(2024, 1, 8), 2), ("c", datetime(2024, 1, 1), 3)]
+    new = [("n1", datetime(2024, 1, 9), 4), ("n2", datetime(2024, 1, 14), 5), ("b", datetime(2024, 1, 12), 6)]
+    monkeypatch.setattr(incremental, "fact_transactions", lambda rows, dim, closed="left": rows)
+
+    def refresh(table, stage, rows):
+        incremental.refresh_fact_partitions(spark.createDataFrame(rows, facts), None, table, stage, 3)
+
+    def state(table):
+        return sorted(spark.read.parquet(table).select("transaction_id", "event_timestamp", "v").collect())
+
+    paths = {k: (os.path.join(tmpdir_path, k, "t"), os.path.join(tmpdir_path, k, "s")) for k in ("whole", "stopped")}
+    for table, stage in paths.values():
+        refresh(table, stage, old)
+    refresh(*paths["whole"], new)
+
+    swap, remove = sinks.write_partitions, sinks._path
+
+    def broken_swap(df, path, cols):
+        if stop == "after one partition":
+            swap(df.filter(F.col(cols[0]) == F.lit("2024-01-14").cast("date")), path, cols)
+        if stop != "before the removal":
+            raise RuntimeError("stopped")
+        swap(df, path, cols)
+
+    def broken_path(spark, *parts):
+        if stop == "before the removal" and parts[-1].startswith("event_date="):
+            raise RuntimeError("stopped")
+        return remove(spark, *parts)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_partitions", broken_swap)
+        m.setattr(sinks, "_path", broken_path)
+        with pytest.raises(RuntimeError, match="stopped"):
+            refresh(*paths["stopped"], new)
+    refresh(*paths["stopped"], new)
+    assert state(paths["stopped"][0]) == state(paths["whole"][0])
+    assert [r.transaction_id for r in state(paths["whole"][0])] == ["a", "b", "c", "n1", "n2"]
+    assert not os.path.exists(os.path.join(paths["stopped"][0], "event_date=2024-01-08"))

@@ -13,7 +13,8 @@ def test_pipeline_from_files_twice(spark, tmpdir_path):
     raw = adapters.write_raw_inputs(spark, SF, os.path.join(tmpdir_path, "raw"))
     root = os.path.join(tmpdir_path, "zones")
 
-    r1 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS)
+    kw = dict(fact_layout="versioned")
+    r1 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS, **kw)
     assert r1.tests_run == 36
     a = r1.audit
     assert a["input_rows"] == a["clean_rows"] + a["quarantined_rows"] and a["quarantined_rows"] > 0
@@ -27,7 +28,7 @@ def test_pipeline_from_files_twice(spark, tmpdir_path):
     assert "channel" == spark.read.parquet(os.path.join(root, "processed", "transactions")).columns[-1]
     v1 = sinks.current_version(spark, os.path.join(root, "marts", "fact_transactions"))
 
-    r2 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS)
+    r2 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS, **kw)
     v2 = sinks.current_version(spark, os.path.join(root, "marts", "fact_transactions"))
     assert v2 != v1
     cols = [c for c in r2.tables["fact_transactions"].columns]
@@ -38,7 +39,7 @@ def test_pipeline_from_files_twice(spark, tmpdir_path):
 def test_pipeline_partitioned_fact_refresh(spark, tmpdir_path):
     raw = adapters.write_raw_inputs(spark, SF, os.path.join(tmpdir_path, "raw"))
     root = os.path.join(tmpdir_path, "zones")
-    kw = dict(fact_layout="partitioned", fact_period="month")
+    kw = dict(fact_period="month")
     r1 = run_from_files(spark, raw, root, adapters.AS_OF, adapters.RUN_TS, **kw)
     first = r1.tables["fact_transactions"]
     cols = first.columns
@@ -58,5 +59,5 @@ def test_command_line_clean_and_daily(spark, tmpdir_path):
     assert a["input_rows"] == a["clean_rows"] + a["quarantined_rows"]
     assert sorted(os.listdir(out)) == ["_quarantine", "customers", "support_ticket_messages", "transactions"]
     d = main(["daily", raw, os.path.join(tmpdir_path, "zones"), "--as-of", adapters.AS_OF,
-              "--run-ts", adapters.RUN_TS], spark)
+              "--run-ts", adapters.RUN_TS, "--fact-period", "month"], spark)
     assert d["tests_passed"] == 36 and d["audit"] == a

@@ -22,3 +22,8 @@ def test_checks_and_gate(spark):
 
 def test_check_counts_match_the_declared_suite():
     assert len(quality.STAGING_CHECKS) == 14 and len(quality.MART_CHECKS) == 22
+
+
+def test_table_without_checks_gives_an_empty_result(spark):
+    from clientlens.operators.quality import _table_results
+    assert _table_results("m", spark.range(3), []).count() == 0

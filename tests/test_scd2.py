@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from clientlens.operators import scd2
 from clientlens.operators.scd2 import point_in_time_join, tier_history
 
 CUST = "customer_id string, loyalty_tier string, signup_date date"
@@ -56,16 +57,28 @@ def test_point_in_time_boundaries(spark):
                                    ("inside", "c", datetime(2021, 3, 1, 5)),
                                    ("late", "c", datetime(2030, 1, 1)),
                                    ("unknown", "z", datetime(2021, 3, 1))], FACT)
-    for direct in (0, 64):
-        both = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], "both",
-                                  direct_max_versions=direct).collect()
-        left = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], "left",
-                                  direct_max_versions=direct).collect()
-        tags = lambda rows, f: sorted(str(r.tag) for r in rows if r.fid == f)
-        assert tags(both, "before") == ["None"] and tags(both, "unknown") == ["None"]
-        assert tags(both, "midnight") == ["v1", "v2"] and tags(left, "midnight") == ["v2"]
-        assert tags(left, "inside") == ["v1"] and tags(left, "late") == ["v2"]
-        assert len(left) == 5 and len(both) == 6
+    both = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], "both").collect()
+    left = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], "left").collect()
+    tags = lambda rows, f: sorted(str(r.tag) for r in rows if r.fid == f)
+    assert tags(both, "before") == ["None"] and tags(both, "unknown") == ["None"]
+    assert tags(both, "midnight") == ["v1", "v2"] and tags(left, "midnight") == ["v2"]
+    assert tags(left, "inside") == ["v1"] and tags(left, "late") == ["v2"]
+    assert len(left) == 5 and len(both) == 6
+
+
+def test_versions_meet_only_the_years_of_their_facts(spark):
+    versions = spark.createDataFrame([("c", date(2021, 1, 1), date(9999, 12, 31), "v1"),
+                                      ("d", date(2021, 1, 1), date(9999, 12, 31), "v2")], VERS)
+    facts = spark.createDataFrame([("far", "c", datetime(9999, 6, 1)), ("now", "c", datetime(2022, 6, 1))], FACT)
+    years = scd2._fact_years(facts, "customer_id", "ts")
+    by_year = scd2._by_year(versions, years, "customer_id", "valid_from", "valid_to", ["tag"])
+    assert sorted((r.tag, r._vy) for r in by_year.collect()) == [("v1", 2022), ("v1", 9999)]
+    got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"]).collect()
+    assert sorted((r.fid, r.tag) for r in got) == [("far", "v1"), ("now", "v1")]
+    none = facts.limit(0)
+    assert scd2._by_year(versions, scd2._fact_years(none, "customer_id", "ts"), "customer_id", "valid_from",
+                         "valid_to", ["tag"]).count() == 0
+    assert point_in_time_join(none, versions, "customer_id", "ts", ["tag"]).count() == 0
 
 
 def test_point_in_time_equals_range_join(spark):
@@ -85,9 +98,8 @@ def test_point_in_time_equals_range_join(spark):
             ts = datetime.combine(rnd.choice(vrows)[1], datetime.min.time())
         frows.append((str(i), c, ts))
     versions, facts = spark.createDataFrame(vrows, VERS), spark.createDataFrame(frows, FACT)
-    for closed, direct in (("both", 0), ("left", 0), ("both", 64), ("left", 64)):
-        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed,
-                                 direct_max_versions=direct)
+    for closed in ("both", "left"):
+        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed)
         v = versions.withColumnRenamed("customer_id", "vc")
         upper = (F.col("ts") <= F.col("valid_to").cast("timestamp")) if closed == "both" else \
             (F.col("ts") < F.col("valid_to").cast("timestamp"))
@@ -127,9 +139,8 @@ def test_point_in_time_hot_key_with_same_day_versions(spark):
         frows.append((str(i), c, ts))
     frows.append(("nullts", "hot", None))
     versions, facts = spark.createDataFrame(vrows, VERS), spark.createDataFrame(frows, FACT)
-    for closed, direct in (("both", 0), ("left", 0), ("both", 10**6), ("left", 10**6)):
-        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed,
-                                 direct_max_versions=direct)
+    for closed in ("both", "left"):
+        got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed)
         assert got.columns == facts.columns + ["tag"]
         a = sorted((r.fid, str(r.tag)) for r in got.select("fid", "tag").collect())
         b = sorted((r.fid, str(r.tag)) for r in _brute(facts, versions, closed).select("fid", "tag").collect())

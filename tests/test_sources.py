@@ -104,3 +104,19 @@ def test_failed_commit_keeps_the_last_good_version(spark, tmpdir_path):
         sinks.commit_version(spark, broken, root)
     assert sinks.current_version(spark, root) == v0
     assert sorted(r.k for r in spark.read.parquet(sinks.current_version(spark, root)).collect()) == list(range(5))
+
+
+def test_lost_pointer_and_partial_versions_lose_nothing(spark, tmpdir_path):
+    import shutil
+    root = os.path.join(tmpdir_path, "t")
+    sinks.commit_version(spark, spark.range(3), root)
+    v1 = sinks.commit_version(spark, spark.range(100), root)
+    assert not [n for n in os.listdir(root) if n.endswith(".tmp")]
+    os.remove(os.path.join(root, "_CURRENT"))                      # a stop around the switch, or a lost file
+    assert sinks.current_version(spark, root) == v1
+    shutil.copytree(v1, os.path.join(root, "version=000002"))      # a write that did not finish
+    os.remove(os.path.join(root, "version=000002", "_SUCCESS"))
+    assert sinks.current_version(spark, root) == v1
+    v3 = sinks.commit_version(spark, spark.range(101), root)
+    assert os.path.basename(v3) == "version=000003" and sinks.current_version(spark, root) == v3
+    assert spark.read.parquet(v1).count() == 100
