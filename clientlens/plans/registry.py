@@ -18,7 +18,7 @@ from clientlens.operators import clean, dedup, incremental, kpis, marts, quality
 from clientlens.plans.chain import Chain
 from clientlens.plans.pipeline import RunResult, run_from_files
 from clientlens.session import scratch_path
-from clientlens.sources import adapters, readers
+from clientlens.sources import adapters, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +40,9 @@ _BUILT: dict[tuple, object] = {}   # built chains, raw-file folders, daily runs
 
 
 def _key(spark: SparkSession, sf_dir: str, *rest) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), *rest)
+    """Built tables are kept per application and state of the input files: a
+    changed, added or removed file leads to a new build."""
+    return (spark.sparkContext.applicationId, readers.listing(spark, sf_dir), *rest)
 
 
 def _processed(spark: SparkSession, sf_dir: str, midnight: bool = False, closed: str = "left") -> Chain:
@@ -88,6 +90,16 @@ def _raw_files(spark: SparkSession, sf_dir: str) -> str:
     return _BUILT[key]
 
 
+# Tables that several queries start from, in the order they are built.
+BUILDS = {
+    "build_processed_zone": lambda spark, sf_dir: _processed(spark, sf_dir),
+    "build_midnight_zone": lambda spark, sf_dir: _processed(spark, sf_dir, midnight=True),
+    "build_marts": lambda spark, sf_dir: _built(spark, sf_dir).mart_tables(),
+    "build_raw_files": lambda spark, sf_dir: _raw_files(spark, sf_dir),
+    "build_daily_run": lambda spark, sf_dir: _daily_run(spark, sf_dir),
+}
+
+
 def _raw_file(spark: SparkSession, sf_dir: str, name: str) -> str:
     return os.path.join(_raw_files(spark, sf_dir), adapters.RAW_FILES[name])
 
@@ -164,7 +176,7 @@ def q_dedup_block_sizes(spark, sf_dir):
 
 
 def q_dedup_eval(spark, sf_dir):
-    return dedup.evaluate_dedup(_processed(spark, sf_dir).customers, adapters.duplicate_key(spark, sf_dir))
+    return dedup.evaluate_dedup(_processed(spark, sf_dir).customers, q_dedup_answer_key_json(spark, sf_dir))
 
 
 def q_dedup_false_positives(spark, sf_dir):
@@ -280,6 +292,30 @@ def q_dq_marts(spark, sf_dir):
     return quality.run_checks(_built(spark, sf_dir).mart_tables(), quality.MART_CHECKS)
 
 
+BROKEN_CHECKS = quality._checks("fact_transactions", {"customer_id": ["unique"], "customer_sk": ["not_null"],
+                                                      "channel": [("accepted_values", ["web", "in_store"])]}) \
+    + quality._checks("fact_support", {"loyalty_tier": [("accepted_values", ["GOLD"])]}) \
+    + quality._checks("feature_store_customer", {"most_used_channel_90d": ["not_null"]}) \
+    + quality._checks("dim_customer", {"customer_id": ["unique"]})
+
+
+def q_dq_broken(spark, sf_dir):
+    """T1-T3 where the marts do break the tests: non-zero failure counts."""
+    return quality.run_checks(_built(spark, sf_dir).mart_tables(), BROKEN_CHECKS)
+
+
+def q_quarantine_written(spark, sf_dir):
+    """K3 read back: the quarantined rows in the folder the daily run wrote."""
+    r = _daily_run(spark, sf_dir)
+    path = sinks.quarantine_path(os.path.join(r.root, "processed"), "transactions")
+    return spark.read.parquet(path).select("transaction_id", "customer_id", "amount", "timestamp", "channel", "quarantine_reason")
+
+
+def q_dedup_answer_key_json(spark, sf_dir):
+    """The NDJSON answer key read back under its schema."""
+    return readers.load_duplicate_key(spark, _raw_file(spark, sf_dir, "duplicate_key"))
+
+
 def _features(spark, sf_dir):
     return _built(spark, sf_dir).feature_store_customer
 

@@ -16,6 +16,9 @@ from clientlens.sources import schemas
 
 # Fixed values of the adapter rules.
 SIGNUP_EPOCH = "1995-01-01"
+SIGNUP_DAYS = 2404                   # signups up to 2001-08-01
+STATES = 20
+EVENT_SHIFT_DAYS = 8766              # 2024-01-01 becomes 2000-01-01
 OPENED_EPOCH = "2001-01-01 00:00:00"
 AS_OF = "2001-08-02"                 # the day after the last order
 RUN_TS = "2001-08-02 06:00:00"       # one run timestamp for every _loaded_at
@@ -35,34 +38,43 @@ def customer_key(custkey) -> F.Column:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with 20 states, signups spread over the order years and
+    e-mail prefixes that vary on their own: two customers whose names differ in
+    one digit have prefixes at distance 0 to 2, or further where one of them
+    carries the long variant."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    seg = F.col("c_mktsegment")
+    seg, k = F.col("c_mktsegment"), F.col("c_custkey")
     tier = F.lit("Bronze")
     for s, t in reversed(list(SEGMENT_TIER.items())):
         tier = F.when(seg == s, t).otherwise(tier)
+    prefix = F.concat(F.lit("m"), F.lpad((k % 100).cast("string"), 2, "0"),
+                      F.when(k % 7 == 0, F.lit("typo")).when(k % 7 == 1, F.lit("x")).otherwise(F.lit("")),
+                      F.lit("."), F.floor(k / 1000).cast("string"))
     return (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(F.col("c_name").alias("customer_id"),
                     F.col("c_name").alias("first_name"),
                     F.col("n_name").alias("last_name"),
-                    F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@"),
-                             F.lower(seg), F.lit(".example")).alias("email"),
+                    F.concat(prefix, F.lit("@"), F.lower(seg), F.lit(".example")).alias("email"),
                     F.date_format(F.date_add(F.lit(SIGNUP_EPOCH).cast("date"),
-                                             (F.col("c_custkey") % 365).cast("int")),
-                                  "yyyy-MM-dd").alias("signup_date"),
+                                             (k * 37 % SIGNUP_DAYS).cast("int")), "yyyy-MM-dd").alias("signup_date"),
                     tier.alias("loyalty_tier"),
-                    seg.alias("state")))
+                    state_of(k).alias("state")))
+
+
+def state_of(custkey) -> F.Column:
+    return F.concat(F.lit("ST"), F.lpad((custkey % STATES).cast("string"), 2, "0"))
 
 
 def duplicate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answer key: customer k+1 counts as a copy of customer k when both share
-    nation and segment (stands in for a generator's ground truth)."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    """Answer key: customer k+100 counts as a copy of customer k when both share
+    nation and state (stands in for a generator's ground truth)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     a = c.alias("a")
     b = c.alias("b")
-    return (a.join(b, (F.col("b.c_custkey") == F.col("a.c_custkey") + 1)
+    return (a.join(b, (F.col("b.c_custkey") == F.col("a.c_custkey") + 100)
                    & (F.col("a.c_nationkey") == F.col("b.c_nationkey"))
-                   & (F.col("a.c_mktsegment") == F.col("b.c_mktsegment")))
+                   & (state_of(F.col("a.c_custkey")) == state_of(F.col("b.c_custkey"))))
             .select(F.col("b.c_name").alias("customer_id"),
                     F.col("a.c_name").alias("is_duplicate_of")))
 
@@ -101,16 +113,21 @@ def raw_transactions(spark: SparkSession, sf_dir: str, midnight: bool = False,
 
 
 def raw_loyalty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    p = F.col("o_totalprice")
-    tier = (F.when(p < 125000, "Bronze").when(p < 250000, "Silver")
-            .when(p < 375000, "Gold").otherwise("Platinum"))
-    return (o.filter(k % 17 == 0)
-            .select(customer_key(F.col("o_custkey")).alias("customer_id"),
-                    F.when(k % 2 == 0, "tier_upgrade").otherwise("tier_downgrade").alias("event_type"),
-                    tier.alias("new_tier"),
-                    F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd").alias("event_date")))
+    """One loyalty event per user and day of the whole ``events`` table: a day
+    with a purchase upgrades, any other downgrades, and the day's largest value
+    names the tier. Days are moved back onto the order years, to one of five
+    years by the user. Users cover a tenth of the customers (and an unknown
+    customer 0), so customers without events occur."""
+    e = table(spark, sf_dir, "events")
+    day = F.date_sub(F.to_date(F.col("ts").cast("timestamp")),
+                     (F.lit(EVENT_SHIFT_DAYS) + F.col("user_id") % 5 * 365).cast("int"))
+    v = F.max("value")
+    tier = F.when(v < 25, "Bronze").when(v < 75, "Silver").when(v < 150, "Gold").otherwise("Platinum")
+    return (e.groupBy("user_id", day.alias("day"))
+            .agg(tier.alias("new_tier"), F.bool_or(F.col("event_type") == "purchase").alias("up"))
+            .select(customer_key(F.col("user_id")).alias("customer_id"),
+                    F.when(F.col("up"), "tier_upgrade").otherwise("tier_downgrade").alias("event_type"),
+                    "new_tier", F.date_format("day", "yyyy-MM-dd").alias("event_date")))
 
 
 def raw_ticket_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,14 +163,15 @@ def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     This only re-creates the shape the source delivers; in production the
     nested rows arrive as files and are read by ``load_support_tickets``.
-    Turns are unique per conversation, so grouping by ``turn div
-    MESSAGES_PER_ROW`` bounds every array: a longer ticket arrives as several
-    rows with the same ticket columns, which flatten to the same messages.
+    Arrays are bounded by grouping on ``turn div MESSAGES_PER_ROW``, and by a
+    hash of the text for messages without a turn: a longer ticket arrives as
+    several rows with the same ticket columns, which flatten to the same messages.
     """
     m = raw_ticket_messages(spark, sf_dir)
+    part = F.coalesce(F.floor(F.col("turn") / MESSAGES_PER_ROW), F.pmod(F.xxhash64("text", "sender"), F.lit(1 << 20)) + (1 << 40))
     msgs = F.array_sort(F.collect_list(F.struct("turn", "sender", "text", "sent_at")))
     return (m.groupBy("ticket_id", "customer_id", "opened_at", "category",
-                      F.floor(F.col("turn") / MESSAGES_PER_ROW).alias("_part"))
+                      part.alias("_part"))
             .agg(msgs.alias("m"))
             .select("ticket_id", "customer_id", "opened_at", "category",
                     F.transform("m", lambda x: F.struct(x["sender"].alias("sender"),
@@ -163,15 +181,17 @@ def raw_support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RAW_FILES = {"customers": "customers.json", "transactions": "transactions.csv",
-             "support_tickets": "support_tickets.json", "loyalty_events": "loyalty_events.csv"}
+             "support_tickets": "support_tickets.json", "loyalty_events": "loyalty_events.csv",
+             "duplicate_key": "duplicate_key.json"}
 
 
 def write_raw_inputs(spark: SparkSession, sf_dir: str, raw_dir: str) -> str:
-    """Write the four raw inputs as the sources deliver them (NDJSON / headered
+    """Write the raw inputs as the sources deliver them (NDJSON / headered
     CSV) under ``raw_dir``; ``readers`` and ``run_from_files`` read them back."""
     p = lambda k: os.path.join(raw_dir, RAW_FILES[k])
     raw_customers(spark, sf_dir).write.mode("overwrite").json(p("customers"))
     raw_transactions(spark, sf_dir).write.mode("overwrite").option("header", True).csv(p("transactions"))
     raw_support_tickets(spark, sf_dir).write.mode("overwrite").json(p("support_tickets"))
     raw_loyalty_events(spark, sf_dir).write.mode("overwrite").option("header", True).csv(p("loyalty_events"))
+    duplicate_key(spark, sf_dir).write.mode("overwrite").json(p("duplicate_key"))
     return raw_dir

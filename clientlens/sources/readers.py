@@ -73,6 +73,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p)) and bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")))
 
 
+def listing(spark: SparkSession, folder: str) -> tuple:
+    """(path, bytes, modification time) of the files in a folder and in its
+    direct sub-folders."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for pattern in ("*", "*/*"):
+        p = jvm.org.apache.hadoop.fs.Path(folder, pattern)
+        for s in p.getFileSystem(conf).globStatus(p) or []:
+            if s.isFile():
+                out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out))
+
+
 class MissingInput(RuntimeError):
     pass
 
