@@ -39,15 +39,22 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         p.add_argument("--shuffle-gb", type=float, help="bytes the largest shuffle moves, in GB: sizes the shuffle for a cluster")
     a = ap.parse_args(argv)
 
-    from clientlens.plans import pipeline
-    from clientlens.session import cluster_conf, get_spark
-    from clientlens.sources import adapters, readers
+    from clientlens.session import cluster_conf, get_spark, release_scratch
     conf = cluster_conf(int(a.shuffle_gb * 1e9)) if a.shuffle_gb else {}
-    if spark:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-    else:
+    if spark is None:
         spark = get_spark(a.master, app=f"clientlens-{a.cmd}", extra=conf)
+        try:
+            return _run(a, spark)
+        finally:
+            release_scratch(spark)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return _run(a, spark)
+
+
+def _run(a: argparse.Namespace, spark) -> dict:
+    from clientlens.plans import pipeline
+    from clientlens.sources import adapters, readers
     f = lambda k: os.path.join(a.input_dir, adapters.RAW_FILES[k])
     if a.cmd == "clean":
         _, audit = pipeline.clean_job(spark, readers.load_customers(spark, f("customers")),

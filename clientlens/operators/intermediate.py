@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientlens.functions.scalar import day_diff, hour_boundaries_between, zero_safe_div
-from clientlens.operators.scd2 import tier_history  # noqa: F401  (Q9 lives with the SCD2 code)
 
 
 def lifecycle_stage(days):

@@ -81,10 +81,11 @@ def support_kpis(support: DataFrame) -> DataFrame:
 
 
 def support_by_category(support: DataFrame) -> DataFrame:
-    """M11a."""
-    return support.groupBy("category").agg(F.count(F.lit(1)).alias("ticket_count"),
-                                           mean("resolution_hours").alias("avg_resolution_hours"),
-                                           mean("message_count").alias("avg_messages"))
+    """Categories by number of tickets, the most first (ties by name)."""
+    return (support.groupBy("category").agg(F.count(F.lit(1)).alias("ticket_count"),
+                                            mean("resolution_hours").alias("avg_resolution_hours"),
+                                            mean("message_count").alias("avg_messages"))
+            .orderBy(F.col("ticket_count").desc(), F.col("category").asc()))
 
 
 def support_by_speed(support: DataFrame) -> DataFrame:

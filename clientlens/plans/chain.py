@@ -12,7 +12,6 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clientlens.operators import clean, dedup, intermediate, marts, scd2, staging
 from clientlens.session import scratch_path

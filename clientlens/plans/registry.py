@@ -110,7 +110,8 @@ def _daily_run(spark: SparkSession, sf_dir: str) -> RunResult:
     key = _key(spark, sf_dir, "daily-run")
     if key not in _BUILT:
         root = scratch_path(spark, f"zones-{uuid.uuid4().hex}")
-        _BUILT[key] = run_from_files(spark, _raw_files(spark, sf_dir), root, adapters.AS_OF, adapters.RUN_TS)
+        _BUILT[key] = run_from_files(spark, _raw_files(spark, sf_dir), root, adapters.AS_OF, adapters.RUN_TS,
+                                     fact_period=FACT_PERIOD)
     return _BUILT[key]
 
 
@@ -146,6 +147,18 @@ def q_daily_run_feature_store(spark, sf_dir):
     return _daily_run(spark, sf_dir).tables["feature_store_customer"]
 
 
+def q_daily_run_twice_fact_transactions(spark, sf_dir):
+    """E3 twice: the second delivery has late rows inside and beyond the
+    lookback and keys that moved to another day; the fact after both runs."""
+    key = _key(spark, sf_dir, "daily-run-twice")
+    if key not in _BUILT:
+        root = scratch_path(spark, f"zones-{uuid.uuid4().hex}")
+        for delivery, run_ts in (("first", FIRST_RUN_TS), ("second", adapters.RUN_TS)):
+            raw = adapters.write_raw_inputs(spark, sf_dir, scratch_path(spark, f"raw-{uuid.uuid4().hex}"), delivery)
+            _BUILT[key] = run_from_files(spark, raw, root, adapters.AS_OF, run_ts, fact_period=FACT_PERIOD)
+    return _BUILT[key].tables["fact_transactions"]
+
+
 def q_quarantine_clean(spark, sf_dir):
     return _chain(spark, sf_dir).clean_transactions
 

@@ -84,5 +84,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A sub-folder of the shared checkpoint folder for written intermediates;
+    those of an application lie together."""
+    return os.path.join(_scratch_root(spark), name)
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), f"clientlens-{spark.sparkContext.applicationId}")
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove what the application has written with ``scratch_path``; for its
+    end, since lazily read intermediates go too."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -18,6 +18,7 @@ from clientlens.sources import schemas
 SIGNUP_EPOCH = "1995-01-01"
 SIGNUP_DAYS = 2404                   # signups up to 2001-08-01
 STATES = 20
+DELIVERY_END = "2001-06-01"          # the first of two deliveries stops here
 EVENT_SHIFT_DAYS = 8766              # 2024-01-01 becomes 2000-01-01
 OPENED_EPOCH = "2001-01-01 00:00:00"
 AS_OF = "2001-08-02"                 # the day after the last order
@@ -80,15 +81,24 @@ def duplicate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str, midnight: bool = False,
-                     defects: bool = True) -> DataFrame:
+                     defects: bool = True, delivery: str = "all") -> DataFrame:
     """Orders as raw transaction rows (CSV shape: amount double, time as text).
 
     ``midnight`` puts every event at 00:00 of its order date; ``defects``
     injects the five malformed time kinds and empty customer references.
+    ``delivery`` is one of two successive ones for a daily run: ``first`` stops
+    before ``DELIVERY_END`` and lacks one order in 50, ``second`` holds all
+    orders, some of the last month moved on by a day.
     """
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("timestamp").alias("od"))
     k = F.col("o_orderkey")
+    end = F.lit(DELIVERY_END).cast("timestamp")
+    if delivery == "first":
+        o = o.filter((F.col("od") < end) & (k % 50 != 11))
+    elif delivery == "second":
+        moved = (k % 40 == 13) & F.col("od").between(F.date_sub(end, 31).cast("timestamp"), end)
+        o = o.withColumn("od", F.when(moved, F.col("od") + F.make_dt_interval(days=F.lit(1))).otherwise(F.col("od")))
     ev = F.col("od") if midnight else F.timestamp_seconds(F.unix_seconds("od") + k % 86400)
     text = F.date_format(ev, ISO_TS)
     cust = customer_key(F.col("o_custkey"))
@@ -185,12 +195,12 @@ RAW_FILES = {"customers": "customers.json", "transactions": "transactions.csv",
              "duplicate_key": "duplicate_key.json"}
 
 
-def write_raw_inputs(spark: SparkSession, sf_dir: str, raw_dir: str) -> str:
+def write_raw_inputs(spark: SparkSession, sf_dir: str, raw_dir: str, delivery: str = "all") -> str:
     """Write the raw inputs as the sources deliver them (NDJSON / headered
     CSV) under ``raw_dir``; ``readers`` and ``run_from_files`` read them back."""
     p = lambda k: os.path.join(raw_dir, RAW_FILES[k])
     raw_customers(spark, sf_dir).write.mode("overwrite").json(p("customers"))
-    raw_transactions(spark, sf_dir).write.mode("overwrite").option("header", True).csv(p("transactions"))
+    raw_transactions(spark, sf_dir, delivery=delivery).write.mode("overwrite").option("header", True).csv(p("transactions"))
     raw_support_tickets(spark, sf_dir).write.mode("overwrite").json(p("support_tickets"))
     raw_loyalty_events(spark, sf_dir).write.mode("overwrite").option("header", True).csv(p("loyalty_events"))
     duplicate_key(spark, sf_dir).write.mode("overwrite").json(p("duplicate_key"))

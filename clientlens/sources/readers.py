@@ -59,11 +59,6 @@ def zone_path(root: str, zone: str, table: str) -> str:
     return os.path.join(root, zone, table)
 
 
-def read_table(spark: SparkSession, root: str, zone: str, table: str) -> DataFrame:
-    """Scan a table written to a zone (Parquet)."""
-    return spark.read.parquet(zone_path(root, zone, table))
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a readable Parquet table (used for K6/S9)."""
     jvm = spark.sparkContext._jvm

@@ -143,3 +143,10 @@ def test_dimension_drops_unknown_customers_and_keys_versions(spark):
     r = rows[0]
     assert r.customer_sk == hashlib.md5(b"c1-2024-01-01").hexdigest()
     assert r.customer_age_days == 90 and r.customer_segment == "new"
+
+
+def test_categories_are_sorted_by_tickets(spark):
+    from clientlens.operators import kpis
+    rows = [("b", 1, 2)] * 3 + [("c", 1, 2)] * 5 + [("a", 1, 2)] * 3 + [("d", None, 1)]
+    df = spark.createDataFrame(rows, "category string, resolution_hours bigint, message_count bigint").repartition(4)
+    assert [r.category for r in kpis.support_by_category(df).collect()] == ["c", "a", "b", "d"]

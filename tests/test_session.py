@@ -16,3 +16,20 @@ def test_checkpoint_folder_is_read_from_the_session(spark):
     # a folder already named by the session is used as is, never replaced
     assert ensure_checkpoint_dir(spark, fallback="/nonexistent/other") == before
     assert scratch_path(spark, "x").startswith(before)
+
+
+def test_scratch_of_the_application_is_released(spark):
+    import os
+
+    from clientlens import session
+    ours = scratch_path(spark, "some-table")
+    assert "clientlens-" + spark.sparkContext.applicationId in ours
+    other = session._scratch_root
+    try:
+        session._scratch_root = lambda s: os.path.join(ensure_checkpoint_dir(s), "clientlens-test-app")
+        spark.range(3).write.parquet(scratch_path(spark, "t"))
+        assert os.path.exists(scratch_path(spark, "t"))
+        session.release_scratch(spark)
+        assert not os.path.exists(session._scratch_root(spark))
+    finally:
+        session._scratch_root = other
