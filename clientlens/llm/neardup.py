@@ -15,12 +15,13 @@ per document whatever its length.
 
 Jobs: (1) signatures, written with the rows; (2) texts with equal words share
 one representative; (3) the representatives meet in buckets of equal bands,
-each bucket's smallest row is its leader; (4) leaders and members are verified
+each bucket having two leaders; (4) leaders and members are verified
 by exact multiset overlap, streamed group by group, a leader with many members
-being split over tasks; (5) components. Buckets whose members do not all end
-up in one class are taken further: every class in the bucket sends its leader
-to the members of the other classes, until no untested pair is left. Members
-of one class are never paired, so a group of n copies costs about n pairs.
+being split over tasks; rows that miss a leader narrowly and are not in its
+class are tested against the rows linked to it, as far as the triangle
+inequality leaves a chance;
+(5) components. Members of a group are never paired with each other, so a
+group of n copies costs about 2 n pairs.
 
 Each pair of similarity s shares a band with probability
 1 - (1 - s^5)^32, which is 1 - 3e-6 at 0.8 and 1 - 7e-9 at 0.85.
@@ -37,7 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clientlens.llm import common
@@ -167,8 +168,9 @@ def prepared(docs: DataFrame, text_col: str) -> tuple[DataFrame, str, str]:
                           "signed"), row, key
 
 
-def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts reach the similarity. ``texts``: (row, text)."""
+def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """(a, b, j) of the pairs (a, b) whose texts have a similarity j of ``least``
+    or more. ``texts``: (row, text)."""
     groups = (pairs.groupBy("a").agg(F.count("*").alias("c"))
               .select("a", F.ceil(F.col("c") / GROUP_ROWS).cast("int").alias("salts")))
     leaders = groups.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
@@ -186,33 +188,80 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 _, h, w = shingles([raw])
                 if r == 0:
                     leader, own = x, (h, w)
-                elif leader == x and overlap(own, (h, w)) >= threshold:
-                    out.append((x, y))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
+                elif leader == x and (j := overlap(own, (h, w))) >= least:
+                    out.append((x, y, j))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(
+                (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "j"])
 
     return (leaders.unionByName(members).join(texts, "row").select("a", "salt", "role", "row", "text")
-            .repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(check, "a bigint, b bigint"))
+            .repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(check, "a bigint, b bigint, j double"))
+
+
+def both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a", "b", "j").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "j"))
+
+
+def link_misses(misses: DataFrame, links: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, j) links between rows b that miss a row a and rows b that are
+    linked to it (both (a, b, j)), one at least for every miss that has any in a
+    tile. The two sides of a meet in tiles of about ``GROUP_ROWS`` rows each, so
+    a text is sent once per tile and pairs exist only inside a task."""
+    count = lambda side: side.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("k"))
+    tiles = count(misses).withColumnRenamed("k", "kx").join(count(links).withColumnRenamed("k", "ky"), "a")
+
+    def side(rows: DataFrame, own: str, other: str, role: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64("b"), F.col("k" + own)).cast("int").alias("t" + own)
+        every = F.explode(F.sequence(F.lit(0), F.col("k" + other) - 1)).alias("t" + other)
+        return rows.join(tiles, "a").select("a", mine, every, F.lit(role).alias("role"), F.col("b").alias("row"), "j")
+
+    def check(batches):
+        tile, held = None, []
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("a", "tx", "ty", "role", "row", "j")]
+            out = []
+            for a, tx, ty, role, row, j, raw in zip(*cols, common.raw_texts(batch.column("text"))):
+                if (a, tx, ty) != tile:
+                    tile, held = (a, tx, ty), []
+                _, h, w = shingles([raw])
+                if role == 0:
+                    held.append((j, row, (h, w), w.sum()))
+                    continue
+                n = w.sum()
+                for jy, y, own, size in held:
+                    if jy - j <= 1 - threshold + 1e-9 and min(n, size) >= threshold * max(n, size):
+                        s = overlap(own, (h, w))
+                        if s >= threshold:
+                            out.append((row, y, s))
+                            break
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(
+                (pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "j"])
+
+    rows = side(links, "y", "x", 0).unionByName(side(misses, "x", "y", 1))
+    return (rows.join(texts, "row").select("a", "tx", "ty", "role", "row", "j", "text").repartition("a", "tx", "ty")
+            .sortWithinPartitions("a", "tx", "ty", "role").mapInArrow(check, "a bigint, b bigint, j double"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(row, label): the smallest row of the component, for every row of an
     edge (a, b), by alternating large and small stars; each round is written."""
-    now = common.written(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-                         "edges")
-    state = None
+    def kept(stars: DataFrame) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        table = common.written(stars.observe(seen, F.count("*").alias("n"), F.sum(
+            F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")), "edges")
+        return table, (seen.get["n"], seen.get["s"])
+
+    now, state = kept(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.withColumnRenamed("m", "v")).distinct())
-        now = common.written(small, "edges")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        before = state
+        now, state = kept(small)
+        if state == before:
             break
-        state = seen
     return now.select(F.col("u").alias("row"), F.col("v").alias("label")).unionByName(
         now.select(F.col("v").alias("row"), F.col("v").alias("label"))).distinct()
 
@@ -229,9 +278,18 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
 
     bands = (slim.filter("n > 0").select("row", "n", "bands").join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
              .select("row", "n", F.explode("bands").alias("bucket")))
-    led = (bands.groupBy("bucket").agg(F.count("*").alias("c"), F.min("row").alias("leader"), F.min_by("n", "row").alias("leader_n"))
-           .filter("c > 1").drop("c"))
-    members = common.written(bands.join(led, "bucket"), "members")
+    # Two leaders of each bucket: its smallest row, and the row that meets the
+    # most rows in all its buckets. The centre of a group of edited copies shares
+    # more bands with each of them than they do with each other, so it leads the
+    # buckets that it is in, and every copy is compared with it.
+    sizes = bands.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1")
+    multi = common.written(bands.join(sizes, "bucket"), "buckets")
+    meets = multi.groupBy("row").agg((F.sum("c") * (1 << 20)).alias("meets"))
+    rank = F.col("meets") + F.xxhash64("row").bitwiseAND((1 << 20) - 1)
+    led = multi.join(meets, "row").groupBy("bucket").agg(
+        F.min("row").alias("first"), F.min_by("n", "row").alias("first_n"),
+        F.max_by("row", rank).alias("most"), F.max_by("n", rank).alias("most_n"))
+    members = common.written(multi.join(led, "bucket").drop("bucket", "c").distinct(), "members")
     texts = common.written(
         signed.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
         .join(members.select("row").distinct(), "row", "left_semi"), "candidates")
@@ -240,26 +298,27 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
         return (p.filter(F.least("a_n", "b_n") >= F.lit(threshold) * F.greatest("a_n", "b_n"))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
-    pairs = common.written(near_in_size(members.filter("row != leader").select(
-        F.col("leader").alias("a"), F.col("leader_n").alias("a_n"), F.col("row").alias("b"), F.col("n").alias("b_n"))), "pairs")
-    tested, edges = pairs, common.written(verify(pairs, texts, threshold), "links")
+    led = members.select("row", "n", F.explode(F.array_distinct(F.array(*[
+        F.struct(F.col(x).alias("a"), F.col(x + "_n").alias("a_n")) for x in ("first", "most")]))).alias("l"))
+    pairs = common.written(near_in_size(led.filter(F.col("row") != F.col("l.a")).select(
+        "l.a", "l.a_n", F.col("row").alias("b"), F.col("n").alias("b_n"))), "pairs")
+
+    # Distances 1 - j are a metric: a row that misses a leader can be linked to
+    # a row that the leader is linked to only if its own distance from the
+    # leader is less than one more link's. Such near misses that are not in the
+    # leader's class are tested against those rows, until no link is new.
+    found = fresh = common.written(verify(pairs, texts, 2 * threshold - 1), "similar")
+    misses = both_ways(found.filter(F.col("j") < threshold))
+    edges = found.filter(F.col("j") >= threshold).select("a", "b")
     while True:
         labels = common.written(components(edges), "labels")
-        # buckets that still hold several classes
-        named = members.select("bucket", "row", "n").join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
-        mixed = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("bucket")
-        mixed = common.written(named.join(mixed, "bucket"), "mixed")
-        led = mixed.groupBy("bucket", "label").agg(F.min("row").alias("a"), F.min_by("n", "row").alias("a_n"))
-        crossed = mixed.join(led.withColumnRenamed("label", "other"), "bucket").filter("label != other")
-        pairs = common.written(near_in_size(crossed.select("a", "a_n", F.col("row").alias("b"), F.col("n").alias("b_n")))
-                               .join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        found = common.written(verify(pairs, texts, threshold), "links")
-        tested = tested.unionByName(pairs)
-        if found.isEmpty():
+        of = lambda name: labels.select(F.col("row").alias(name), F.col("label").alias(name + "_class"))
+        apart = (misses.join(of("a"), "a").join(of("b"), "b", "left").filter("b_class is null or b_class != a_class")
+                 .select("a", "b", "j"))
+        fresh = common.written(link_misses(apart, both_ways(fresh.filter(F.col("j") >= threshold)), texts, threshold), "links")
+        if fresh.isEmpty():
             break
-        edges = edges.unionByName(found)
+        edges = edges.unionByName(fresh.select("a", "b"))
     of_print = reps.join(labels.withColumnRenamed("row", "rep"), "rep", "left").select(
         "print", F.coalesce("label", "rep").alias("class"))
     return signed.drop(key), (slim.select("row", "print").join(of_print, "print", "left")
