@@ -141,15 +141,18 @@ def pack_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     rows = common.written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                           .mapInArrow(pack, out_schema), "matrix")
-    counts = sorted((r["part"], r["n"]) for r in rows.groupBy("part").agg(F.count("*").alias("n")).collect())
+    # rows before each written partition: one number per partition, looked up
+    # where the rows are, so the matrix itself is not shuffled
     base, total = {}, 0
-    for part, n in counts:                           # one number per written partition
+    for part, n in sorted((r["part"], r["n"]) for r in rows.groupBy("part").agg(F.count("*").alias("n")).collect()):
         base[part] = total
         total += n
-    firsts = rows.sparkSession.createDataFrame(list(base.items()), "part bigint, first bigint")
-    return (rows.join(firsts, "part")
-            .select((F.col("first") + F.col("line")).alias("sequence_id"), "ids", "cu_seqlens", "positions",
-                    "doc_ids", "starts", "doc_tokens"))
+
+    def number(parts: pa.Array, lines: pa.Array) -> pa.Array:
+        return pa.array([base[p] + i for p, i in zip(parts.to_pylist(), lines.to_pylist())], pa.int64())
+
+    return rows.select(F.arrow_udf(number, "bigint")("part", "line").alias("sequence_id"), "ids", "cu_seqlens", "positions",
+                       "doc_ids", "starts", "doc_tokens")
 
 
 def pieces(matrix: DataFrame) -> DataFrame:
