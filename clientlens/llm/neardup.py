@@ -19,9 +19,11 @@ each bucket having two leaders; (4) leaders and members are verified
 by exact multiset overlap, streamed group by group, a leader with many members
 being split over tasks; rows that miss a leader narrowly and are not in its
 class are tested against the rows linked to it, as far as the triangle
-inequality leaves a chance;
-(5) components. Members of a group are never paired with each other, so a
-group of n copies costs about 2 n pairs.
+inequality leaves a chance; (5) the rows of a bucket that are linked to neither
+leader are compared with each other, in tiles of bounded size, unless they are
+in one class already; (6) components. So every pair that shares a bucket is
+decided, while a group of n copies costs about 2 n pairs: only rows that both
+leaders leave over are compared all with all, inside tasks.
 
 Each pair of similarity s shares a band with probability
 1 - (1 - s^5)^32, which is 1 - 3e-6 at 0.8 and 1 - 7e-9 at 0.85.
@@ -47,6 +49,7 @@ from clientlens.llm.decontam import words_of
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
 GROUP_ROWS = 256             # members that one task verifies against a copy of their leader
+TILE_ROWS, TILE_SHINGLES = 512, 1 << 20     # about as many rows and shingles has a side of a tile
 
 _GOLD, _SILVER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
@@ -241,6 +244,91 @@ def link_misses(misses: DataFrame, links: DataFrame, texts: DataFrame, threshold
             .sortWithinPartitions("a", "tx", "ty", "role").mapInArrow(check, "a bigint, b bigint, j double"))
 
 
+def overlaps(held: list[tuple[np.ndarray, np.ndarray]]):
+    """A function of one (sorted hashes, weights) multiset that gives its
+    weighted Jaccard similarity with each one of ``held``."""
+    h, w = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+    of = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
+    size = np.bincount(of, weights=w, minlength=len(held))
+    order = np.argsort(h, kind="stable")
+    h, w, of = h[order], w[order], of[order]
+    begins = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    keys, lengths = h[begins], np.diff(np.append(begins, len(h)))
+
+    def similar(own: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        at = np.searchsorted(keys, own[0])
+        at[at == len(keys)] = 0
+        both = keys[at] == own[0]
+        at, n = at[both], lengths[at[both]]
+        i = np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        least = np.bincount(of[i], weights=np.minimum(w[i], np.repeat(own[1][both], n)), minlength=len(held))
+        return least / (size + own[1].sum() - least)
+
+    return similar
+
+
+def link_rest(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) links among the rows of each group (first, most) of ``rest``, which
+    has their number of shingles n and class too: all pairs of different classes
+    are compared, and enough links are given to join all classes that any pair
+    links. A group is dealt to tiles of about ``TILE_ROWS`` rows, a task compares
+    two tiles, so a group of k tiles sends each text k times."""
+    group = ["first", "most"]
+    alike = rest.groupBy(group).agg(
+        F.count("*").alias("c"), F.sum("n").alias("s"), F.min("class").alias("low"), F.max("class").alias("high"),
+        F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("rows"), F.expr("bit_xor(xxhash64(row, n))").alias("more"))
+    # groups of the same rows once
+    groups = (alike.filter("low != high").groupBy("c", "s", "rows", "more").agg(F.min(F.struct(*group)).alias("g"))
+              .select("g.*", F.ceil(F.greatest(F.col("c") / TILE_ROWS, F.col("s") / TILE_SHINGLES)).cast("int").alias("k")))
+    tile = F.pmod(F.xxhash64("row"), F.col("k")).cast("int")
+    sent = (rest.join(groups, group).select(*group, "row", "class", tile.alias("t"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("u"))
+            .select(*group, F.least("t", "u").alias("x"), F.greatest("t", "u").alias("y"), "t", "row", "class"))
+
+    def compare(one: list, two: list | None) -> list[tuple[int, int]]:
+        """``one`` with ``two``, or with itself; (tile, row, class, multiset) each."""
+        out, up = [], {}
+
+        def top(c):
+            while up.get(c, c) != c:
+                c = up[c]
+            return c
+        if not one or two == []:
+            return out
+        similar, of = overlaps([r[3] for r in one]), np.array([r[2] for r in one])
+        for i, (_, row, own_class, own) in enumerate(one if two is None else two):
+            mine = top(own_class)
+            others = of != mine
+            if two is None:
+                others[i:] = False
+            if not others.any():
+                continue
+            for k in np.flatnonzero(others & (similar(own) >= threshold)).tolist():
+                if (theirs := int(of[k])) != mine:
+                    out.append((row, one[k][1]))
+                    up[theirs] = mine
+                    of[of == theirs] = mine
+        return out
+
+    def check(batches):
+        now, sides = None, ([], [])
+        done = lambda: compare(sides[0], None if now[2] == now[3] else sides[1]) if now else []
+        record = lambda out: pa.RecordBatch.from_arrays(
+            [pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("first", "most", "x", "y", "t", "row", "class")]
+            out = []
+            for first, most, x, y, t, row, c, raw in zip(*cols, common.raw_texts(batch.column("text"))):
+                if (first, most, x, y) != now:
+                    out += done()
+                    now, sides = (first, most, x, y), ([], [])
+                sides[t != x].append((t, row, c, shingles([raw])[1:]))
+            yield record(out)
+        yield record(done())
+
+    return (sent.join(texts, "row").select(*group, "x", "y", "t", "row", "class", "text").repartition(*group, "x", "y")
+            .sortWithinPartitions(*group, "x", "y").mapInArrow(check, "a bigint, b bigint"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(row, label): the smallest row of the component, for every row of an
     edge (a, b), by alternating large and small stars; each round is written."""
@@ -294,8 +382,11 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
         signed.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
         .join(members.select("row").distinct(), "row", "left_semi"), "candidates")
 
+    # a similarity is at most the ratio of the sizes
+    miss = 2 * threshold - 1 - 1e-9
+
     def near_in_size(p: DataFrame) -> DataFrame:
-        return (p.filter(F.least("a_n", "b_n") >= F.lit(threshold) * F.greatest("a_n", "b_n"))
+        return (p.filter(F.least("a_n", "b_n") >= F.lit(miss) * F.greatest("a_n", "b_n"))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     led = members.select("row", "n", F.explode(F.array_distinct(F.array(*[
@@ -307,7 +398,7 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
     # a row that the leader is linked to only if its own distance from the
     # leader is less than one more link's. Such near misses that are not in the
     # leader's class are tested against those rows, until no link is new.
-    found = fresh = common.written(verify(pairs, texts, 2 * threshold - 1), "similar")
+    found = fresh = common.written(verify(pairs, texts, miss), "similar")
     misses = both_ways(found.filter(F.col("j") < threshold))
     edges = found.filter(F.col("j") >= threshold).select("a", "b")
     while True:
@@ -319,6 +410,18 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
         if fresh.isEmpty():
             break
         edges = edges.unionByName(fresh.select("a", "b"))
+
+    # A pair of bucket-mates is decided if one of them is linked to a leader of
+    # the bucket. What both leaders leave over is compared with each other;
+    # buckets with the same two leaders go together.
+    linked = both_ways(found.filter(F.col("j") >= threshold)).select("a", F.col("b").alias("row")).distinct()
+    rest = members.filter("row != first and row != most").select("row", "n", "first", "most")
+    for leader in ("first", "most"):
+        rest = rest.join(linked.withColumnRenamed("a", leader), ["row", leader], "left_anti")
+    rest = rest.join(labels, "row", "left").select("first", "most", "row", "n", F.coalesce("label", "row").alias("class"))
+    more = common.written(link_rest(common.written(rest, "rest"), texts, threshold), "rest-links")
+    if not more.isEmpty():
+        labels = common.written(components(edges.unionByName(more)), "labels")
     of_print = reps.join(labels.withColumnRenamed("row", "rep"), "rep", "left").select(
         "print", F.coalesce("label", "rep").alias("class"))
     return signed.drop(key), (slim.select("row", "print").join(of_print, "print", "left")

@@ -110,3 +110,34 @@ def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(50, 40), (40, 45), (60, 60), (40, 50)], "a bigint, b bigint")
     got = dict(neardup.components(edges).collect())
     assert got == {**{i: 1 for i in range(1, 31)}, 40: 40, 45: 40, 50: 40}
+
+
+def _template_family(rows=600, pairs=60):
+    """Rows on one template, unrelated ones at 80 / 106 = 0.755, and pairs of
+    rows at 83 / 103 = 0.806."""
+    rng = np.random.default_rng(3)
+    own = lambda n: [f"o{rng.integers(1 << 40)}" for _ in range(n)]
+    template = [f"t{i}" for i in range(84)]
+    texts = [template + own(13) for _ in range(rows - pairs)]
+    texts += [t[:87] + own(10) for t in texts[:pairs]]
+    return [(i, " ".join(texts[k])) for i, k in enumerate(rng.permutation(rows).tolist())]
+
+
+def test_overlaps_equal_overlap():
+    rng = np.random.default_rng(2)
+    bags = [neardup.shingles([" ".join(f"w{i}" for i in rng.integers(4, size=n)).encode()])[1:] for n in (3, 40, 300, 60, 1)]
+    similar = neardup.overlaps(bags)
+    for b in bags:
+        assert similar(b).tolist() == pytest.approx([neardup.overlap(a, b) for a in bags])
+
+
+def test_template_family_equals_brute_force(spark, monkeypatch):
+    """Rows that both leaders of a bucket leave over are compared too."""
+    monkeypatch.setattr(neardup, "TILE_ROWS", 100, raising=False)
+    rows = _template_family()
+    want = {rows[i][0]: rows[c][0] for i, c in enumerate(_brute_classes(rows))}
+    assert len(set(want.values())) == len(rows) - 60
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
+    assert len(set(got.values())) == len(rows) - 60, f"{len(rows) - len(set(got.values()))} of 60 pairs linked"
+    assert got == want
