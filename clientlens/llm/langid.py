@@ -148,10 +148,11 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", centroi
     df[list(by_dim)] = list(by_dim.values())
     idf = np.log((1 + total) / (1 + df)) + 1
 
-    # a bounded sample: rows under a hash limit that leaves about a fifth more
+    # a bounded sample: texts under a hash limit that leaves about a fifth more
     # than wanted, of which each language keeps the smallest
     key = F.xxhash64("text")
-    many = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # copies have one hash, so the share is one of the distinct hashes
+    many = {r["lang"]: r["count"] for r in rows.select("lang", key.alias("key")).distinct().groupBy("lang").count().collect()}
     if not many:
         return Model(idf, [], np.empty((0, _DIMS)), np.empty(0))
     share = F.element_at(F.create_map(*[F.lit(x) for lang, n in many.items()

@@ -75,6 +75,16 @@ def test_the_fit_does_not_depend_on_partitions(spark):
     assert a.langs == b.langs and np.allclose(a.idf, b.idf) and np.allclose(a.centroids, b.centroids, atol=1e-5)
 
 
+def test_a_language_of_many_copies_is_sampled_whole(spark):
+    """The sample counts distinct texts: 30,000 rows of 30 texts leave all 30."""
+    rows = [(i, f"ka lo mi ten ra {'ka' * (i % 30 + 1)}", "aa") for i in range(30)]
+    copies = _labelled(spark, rows).crossJoin(spark.range(1000).select(F.col("id").alias("copy"))).drop("copy")
+    few = _labelled(spark, rows)
+    other = _labelled(spark, [r for r in _texts(60) if r[2] == "bb"])
+    a, b = (langid.fit(x.unionByName(other), sample_per_lang=30) for x in (copies, few))
+    assert a.langs == b.langs and set(a.langs) == {"aa", "bb"}
+
+
 def test_prediction_ignores_lang_source_and_id(spark):
     rows = _texts(60)
     model = langid.fit(_labelled(spark, rows))
