@@ -3,8 +3,13 @@
 A text becomes the L2-normalised TF-IDF vector of its hashed letter n-grams
 (one to three letters, words kept apart). Each language has several centroids,
 found by spherical k-means; a text has the language of the centroid with the
-largest cosine, and is rejected when even that cosine is below the centroid's
-own limit, a fraction of what its training texts reach.
+largest cosine. It is rejected when even that cosine is below the centroid's own
+limit, a fraction of what its training texts reach, or when too many of its
+three-letter n-grams are unseen in the language's sample. The cosine alone fails
+with length, since collisions give any long text one; the share of unseen n-grams
+has the same mean at every length. Its limit is what nearly all training texts
+keep to when each is counted without itself, plus an allowance for chance that
+falls with the root of the number of n-grams.
 
 Fit: document frequencies are counted over all training rows (partial sums per
 task, then one small aggregation). The centroids are fitted on at most
@@ -32,6 +37,7 @@ from clientlens.llm import common
 
 DIMS_LOG2, MAX_N, CENTROIDS, SAMPLE_PER_LANG, ROUNDS, SEED = 12, 3, 4, 2000, 12, 3
 REJECT_QUANTILE, REJECT_FRACTION = 0.01, 0.3
+SEEN_LOG2, UNSEEN_QUANTILE, CHANCE, MARGIN = 20, 0.99, 1.5, 0.05
 UNKNOWN = "und"
 RESULT = "lang string, score double, rejected boolean, letters boolean"
 _DIMS = 1 << DIMS_LOG2
@@ -46,9 +52,10 @@ def _is_letter() -> np.ndarray:
     return _letter[0]
 
 
-def counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-gram counts (texts x dimensions) and which texts have a letter."""
-    points, doc = [], []
+def letters_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letters and separators (one after each word) of all texts: the text's
+    number, the code point (a blank for a separator) and whether it is a letter."""
+    points = []
     for t in texts:
         points.append(np.frombuffer((" " + t.lower() + " ").encode("utf-32-le", "replace"), np.uint32) if t else
                       np.full(1, 32, np.uint32))
@@ -57,7 +64,40 @@ def counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     letter = _is_letter()[p]
     keep = letter | np.concatenate([[True], letter[:-1]])          # one separator after each word
     keep[1:] |= doc[1:] != doc[:-1]
-    p, doc, letter = np.where(letter, p, 32)[keep].astype(np.uint64), doc[keep], letter[keep]
+    return doc[keep], np.where(letter, p, 32)[keep].astype(np.uint64), letter[keep]
+
+
+def seen_cells(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, cell) of every n-gram of ``MAX_N`` letters and separators."""
+    doc, p, _ = letters_of(texts)
+    m = max(len(p) - MAX_N + 1, 0)
+    gram = np.zeros(m, np.uint64)
+    for n in range(MAX_N):
+        gram = gram * np.uint64(0x110000) + p[n:n + m]
+    ok = doc[:m] == doc[len(doc) - m:]
+    return doc[:m][ok], (common.mix64(gram[ok]) >> np.uint64(64 - SEEN_LOG2)).astype(np.int64)
+
+
+def allowance(n: np.ndarray) -> np.ndarray:
+    return CHANCE / np.sqrt(np.maximum(n, 1))
+
+
+def unseen_limit(own: list[np.ndarray]) -> tuple[np.ndarray, float]:
+    """Which cells the training texts (each one's cells, and their counts in a
+    second row) have, and the share of
+    unseen n-grams, without the allowance, above which a text is rejected. Each
+    text is counted against the others: only cells of its own are unseen."""
+    df = np.zeros(1 << SEEN_LOG2, np.int64)
+    for c, _ in own:
+        df[c] += 1
+    n = np.array([k.sum() for _, k in own])
+    share = np.array([k[df[c] == 1].sum() for c, k in own]) / np.maximum(n, 1)
+    return df > 0, max(float(np.quantile(share - allowance(n), UNSEEN_QUANTILE)), 0.0) + MARGIN
+
+
+def counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-gram counts (texts x dimensions) and which texts have a letter."""
+    doc, p, letter = letters_of(texts)
     has = np.bincount(doc[letter], minlength=len(texts)) > 0
     out = np.zeros(len(texts) * _DIMS, np.float32)
     gram = np.zeros(len(p), np.uint64)
@@ -111,6 +151,22 @@ class Model:
     langs: list[str]             # of each centroid
     centroids: np.ndarray
     limits: np.ndarray
+    seen: dict[str, tuple[bytes, float]]    # of each language: packed cells, limit of the unseen share
+
+    def unseen(self, texts: list[str | None], langs: list[str]) -> np.ndarray:
+        """Is the share of n-grams that the text's language has not seen too large?"""
+        doc, cells = seen_cells(texts)
+        n = np.bincount(doc, minlength=len(texts))
+        new, limit = np.zeros(len(texts), np.int64), np.ones(len(texts))
+        for lang in set(langs):
+            bits, most = self.seen[lang]
+            mine = np.array([x == lang for x in langs])
+            at = mine[doc]
+            bits, c = np.frombuffer(bits, np.uint8), cells[at]
+            known = bits[c >> 3] >> (7 - (c & 7)).astype(np.uint8) & 1
+            new += np.bincount(doc[at][known == 0], minlength=len(texts))
+            limit[mine] = most
+        return new > (limit + allowance(n)) * n
 
     def predict(self, texts: list[str | None]):
         if not self.langs:
@@ -119,8 +175,9 @@ class Model:
         cos = v @ self.centroids.T
         best = np.argmax(cos, axis=1)
         top = np.clip(cos[np.arange(len(texts)), best], 0, 1).astype(float)
-        return [(self.langs[b], s, bool(s < self.limits[b]), True) if h else (UNKNOWN, 0.0, True, False)
-                for b, s, h in zip(best.tolist(), top.tolist(), has.tolist())]
+        strange = self.unseen(texts, [self.langs[b] for b in best])
+        return [(self.langs[b], s, bool(s < self.limits[b] or u), True) if h else (UNKNOWN, 0.0, True, False)
+                for b, s, h, u in zip(best.tolist(), top.tolist(), has.tolist(), strange.tolist())]
 
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", centroids: int = CENTROIDS,
@@ -154,7 +211,7 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", centroi
     # copies have one hash, so the share is one of the distinct hashes
     many = {r["lang"]: r["count"] for r in rows.select("lang", key.alias("key")).distinct().groupBy("lang").count().collect()}
     if not many:
-        return Model(idf, [], np.empty((0, _DIMS)), np.empty(0))
+        return Model(idf, [], np.empty((0, _DIMS)), np.empty(0), {})
     share = F.element_at(F.create_map(*[F.lit(x) for lang, n in many.items()
                                         for x in (lang, min(1.0, 1.2 * sample_per_lang / n + 64 / n))]), F.col("lang"))
     unit = F.pmod(key, F.lit(1 << 30)) / float(1 << 30)
@@ -166,20 +223,26 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", centroi
         out, t = [], texts.to_pylist()
         for i in range(0, len(t), _BLOCK):
             v, has = vectors(t[i:i + _BLOCK], idf)
-            out += [x.tobytes() if h else None for x, h in zip(v, has)]
-        return pa.array(out, pa.binary())
+            doc, c = seen_cells(t[i:i + _BLOCK])
+            ends = np.cumsum(np.bincount(doc, minlength=len(v)))
+            out += [{"v": x.tobytes(), "cells": np.array(np.unique(c[b - n:b], return_counts=True), np.int32).tobytes()} if h else None
+                    for x, h, b, n in zip(v, has, ends, np.diff(ends, prepend=0))]
+        return pa.array(out, pa.struct([("v", pa.binary()), ("cells", pa.binary())]))
 
     def centres(group):
         v = np.array([np.frombuffer(x, np.float32) for x in group.sort_values("key")["v"]])
         c, limits = cluster(v, centroids)
-        return group.iloc[:len(c)][["lang"]].assign(v=[x.tobytes() for x in c], limit=limits)
+        seen, unseen = unseen_limit([np.frombuffer(x, np.int32).reshape(2, -1) for x in group["cells"]])
+        return group.iloc[:len(c)][["lang"]].assign(
+            v=[x.tobytes() for x in c], limit=limits, seen=[np.packbits(seen).tobytes()] + [None] * (len(c) - 1), unseen=unseen)
 
-    found = (sample.select("lang", "key", F.arrow_udf(cells, "binary").asNondeterministic()("text").alias("v"))
-             .filter("v is not null").groupBy("lang").applyInPandas(centres, "lang string, v binary, limit double")
+    found = (sample.select("lang", "key", F.arrow_udf(cells, "v binary, cells binary").asNondeterministic()("text").alias("x"))
+             .filter("x is not null").select("lang", "key", "x.v", "x.cells").groupBy("lang")
+             .applyInPandas(centres, "lang string, v binary, limit double, seen binary, unseen double")
              .collect())                                                     # a few rows per language
     found = sorted(found, key=lambda r: (r.lang, r.v))
     return Model(idf, [r.lang for r in found], np.array([np.frombuffer(r.v, np.float32) for r in found]).reshape(-1, _DIMS),
-                 np.array([r.limit for r in found]))
+                 np.array([r.limit for r in found]), {r.lang: (bytes(r.seen), r.unseen) for r in found if r.seen is not None})
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:

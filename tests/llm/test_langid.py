@@ -69,6 +69,23 @@ def test_held_out_accuracy_rejection_and_und(spark):
     assert all(0 <= r[name].score <= 1 for r in got.values())
 
 
+def test_rejection_does_not_depend_on_length(spark):
+    """Unknown scripts and random letters go at every length, no known text does."""
+    rng = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    alphabets = {"cyrillic": (0x430, 0x44F), "greek": (0x3B1, 0x3C9), "arabic": (0x627, 0x64A), "han": (0x4E00, 0x9FA5), "latin": (97, 122)}
+    kept = {}
+    for name, (a, b) in alphabets.items():
+        for n in (20, 100, 400, 2000, 5000):
+            texts = [" ".join("".join(chr(rng.randint(a, b)) for _ in range(rng.randint(2, 9))) for _ in range(n)) for _ in range(3)]
+            if not all(r[2] for r in model.predict(texts)):
+                kept[name, n] = [(r[0], round(r[1], 3)) for r in model.predict(texts)]
+    assert not kept
+    known = [r.text for r in docs.filter(langid.held_out(F.col("doc_id")) & F.col("text").isNotNull()).collect()]
+    assert sum(r[2] for r in model.predict(known)) <= 0.005 * len(known)
+
+
 def test_the_fit_does_not_depend_on_partitions(spark):
     docs = _labelled(spark, _texts(120))
     a, b = langid.fit(docs.repartition(7)), langid.fit(docs.coalesce(1))
