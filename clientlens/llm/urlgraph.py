@@ -23,13 +23,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clientlens.llm import common
 from clientlens.llm.decontam import LOWER, UPPER
 
 DAMPING, ROUNDS, ROUNDS_A_TABLE, THRESHOLD = 0.85, 12, 4, 1.0
+RESIDUAL = 1e-6              # the walk goes on until at most this part of its mass is left
+RELATIVE = 1e-9              # sums in another order differ by less than this part
 ALLOW, BLOCK = "allow", "block"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)(?:href|src)\s*=\s*[\"']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]+)"
@@ -82,8 +84,9 @@ def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
             .groupBy("source", "target").agg(F.sum("links").alias("links")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) of every host that either reaches. ``seeds``:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = ROUNDS) -> DataFrame:
+    """(host, trust, distrust) of every host that either reaches after ``rounds``
+    rounds, or with none given once at most ``RESIDUAL`` is left. ``seeds``:
     (host, trust, distrust), each summing to 1 or 0. Mass that flows into a
     host without links leaves the graph."""
     out = edges.groupBy("source").agg(F.sum("links").alias("all_out"))
@@ -96,13 +99,19 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         "ways")
     start = seeds.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"))
     ranks = start = common.written(start, "seeds")
-    for i in range(rounds):
+    i, mass, left = 0, 0.0, 1.0
+    while left > RESIDUAL if rounds is None else i < rounds:
         flow = ways.join(ranks, "host").select(F.col("to").alias("host"), (F.col("t") * F.col("trust") * damping).alias("trust"),
                                                (F.col("d") * F.col("distrust") * damping).alias("distrust"))
         ranks = (flow.unionByName(start).groupBy("host")
                  .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
-        if (i + 1) % ROUNDS_A_TABLE == 0 and i + 1 < rounds:
-            ranks = common.written(ranks, "ranks")
+        i += 1
+        if i % ROUNDS_A_TABLE == 0 and i != rounds:
+            seen = Observation()
+            ranks = common.written(ranks.observe(seen, F.sum(F.col("trust") + F.col("distrust")).alias("mass")), "ranks")
+            # each round adds at most ``damping`` times what the last one added
+            before, mass = mass, seen.get["mass"] or 0.0
+            left = (mass - before) * damping ** ROUNDS_A_TABLE / (1 - damping ** ROUNDS_A_TABLE)
     return ranks
 
 
@@ -121,11 +130,11 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None, id_col: str = "page
     share = lambda x, t: F.coalesce(F.try_divide(F.col(x), F.col(t)), F.lit(0.0))
     seeds = (counts.withColumn("k", F.lit(1)).join(total.withColumn("k", F.lit(1)), "k")      # total is a single row
              .select("host", share("a", "all_a").alias("trust"), share("b", "all_b").alias("distrust")))
-    ranks = propagate(common.written(host_edges(rows, "html"), "edges"), seeds)
+    ranks = propagate(common.written(host_edges(rows, "html"), "edges"), seeds, rounds=None)
     found = ruled.select(id_col, "host", "path", "fit").join(ranks, "host", "left")
     trust, distrust = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("trust", "distrust"))
-    # compared to 12 decimals: sums in another order differ beyond
-    spread = F.when(F.round(distrust, 12) > F.round(trust * threshold, 12), F.lit(BLOCK)).otherwise(F.lit(ALLOW))
+    # by a relative tolerance: ranks get smaller as the input grows
+    spread = F.when(distrust > trust * threshold * (1 + RELATIVE), F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return found.select(id_col, "host", "path", F.col("fit.rule").alias("rule"),
                         F.coalesce(F.col("fit.verdict"), spread).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"))
 

@@ -73,3 +73,15 @@ def test_parent_domains_are_edges(spark):
 
 def test_empty(spark):
     assert urlgraph.judge(_pages(spark, [])).count() == 0
+
+
+def test_small_and_far_distrust_blocks(spark):
+    """Verdicts depend neither on the size of the ranks nor on the distance."""
+    link = lambda *hosts: "".join(f'<a href="//{h}/">' for h in hosts)
+    chain = [(i, f"http://h{i}.x/", link("bad.c" if i == 1 else f"h{i - 1}.x")) for i in range(1, 21)]
+    rare = [(100 + i, f"http://r{i}.x/", link("vile.c" if i == 1 else f"r{i - 1}.x")) for i in range(1, 4)]
+    much = [(200 + i, f"http://m{i}.x/", link(*["vile.c" if i == 1 else f"r{i - 1}.x"] * 20_000)) for i in range(1, 4)]
+    rows = _pages(spark, [(0, "http://bad.c/", ""), (99, "http://vile.c/", ""), (98, "http://alone.e/", ""), *chain, *rare, *much])
+    got = urlgraph.judge(rows, [Rule("bad.c", "/", "block"), Rule("vile.c", "/", "block")]).collect()
+    assert min(r.distrust for r in got if r.page_id == 103) < 5e-13
+    assert [r.page_id for r in got if r.verdict == "allow"] == [98]
