@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -119,8 +120,18 @@ def rolling(h: np.ndarray, n: int) -> np.ndarray:
     return mix64(out)
 
 
-def tail(df: DataFrame, offsets: dict[int, int], pid: str) -> F.Column:
-    """Per-partition base offsets (one number per written partition) as a
-    column looked up by the partition number ``pid``."""
-    pairs = [F.lit(x) for kv in offsets.items() for x in kv]
-    return F.element_at(F.create_map(*pairs), F.col(pid)) if pairs else F.lit(0).cast("long")
+PIECE_BYTES = 1 << 20
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(raw: bytes, limit: int = PIECE_BYTES):
+    """Consecutive parts of a text of about ``limit`` bytes, cut at blanks only:
+    a very long text is worked on part by part, and no word is cut."""
+    at = 0
+    while len(raw) - at > limit:
+        blank = _BLANK.search(raw, at + limit)
+        if blank is None:
+            break
+        yield raw[at:blank.start()]
+        at = blank.end()
+    yield raw[at:] if at else raw

@@ -149,6 +149,24 @@ FROM f
 """
 
 
+# the score of every document that shares a term with an item, and the first ten
+OP13 = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {WORDS_1} AS w FROM documents WHERE text IS NOT NULL),
+q AS (SELECT item_id, row_number() OVER () AS q, {WORDS_1} AS w FROM benchmark WHERE text IS NOT NULL),
+size AS (SELECT count(*) FILTER (len(w) > 0) AS docs, sum(len(w)) AS words FROM d),
+damp AS (SELECT r, doc_id, 25 + ((75 * len(w) * docs) // words)::BIGINT AS m FROM d, size WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+asked AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(w) AS term FROM q) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+           FROM tf, size GROUP BY term, docs),
+scored AS (SELECT q, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+           FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN damp USING (r) GROUP BY q, r),
+ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+           FROM scored JOIN damp USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN q USING (q) WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_benchmark_decontamination": OP1, "op2_url_filters": _op2(), "op5_quality_rules": _op5(),
-            "op6_license_scans": _op6(), "op7_warc": OP7}
+            "op6_license_scans": _op6(), "op7_warc": OP7, "op13_lexical_search": OP13}

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientlens.llm import (binpack, common, decontam, langid, licenses, neardup, packing, quality, sharding,
-                            urlgraph, warc)
+from clientlens.llm import (binpack, common, decontam, langid, lexical, licenses, neardup, packing, quality, sharding,
+                            simhash, urlgraph, warc, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,6 +93,29 @@ def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(binpack.pieces(binpack.pack_matrix(common.table(spark, sf_dir, "documents"))), "first_position")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened coordinates of every embedding."""
+    rows, name, fit = whitening.whiten(common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding",
+                                       components=whitening.COMPONENTS)
+    w = F.col(name)
+    each = rows.select("vec_id", w["deviation"].alias("deviation"), F.posexplode(w["whitened"]).alias("at", "whitened"))
+    shares = [float(x) for x in fit.explained] if fit else [0.0]
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(fit.n if fit else 0).cast("long").alias("n"),
+                       "deviation", "whitened", F.element_at(F.array(*map(F.lit, shares)), F.col("at") + 1).alias("explained"),
+                       F.lit(fit.error if fit else 0.0).alias("identity_error"))
+
+
+def op12_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs = common.table(spark, sf_dir, "documents")
+    return lexical.search(lexical.build(docs), docs, common.table(spark, sf_dir, "benchmark"))
+
+
 def _pieces(pieces: DataFrame, *more: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", *more)

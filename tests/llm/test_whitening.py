@@ -1,0 +1,99 @@
+import math
+import random
+
+import numpy as np
+from .helpers import sf_dir
+from pyspark.sql import functions as F
+
+from clientlens.llm import whitening
+from clientlens.llm.queries import op11_embedding_whitening
+
+INF, NAN = float("inf"), float("nan")
+
+
+def plain(rows, components=4, scale=256):
+    """{row number: (deviation, whitened)}, n, shares, by plain numpy on the whole table."""
+    x = {i: tuple(math.floor(scale * float(np.float32(c))) for c in v) for i, v in rows}
+    fit = sorted(set(x.values()))
+    n, s = len(fit), [sum(c) for c in zip(*fit)]
+    centred = np.array([[(n * p - q) / n for p, q in zip(v, s)] for v in fit])
+    v = centred.T @ centred / n
+    e, u = np.linalg.eigh(v)
+    e, u = e[::-1][:components], u[:, ::-1][:, :components]
+    out = {i: (sum((n * p - q) ** 2 for p, q in zip(v, s)),
+               np.array([(n * p - q) / n for p, q in zip(v, s)]) @ u / np.sqrt(e)) for i, v in x.items()}
+    return out, n, e / np.trace(v)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+
+
+def some(rng, n, d, shift=0.0):
+    return [[rng.gauss(shift, 0.1 * (j + 1)) for j in range(d)] for _ in range(n)]
+
+
+def test_query_equals_plain_numpy(spark):
+    rng = random.Random(2)
+    vectors = some(rng, 300, 7, shift=3.0)
+    rows = list(enumerate(vectors + [vectors[0]] * 200 + [[c + 1e-4 for c in vectors[1]]]))
+    bad = [(1000, None), (1001, [None] + [0.0] * 6), (1002, [NAN] * 7), (1003, [INF] + [0.0] * 6), (1004, []), (1005, [1.0])]
+    want, n, shares = plain(rows)
+    got = op11_embedding_whitening(spark, sf_dir(embeddings=table(spark, rows + bad).repartition(7))).collect()
+    assert len(got) == 4 * len(rows)
+    sign = {}
+    for r in sorted(got, key=lambda r: (r.vec_id, r.component)):
+        deviation, w = want[r.vec_id]
+        c = w[r.component - 1]
+        sign.setdefault(r.component, math.copysign(1, c * r.whitened))
+        assert (r.n, r.deviation) == (n, deviation)
+        assert abs(r.whitened * sign[r.component] - c) < 1e-9
+        assert abs(r.explained / shares[r.component - 1] - 1) < 1e-9
+        assert 0 <= r.identity_error < 1e-9
+
+
+def test_many_blocks_and_splits_give_the_same(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = list(enumerate(some(rng, 200, 5)))
+    df = table(spark, rows).repartition(6)
+    one = whitening.whiten(df)
+    monkeypatch.setattr(whitening, "SPLIT_BLOCKS", 2)
+    many = whitening.whiten(df, block_entries=50)
+    assert one[2].n == many[2].n == len({tuple(math.floor(256 * np.float32(c)) for c in v) for _, v in rows})
+    assert np.array_equal(one[2].components, many[2].components) and np.array_equal(one[2].variances, many[2].variances)
+    flat = lambda w: {r.vec_id: r[w[1]]["whitened"] for r in w[0].collect()}
+    a, b = flat(one), flat(many)
+    assert a.keys() == b.keys() and all(np.allclose(a[i], b[i], atol=1e-12) for i in a)
+    # all components: the covariance of the fit list is the identity
+    assert len(next(iter(a.values()))) == 5 and one[2].error < 1e-9
+
+
+def test_a_mean_far_from_zero_costs_no_digits(spark):
+    rng = random.Random(4)
+    rows = [(i, [1e6 + rng.random(), rng.random()]) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    _, _, fit = whitening.whiten(df)
+    x = np.array([[math.floor(256 * c) for c in v] for _, v in rows], np.float64)
+    assert np.allclose(fit.variances, np.linalg.eigvalsh(np.cov(x.T, bias=True))[::-1], rtol=1e-9) and fit.error < 1e-9
+
+
+def test_tables_without_components(spark):
+    for rows in ([], [(1, None)], [(1, [1.0, 2.0])] * 3, [(1, [])]):
+        out, name, fit = whitening.whiten(table(spark, rows))
+        assert out.collect() == [] and fit is None and name in out.columns
+        assert op11_embedding_whitening(spark, sf_dir(embeddings=table(spark, rows))).collect() == []
+
+
+def test_constant_dimensions_are_left_out_and_columns_pass(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1), 5.0, rng.gauss(0, 2)]) for i in range(50)]
+    df = table(spark, rows).withColumn("__whitened", F.lit("taken")).withColumn("index", F.lit(7)).withColumn("x", F.lit(1))
+    out, name, fit = whitening.whiten(df)
+    assert len(fit.variances) == 2 and out.columns == ["vec_id", "embedding", "__whitened", "index", "x", name]
+    assert out.filter("__whitened = 'taken' and index = 7").count() == 50
+
+
+def test_a_deviation_beyond_64_bits_is_null(spark):
+    rows = [(1, [1e15, 0.0]), (2, [-1e15, 1.0]), (3, [0.0, 2.0])]
+    out, name, _ = whitening.whiten(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    assert {r.vec_id: r[name]["deviation"] for r in out.collect()}[1] is None
