@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clientlens.operators import changes, key_index
 from clientlens.operators.marts import fact_transactions
 
 
@@ -72,45 +73,61 @@ def touched_partitions(target: DataFrame, batch: DataFrame, key: str, part: str)
     return batch.select(part).unionByName(replaced.select(part)).distinct()
 
 
-def rewrite_partitions(target: DataFrame, batch: DataFrame, key: str, part: str) -> tuple[DataFrame, list]:
+def rewrite_partitions(target: DataFrame, batch: DataFrame, key: str, part: str,
+                       touched: list | None = None) -> tuple[DataFrame, list]:
     """New content of the touched partitions only: their target rows minus the
     replaced keys, plus the batch. Returns (content, touched values).
 
     The touched values (one per partition, bounded by the calendar) are
     collected so the target is read through a literal partition filter:
-    untouched partitions are never scanned."""
-    touched = [r[0] for r in touched_partitions(target, batch, key, part).collect()]
-    values = [v for v in touched if v is not None]
-    in_touched = F.col(part).isin(values) if values else F.lit(False)
-    if len(values) < len(touched):                   # the NULL (default) partition
-        in_touched = in_touched | F.col(part).isNull()
-    kept = target.filter(in_touched).join(batch.select(key), key, "left_anti")
+    untouched partitions are never scanned. Values that the caller knows
+    (``touched``, from the key index) save the scan of the target's keys."""
+    if touched is None:
+        touched = [r[0] for r in touched_partitions(target, batch, key, part).collect()]
+    kept = target.filter(changes.in_periods(part, touched)).join(batch.select(key), key, "left_anti")
     return kept.unionByName(batch.select(*target.columns)), touched
 
 
 def refresh_fact_partitions(transactions: DataFrame, dim: DataFrame, table_path: str, stage_path: str,
-                            lookback_days: int = 3, closed: str = "left", period: str = "day") -> None:
+                            lookback_days: int = 3, closed: str = "left", period: str = "day",
+                            index_path: str | None = None, followers: tuple[str, ...] = ()) -> None:
     """Q13 on a fact stored partitioned by event ``period``: the same merge as
     ``refresh_fact_transactions``, but only the touched partitions are written
-    (staged, then swapped in by dynamic partition overwrite), so a run costs
-    the size of its slice plus one key scan, not a rewrite of the table.
+    (staged, then swapped in by dynamic partition overwrite). With ``index_path``
+    the touched partitions come from the key index kept there, and a run reads of
+    the table the newest partition's times, the touched partitions and the keys of
+    partitions that the index names; without, it scans the key column.
 
     A run that was stopped during its swap is finished first, from its stage:
     the cutoff of this run then comes from the whole table, as if that run had
-    not been stopped."""
+    not been stopped. Tables derived from the fact (``followers``: their folders)
+    get a note of the touched periods before the table changes."""
     from clientlens.sources import readers, sinks
-    part = PERIOD_COLUMNS[period]
+    part, key = PERIOD_COLUMNS[period], "transaction_id"
     spark = transactions.sparkSession
     sinks.finish_swap(spark, table_path, stage_path)
     target = spark.read.parquet(table_path) if readers.table_exists(spark, table_path) else None
-    batch = (fact_transactions(select_batch(transactions, target, "event_timestamp", lookback_days),
+    # times rise with the periods: the newest one holds the newest time
+    latest = None if target is None else target.filter(F.col(part) == changes.newest(target, part))
+    batch = (fact_transactions(select_batch(transactions, latest, "event_timestamp", lookback_days),
                                dim, closed)
              .withColumn(part, period_of(F.col("event_timestamp"), period)))
     if target is None:
         sinks.write_table(batch, table_path, [part])
+        if index_path is not None:
+            sinks.remove(spark, index_path)
+            key_index.follow(spark, spark.read.parquet(table_path), index_path, key, part)
         return
     # the slice feeds the touched partitions, the key anti-join and the new rows
     batch = batch.checkpoint(eager=True)
-    content, touched = rewrite_partitions(target, batch, "transaction_id", part)
+    touched = None
+    if index_path is not None:
+        key_index.follow(spark, target, index_path, key, part)
+        touched = key_index.touched(target, key_index.read(spark, index_path, part), batch, key, part)
+    content, touched = rewrite_partitions(target, batch, key, part, touched)
     if touched:
+        for root in (*followers, *([index_path] if index_path is not None else [])):
+            changes.announce(spark, root, part, touched)
         sinks.overwrite_partitions(spark, content, touched, table_path, part, stage_path)
+        if index_path is not None:
+            key_index.follow(spark, spark.read.parquet(table_path), index_path, key, part)
