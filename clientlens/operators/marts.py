@@ -83,24 +83,30 @@ def fact_support(tickets: DataFrame, dim: DataFrame, run_ts: str, closed: str =
         F.lit(run_ts).cast("timestamp").alias("_loaded_at"))
 
 
-def transaction_features(facts: DataFrame, as_of: str) -> DataFrame:
-    """30-day, 90-day and lifetime measures plus the 90-day channel
-    mode, from one shuffle of the fact table.
+def window_start(as_of: str, days: int):
+    """First day of a trailing window that ends on the as-of date."""
+    return F.date_sub(_date(as_of), days)
 
-    Facts are combined per (customer, channel) first — map-side, so a hot
-    customer is pre-aggregated before it moves — then per customer over at
-    most one row per channel.
-    """
+
+def channel_measures(facts: DataFrame, as_of: str) -> DataFrame:
+    """G6-G9 per (customer, channel): sums, counts and the newest time of the 30-day,
+    90-day and lifetime windows. Combined map-side, so a hot customer is
+    pre-aggregated before it moves."""
     ts, amt, tid = F.col("event_timestamp"), F.col("amount"), F.col("transaction_id")
-    in30 = ts >= F.date_sub(_date(as_of), 30).cast("timestamp")
-    in90 = ts >= F.date_sub(_date(as_of), 90).cast("timestamp")
-    per_channel = facts.groupBy("customer_id", "channel").agg(
+    in30 = ts >= window_start(as_of, 30).cast("timestamp")
+    in90 = ts >= window_start(as_of, 90).cast("timestamp")
+    return facts.groupBy("customer_id", "channel").agg(
         F.sum(F.when(in30, amt)).alias("s30"), F.count(F.when(in30, amt)).alias("a30"),
         F.count(F.when(in30, tid)).alias("c30"),
         F.sum(F.when(in90, amt)).alias("s90"), F.count(F.when(in90, amt)).alias("a90"),
         F.count(F.when(in90, tid)).alias("c90"),
         F.count_if(in90).alias("r90"),
         F.sum(amt).alias("sl"), F.count(tid).alias("cl"), F.max(ts).alias("mx"))
+
+
+def features_from_channels(per_channel: DataFrame, as_of: str) -> DataFrame:
+    """The transaction features of each customer from ``channel_measures`` rows
+    (at most one row per channel)."""
     r90 = F.col("r90")
     per_customer = per_channel.groupBy("customer_id").agg(
         *[F.sum(c).alias(c) for c in ("s30", "a30", "c30", "s90", "a90", "c90", "sl", "cl")],
@@ -123,17 +129,32 @@ def transaction_features(facts: DataFrame, as_of: str) -> DataFrame:
         day_diff(_date(as_of), F.col("last_transaction_at")).alias("days_since_last_transaction"))
 
 
-def support_features(support: DataFrame) -> DataFrame:
-    """Ticket count, mean resolution hours and the category mode."""
-    per_cat = support.groupBy("customer_id", "category").agg(
+def transaction_features(facts: DataFrame, as_of: str) -> DataFrame:
+    """30-day, 90-day and lifetime measures plus the 90-day channel
+    mode, from one shuffle of the fact table."""
+    return features_from_channels(channel_measures(facts, as_of), as_of)
+
+
+def category_measures(support: DataFrame) -> DataFrame:
+    """G10-G12 per (customer, category): tickets and resolution hours."""
+    return support.groupBy("customer_id", "category").agg(
         F.count(F.lit(1)).alias("n"), F.count("ticket_id").alias("t"),
         F.sum("resolution_hours").alias("hs"), F.count("resolution_hours").alias("hn"))
+
+
+def features_from_categories(per_cat: DataFrame) -> DataFrame:
+    """The support features of each customer from ``category_measures`` rows."""
     return per_cat.groupBy("customer_id").agg(
         F.sum("t").alias("total_tickets_lifetime"),
         (F.sum("hs").cast("double") / F.sum("hn")).alias("avg_resolution_hours"),
         F.min_by(F.col("category"), mode_key(F.col("n"), F.col("category"))).alias("most_common_support_category"))
 
 
+def support_features(support: DataFrame) -> DataFrame:
+    """Ticket count, mean resolution hours and the category mode."""
+    return features_from_categories(category_measures(support))
+
+
 def feature_store_customer(dim: DataFrame, facts: DataFrame, support: DataFrame,
                            as_of: str, run_ts: str) -> DataFrame:
     """Q15-Q17: one row per current customer version.
@@ -142,11 +163,14 @@ def feature_store_customer(dim: DataFrame, facts: DataFrame, support: DataFrame,
     two modes stay NULL. High value: lifetime spend > 500. Churn risk:
     recency > 60 days and lifetime spend > 1000.
     """
+    return feature_rows(dim, transaction_features(facts, as_of), support_features(support), as_of, run_ts)
+
+
+def feature_rows(dim: DataFrame, tx: DataFrame, sp: DataFrame, as_of: str, run_ts: str) -> DataFrame:
+    """The feature table from the transaction and support features of each customer."""
     cur = (dim.filter(F.col("is_current"))
            .select("customer_id", "loyalty_tier", "customer_segment", "state", "signup_date",
                    "is_likely_duplicate"))
-    tx = transaction_features(facts, as_of)
-    sp = support_features(support)
     j = cur.join(tx, "customer_id", "left").join(sp, "customer_id", "left")
     zero = F.lit(0)
     spend = F.coalesce(F.col("total_spend_lifetime"), zero.cast(MONEY))
