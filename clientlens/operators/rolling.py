@@ -31,27 +31,29 @@ from pyspark.sql import functions as F
 DAY = 86400
 
 
-def rolling_sum_count(df: DataFrame, key: str, ts: str, value: Column | str, counted: str,
-                      days: int, sum_name: str, count_name: str,
-                      sum_type: str = "decimal(18,2)") -> DataFrame:
-    """Append ``sum_name`` (sum of ``value``) and ``count_name`` (count of
-    non-null ``counted``) over the trailing ``days``-day frame of each row."""
-    value = F.col(value) if isinstance(value, str) else value
-    span = days * DAY
+METRICS = ["s", "nv", "nc"]
+
+
+def _keyed(df: DataFrame, key: str, ts: str) -> DataFrame:
     # the key wrapped in a struct: never NULL and equal when both keys are NULL,
     # so plain equi-joins keep NULL keys together (as a window partition does)
     # and can reuse the (key, day) / (key, second) partitioning of earlier steps
-    base = df.withColumn("_rk", F.struct(F.col(key).alias("k"))).withColumn("_rs", F.unix_seconds(F.col(ts)))
+    return df.withColumn("_rk", F.struct(F.col(key).alias("k"))).withColumn("_rs", F.unix_seconds(F.col(ts)))
+
+
+def second_sums(df: DataFrame, key: str, ts: str, value: Column, counted: str) -> DataFrame:
+    """One row per (key, second): peers in the same second collapse here."""
+    return (_keyed(df, key, ts).filter(F.col("_rs").isNotNull())
+            .groupBy("_rk", "_rs")
+            .agg(F.coalesce(F.sum(value), F.lit(0)).alias("s"),
+                 F.count(value).alias("nv"),
+                 F.count(F.col(counted)).alias("nc"))
+            .withColumn("_rd", F.floor(F.col("_rs") / DAY).cast("bigint")))
 
-    # one row per (key, second): peers in the same second collapse here
-    per_sec = (base.filter(F.col("_rs").isNotNull())
-               .groupBy("_rk", "_rs")
-               .agg(F.coalesce(F.sum(value), F.lit(0)).alias("s"),
-                    F.count(value).alias("nv"),
-                    F.count(F.col(counted)).alias("nc"))
-               .withColumn("_rd", F.floor(F.col("_rs") / DAY).cast("bigint")))
 
-    metrics = ["s", "nv", "nc"]
+def second_frames(per_sec: DataFrame, days: int, sum_name: str, count_name: str, sum_type: str) -> DataFrame:
+    """(``_ok``, ``_os``, sum, count): the trailing frame of every (key, second)."""
+    span, metrics = days * DAY, METRICS
     in_day = Window.partitionBy("_rk", "_rd")
     upto = in_day.orderBy("_rs").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prefix = per_sec.select(
@@ -96,10 +98,23 @@ def rolling_sum_count(df: DataFrame, key: str, ts: str, value: Column | str, cou
               .select(F.col("_rk").alias("_ok"), F.col("_rs").alias("_os"),
                       *[(F.col("p_" + m) + F.coalesce(F.col("f_" + m), z) + F.coalesce(F.col("l_" + m), z))
                         .alias("w_" + m) for m in metrics]))
-    per_second = per_second.select(
+    return per_second.select(
         "_ok", "_os",
         F.when(F.col("w_nv") > 0, F.col("w_s")).cast(sum_type).alias(sum_name),
         F.col("w_nc").cast("bigint").alias(count_name))
 
-    out = base.join(per_second, (F.col("_rk") == F.col("_ok")) & (F.col("_rs") == F.col("_os")), "left")
+
+def with_frames(df: DataFrame, key: str, ts: str, frames: DataFrame, sum_name: str, count_name: str) -> DataFrame:
+    """``df`` with the frame of each row's (key, second)."""
+    out = _keyed(df, key, ts).join(frames, (F.col("_rk") == F.col("_ok")) & (F.col("_rs") == F.col("_os")), "left")
     return out.select(*df.columns, sum_name, count_name)
+
+
+def rolling_sum_count(df: DataFrame, key: str, ts: str, value: Column | str, counted: str,
+                      days: int, sum_name: str, count_name: str,
+                      sum_type: str = "decimal(18,2)") -> DataFrame:
+    """Append ``sum_name`` (sum of ``value``) and ``count_name`` (count of
+    non-null ``counted``) over the trailing ``days``-day frame of each row."""
+    value = F.col(value) if isinstance(value, str) else value
+    frames = second_frames(second_sums(df, key, ts, value, counted), days, sum_name, count_name, sum_type)
+    return with_frames(df, key, ts, frames, sum_name, count_name)
