@@ -205,3 +205,31 @@ def write_raw_inputs(spark: SparkSession, sf_dir: str, raw_dir: str, delivery: s
     raw_loyalty_events(spark, sf_dir).write.mode("overwrite").option("header", True).csv(p("loyalty_events"))
     duplicate_key(spark, sf_dir).write.mode("overwrite").json(p("duplicate_key"))
     return raw_dir
+
+
+def write_broken_inputs(spark: SparkSession, sf_dir: str, raw_dir: str) -> str:
+    """The raw inputs with lines that do not parse, by the number in a line's first
+    key: of 60 transactions one has a word for an amount and one lacks its last two
+    fields; of 50 customers and tickets one line breaks off in the middle."""
+    whole = write_raw_inputs(spark, sf_dir, os.path.join(raw_dir, "whole"))
+    out = os.path.join(raw_dir, "broken")
+    lines = lambda k: spark.read.text(os.path.join(whole, RAW_FILES[k]))
+    head = ",".join(f.name for f in schemas.TRANSACTIONS.fields)
+    fields = F.split("value", ",")
+    number = fields[0].cast("long")
+    value = (F.when(number % 60 == 17, F.concat_ws(",", fields[0], fields[1], F.lit("a lot"), fields[3], fields[4]))
+             .when(number % 60 == 23, F.concat_ws(",", fields[0], fields[1], fields[2])).otherwise(F.col("value")))
+    body = lines("transactions").filter(F.col("value") != head).select(value.alias("value"))
+
+    def headed(batches):
+        import pyarrow as pa
+        yield pa.RecordBatch.from_arrays([pa.array([head])], names=["value"])
+        yield from batches
+    body.mapInArrow(headed, "value string").write.text(os.path.join(out, RAW_FILES["transactions"]))
+    for name, key in (("customers", "customer_id"), ("support_tickets", "ticket_id")):
+        number = F.regexp_extract(F.get_json_object("value", f"$.{key}"), "([0-9]+)$", 1).cast("long")
+        half = F.substring("value", F.lit(1), (F.length("value") / 2).cast("int"))
+        (lines(name).select(F.when(number % 50 == 9, half).otherwise(F.col("value")).alias("value"))
+         .write.text(os.path.join(out, RAW_FILES[name])))
+    raw_loyalty_events(spark, sf_dir).write.option("header", True).csv(os.path.join(out, RAW_FILES["loyalty_events"]))
+    return out

@@ -6,28 +6,37 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clientlens.sources import schemas
 
-# CSV options: header names are checked against the schema (a reordered or
-# renamed header fails instead of binding columns by position), and the
-# malformed-row column is kept so unparsable numbers can be reported.
+# Lines that do not parse keep their raw text in this column (``keep_corrupt``),
+# with the fields that did parse beside it.
 CORRUPT = "_corrupt_record"
 
 
+def _kept(reader, schema, keep_corrupt: bool):
+    if not keep_corrupt:
+        return reader.schema(schema)
+    return (reader.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
+            .option("columnNameOfCorruptRecord", CORRUPT))
+
+
 def _csv(spark: SparkSession, schema, path: str, keep_corrupt: bool = False) -> DataFrame:
+    # header names are checked against the schema (a reordered or renamed header
+    # fails instead of binding columns by position)
     reader = (spark.read.option("header", True).option("enforceSchema", False)
               .option("mode", "PERMISSIVE"))
-    if keep_corrupt:
-        from pyspark.sql.types import StringType, StructField, StructType
-        schema = StructType(schema.fields + [StructField(CORRUPT, StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(schema).csv(path)
+    return _kept(reader, schema, keep_corrupt).csv(path)
+
+
+def _json(spark: SparkSession, schema, path: str, keep_corrupt: bool = False) -> DataFrame:
+    return _kept(spark.read.option("mode", "PERMISSIVE"), schema, keep_corrupt).json(path)
 
 
-def load_customers(spark: SparkSession, path: str) -> DataFrame:
+def load_customers(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
     """Newline-delimited JSON customers under an explicit flat schema."""
-    return spark.read.schema(schemas.CUSTOMERS).json(path)
+    return _json(spark, schemas.CUSTOMERS, path, keep_corrupt)
 
 
 def load_transactions(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
@@ -39,14 +48,14 @@ def load_transactions(spark: SparkSession, path: str, keep_corrupt: bool = False
     return _csv(spark, schemas.TRANSACTIONS, path, keep_corrupt)
 
 
-def load_support_tickets(spark: SparkSession, path: str) -> DataFrame:
+def load_support_tickets(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
     """S3: nested JSON tickets with an array of message structs."""
-    return spark.read.schema(schemas.SUPPORT_TICKETS).json(path)
+    return _json(spark, schemas.SUPPORT_TICKETS, path, keep_corrupt)
 
 
-def load_loyalty_events(spark: SparkSession, path: str) -> DataFrame:
+def load_loyalty_events(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
     """Headered CSV of loyalty tier changes."""
-    return _csv(spark, schemas.LOYALTY_EVENTS, path)
+    return _csv(spark, schemas.LOYALTY_EVENTS, path, keep_corrupt)
 
 
 def load_duplicate_key(spark: SparkSession, path: str) -> DataFrame:

@@ -74,3 +74,56 @@ def test_rolling_spend_columns(spark):
     r = clean.compute_rolling_spend(c)
     assert {"rolling_90d_spend", "rolling_90d_txn_count"} <= set(r.columns)
     assert r.filter(F.col("rolling_90d_txn_count") != 1).count() == 0
+
+
+def test_lines_that_do_not_parse_end_in_the_quarantine(spark, tmpdir_path):
+    """Three kinds of broken lines, each with its own reason; every line read is clean or quarantined."""
+    import os
+
+    from clientlens.plans.pipeline import clean_job
+    from clientlens.sources import readers, sinks
+    raw = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw)
+    put = lambda name, text: open(os.path.join(raw, name), "w").write(text)
+    put("t.csv", "transaction_id,customer_id,amount,timestamp,channel\n"
+                 "1,c1,5.0,2024-01-02T10:11:12,web\n"
+                 "2,c1,many,2024-01-02T10:11:12,web\n"
+                 "3,c1,7.0\n"
+                 "4,c1,8.0,2024-01-02T10:11:12,web,more,fields\n"
+                 '5,c1,"9,5",2024-01-02T10:11:12,web\n'
+                 "6,,many,NaT,web\n"
+                 "7,,1.0,2024-01-02T10:11:12,web\n"
+                 "8,c1,,2024-01-02T10:11:12,web\n")
+    put("c.json", '{"customer_id": "c1", "first_name": "a"}\n{"customer_id": "c2", "fir\nnot json\n[1, 2]\n')
+    put("s.json", '{"ticket_id": "t1", "customer_id": "c1", "messages": [{"sender": "agent", "text": "x"}]}\n{"ticket_id": "t2", "messages": 5}\n{\n')
+    out = os.path.join(tmpdir_path, "out")
+    p = lambda n: os.path.join(raw, n)
+    tables, audit = clean_job(spark, readers.load_customers(spark, p("c.json"), True), readers.load_transactions(spark, p("t.csv"), True),
+                              readers.load_support_tickets(spark, p("s.json"), True), out)
+    q = {s: spark.read.parquet(sinks.quarantine_path(out, s)).collect() for s in ("transactions", "customers", "support_tickets")}
+    assert {r.transaction_id: r.quarantine_reason for r in q["transactions"]} == {
+        "2": "unparsable_amount", "3": "wrong_field_count", "4": "wrong_field_count", "5": "unparsable_amount",
+        "6": "unparsable_amount", "7": "missing_customer_id"}
+    lines = {r.transaction_id: r.raw_line for r in q["transactions"]}
+    assert lines["3"] == "3,c1,7.0" and lines["7"] is None
+    assert sorted(r.transaction_id for r in tables["transactions"].collect()) == ["1", "8"]
+    assert audit["input_rows"] == 8 == audit["clean_rows"] + audit["quarantined_rows"]
+    assert sorted(r.raw_line for r in q["customers"]) == sorted(['{"customer_id": "c2", "fir', "not json", "[1, 2]"])
+    assert {r.quarantine_reason for r in q["customers"]} == {"broken_json"}
+    assert [r.customer_id for r in tables["customers"].collect()] == ["c1"]
+    assert sorted(r.quarantine_reason for r in q["support_tickets"]) == ["broken_json", "unparsable_field"]
+
+
+def test_whole_files_rescue_nothing(spark, tmpdir_path):
+    import os
+
+    from clientlens.sources import adapters, readers
+    d = adapters.write_raw_inputs(spark, "/root/testdata/sf0.001", os.path.join(tmpdir_path, "raw"))
+    for load, name, schema, kind in ((readers.load_customers, "customers", schemas.CUSTOMERS, "json"),
+                                     (readers.load_transactions, "transactions", schemas.TRANSACTIONS, "csv"),
+                                     (readers.load_support_tickets, "support_tickets", schemas.SUPPORT_TICKETS, "json"),
+                                     (readers.load_loyalty_events, "loyalty_events", schemas.LOYALTY_EVENTS, "csv")):
+        path = os.path.join(d, adapters.RAW_FILES[name])
+        load(spark, path, True).write.parquet(os.path.join(tmpdir_path, name))
+        good, rescued = clean.rescue(spark.read.parquet(os.path.join(tmpdir_path, name)), schema, kind)
+        assert rescued.count() == 0 and good.dtypes == load(spark, path).dtypes and good.exceptAll(load(spark, path)).count() == 0

@@ -130,3 +130,27 @@ def test_block_sizes(spark):
     got = {(r.last_name_norm, r.state): (r.customers, r.distinct_values)
            for r in dedup.block_sizes(df).collect()}
     assert got == {("lee", "CA"): (3, 2), ("lee", "NV"): (1, 1)}
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3])
+def test_probe_keys_meet_every_near_string_and_are_few(spark, k):
+    """Every pair within distance k shares a key (the longer one probes), for all
+    lengths from 0; the number of keys does not exceed its bound."""
+    from clientlens.functions.text import probe_segments, segments
+    rnd = random.Random(k)
+    words = {"".join(rnd.choice("ab") for _ in range(rnd.randint(0, 7))) for _ in range(120)}
+    words |= {"".join(rnd.choice("abc") for _ in range(rnd.randint(8, 14))) for _ in range(60)}
+    for w in list(words):
+        x = list(w)
+        for _ in range(rnd.randint(1, 3)):
+            i = rnd.randint(0, len(x))
+            x[i:i + rnd.randint(0, 1)] = rnd.choice(["", "a", "c"])
+        words.add("".join(x))
+    df = spark.createDataFrame([(w,) for w in sorted(words)], "w string")
+    keys = df.select("w", probe_segments(F.col("w"), k).alias("p"), segments(F.col("w"), k).alias("s")).checkpoint()
+    a, b = keys.select(F.col("w").alias("a"), "p"), keys.select(F.col("w").alias("b"), "s")
+    met = (a.crossJoin(b).filter((F.length("a") >= F.length("b")) & (F.levenshtein("a", "b") <= k))
+           .select("a", "b", F.arrays_overlap("p", "s").alias("ok")))
+    assert met.filter("not ok").collect() == []
+    bound = sum((k * k - d * d) // 2 + k + 1 for d in range(k + 1))
+    assert keys.agg(F.max(F.size("p"))).first()[0] <= bound and bound == {0: 1, 1: 4, 2: 12, 3: 26}[k]
