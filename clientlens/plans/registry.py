@@ -14,11 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientlens.operators import clean, dedup, incremental, kpis, marts, quality, scd2, staging
+from clientlens.operators import (clean, dedup, feature_state, history_state, incremental, kpis, marts, quality,
+                                  rolling_state, scd2, staging)
 from clientlens.plans.chain import Chain
-from clientlens.plans.pipeline import RunResult, run_from_files
+from clientlens.plans.pipeline import RunResult, clean_job, run_from_files
 from clientlens.session import scratch_path
-from clientlens.sources import adapters, readers, sinks
+from clientlens.sources import adapters, readers, schemas, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +98,7 @@ BUILDS = {
     "build_marts": lambda spark, sf_dir: _built(spark, sf_dir).mart_tables(),
     "build_raw_files": lambda spark, sf_dir: _raw_files(spark, sf_dir),
     "build_daily_run": lambda spark, sf_dir: _daily_run(spark, sf_dir),
+    "build_daily_run_twice": lambda spark, sf_dir: _daily_run_twice(spark, sf_dir),
 }
 
 
@@ -115,6 +117,110 @@ def _daily_run(spark: SparkSession, sf_dir: str) -> RunResult:
     return _BUILT[key]
 
 
+def _daily_run_twice(spark: SparkSession, sf_dir: str) -> RunResult:
+    """Two daily runs into the same zones, the second with a later delivery."""
+    key = _key(spark, sf_dir, "daily-run-twice")
+    if key not in _BUILT:
+        root = scratch_path(spark, f"zones-{uuid.uuid4().hex}")
+        for delivery, run_ts in (("first", FIRST_RUN_TS), ("second", adapters.RUN_TS)):
+            raw = adapters.write_raw_inputs(spark, sf_dir, scratch_path(spark, f"raw-{uuid.uuid4().hex}"), delivery)
+            result = run_from_files(spark, raw, root, adapters.AS_OF, run_ts, fact_period=FACT_PERIOD)
+        _BUILT[key] = result
+    return _BUILT[key]
+
+
+def _broken_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(raw folder, processed folder) of a cleaning job over files with broken lines."""
+    key = _key(spark, sf_dir, "broken-run")
+    if key not in _BUILT:
+        base = scratch_path(spark, f"broken-{uuid.uuid4().hex}")
+        raw, out = adapters.write_broken_inputs(spark, sf_dir, base), os.path.join(base, "processed")
+        p = lambda k: os.path.join(raw, adapters.RAW_FILES[k])
+        clean_job(spark, readers.load_customers(spark, p("customers"), True), readers.load_transactions(spark, p("transactions"), True),
+                  readers.load_support_tickets(spark, p("support_tickets"), True), out)
+        _BUILT[key] = raw, out
+    return _BUILT[key]
+
+
+RESCUED = ["transactions", "customers", "support_tickets"]
+
+
+def q_quarantine_lines(spark, sf_dir):
+    """Q3 over all sources of a run from files with lines that do not parse."""
+    _, out = _broken_run(spark, sf_dir)
+    parts = [spark.read.parquet(sinks.quarantine_path(out, s)).groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("line_count"))
+             .select(F.lit(s).alias("source"), "quarantine_reason", "line_count") for s in RESCUED]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_quarantine_reconciled(spark, sf_dir):
+    """G1 over the same run: every line that was read is clean or quarantined."""
+    raw, out = _broken_run(spark, sf_dir)
+    n = F.count(F.lit(1))
+    header = ",".join(f.name for f in schemas.TRANSACTIONS.fields)
+
+    def line_count(source):
+        return spark.read.text(os.path.join(raw, adapters.RAW_FILES[source])).filter(F.col("value") != header).agg(n.alias("lines_read"))
+
+    clean_rows = {"transactions": spark.read.parquet(os.path.join(out, "transactions")).agg(n.alias("clean_rows")),
+                  "customers": spark.read.parquet(os.path.join(out, "customers")).agg(n.alias("clean_rows"))}
+    parts = []
+    for s, c in clean_rows.items():
+        q = spark.read.parquet(sinks.quarantine_path(out, s)).agg(n.alias("quarantined_rows"))
+        # three tables of one row
+        parts.append(line_count(s).crossJoin(c).crossJoin(q).select(
+            F.lit(s).alias("source"), "*", (F.col("lines_read") == F.col("clean_rows") + F.col("quarantined_rows")).alias("reconciled")))
+    return parts[0].unionByName(parts[1])
+
+
+def q_quarantine_rescued_transactions(spark, sf_dir):
+    """Q1/Q2: the transactions whose line does not parse, with the fields that did."""
+    _, out = _broken_run(spark, sf_dir)
+    q = spark.read.parquet(sinks.quarantine_path(out, "transactions")).filter("raw_line is not null")
+    return q.select("transaction_id", "customer_id", "amount", "timestamp", "channel", "quarantine_reason",
+                    F.substring_index("raw_line", ",", 1).alias("raw_key"))
+
+
+def q_rolling_90d_incremental(spark, sf_dir):
+    """Q5 kept up to date over two deliveries: the second has a new month and
+    late rows all over the first."""
+    c = _chain(spark, sf_dir)
+    root = scratch_path(spark, f"rolling-{uuid.uuid4().hex}")
+    whole = c.clean_transactions
+    late = F.pmod(F.xxhash64("transaction_id"), F.lit(500)) == 0
+    rolling_state.refresh(whole.filter((F.col("event_timestamp") < F.lit(adapters.DELIVERY_END).cast("timestamp")) & ~late),
+                          root, period=FACT_PERIOD)
+    return rolling_state.refresh(whole, root, period=FACT_PERIOD)
+
+
+def _versions(spark, sf_dir):
+    """Versions after two deliveries: the second has customers with another tier
+    and name, new customers, and new and late events."""
+    c = _processed(spark, sf_dir)
+    key = _key(spark, sf_dir, "versions")
+    if key not in _BUILT:
+        root = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+        part = lambda n: F.pmod(F.xxhash64("customer_id"), F.lit(n))
+        before = (c.stg_customers.filter(part(97) != 3)
+                  .withColumn("loyalty_tier", F.when(part(89) == 5, "BRONZE").otherwise(F.col("loyalty_tier")))
+                  .withColumn("first_name", F.when(part(83) == 7, "former").otherwise(F.col("first_name"))))
+        seen = c.stg_loyalty_events.filter(F.pmod(F.xxhash64("customer_id", "event_date"), F.lit(50)) != 11)
+        history_state.refresh(before, seen, root)
+        _BUILT[key] = history_state.refresh(c.stg_customers, c.stg_loyalty_events, root)
+    return c, _BUILT[key]
+
+
+def q_tier_history_incremental(spark, sf_dir):
+    """Q9 kept up to date: only changed customers are cut anew."""
+    return history_state.history(_versions(spark, sf_dir)[1])
+
+
+def q_dim_customer_incremental(spark, sf_dir):
+    """Q11 from the kept versions."""
+    c, versions = _versions(spark, sf_dir)
+    return history_state.dimension(versions, c.as_of, c.run_ts)
+
+
 def q_scan_transactions_csv(spark, sf_dir):
     """S2 + Q1: the headered CSV scan (header checked against the schema), clean rows."""
     return clean.clean_transactions(readers.load_transactions(spark, _raw_file(spark, sf_dir, "transactions")))[0]
@@ -150,13 +256,28 @@ def q_daily_run_feature_store(spark, sf_dir):
 def q_daily_run_twice_fact_transactions(spark, sf_dir):
     """E3 twice: the second delivery has late rows inside and beyond the
     lookback and keys that moved to another day; the fact after both runs."""
-    key = _key(spark, sf_dir, "daily-run-twice")
-    if key not in _BUILT:
-        root = scratch_path(spark, f"zones-{uuid.uuid4().hex}")
-        for delivery, run_ts in (("first", FIRST_RUN_TS), ("second", adapters.RUN_TS)):
-            raw = adapters.write_raw_inputs(spark, sf_dir, scratch_path(spark, f"raw-{uuid.uuid4().hex}"), delivery)
-            _BUILT[key] = run_from_files(spark, raw, root, adapters.AS_OF, run_ts, fact_period=FACT_PERIOD)
-    return _BUILT[key].tables["fact_transactions"]
+    return _daily_run_twice(spark, sf_dir).tables["fact_transactions"]
+
+
+def q_daily_run_twice_feature_store(spark, sf_dir):
+    """E3 twice: the feature table that the second run brings up to date from
+    kept totals and the changed months only."""
+    return _daily_run_twice(spark, sf_dir).tables["feature_store_customer"]
+
+
+def q_feature_store_incremental(spark, sf_dir):
+    """Q15 kept up to date over two loads of the fact and two as-of dates, with
+    days that expire in between."""
+    c = _processed(spark, sf_dir)
+    root = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    facts = c.fact_transactions.withColumn(incremental.PERIOD_COLUMNS["month"],
+                                           incremental.period_of(F.col("event_timestamp"), "month"))
+    first = facts.filter(F.col("event_timestamp") < F.lit(adapters.DELIVERY_END).cast("timestamp"))
+    feature_state.feature_store(c.dim_customer, first, c.fact_support.limit(0), root, adapters.DELIVERY_END, FIRST_RUN_TS, "month")
+    months = [r[0] for r in facts.filter(F.col("event_timestamp") >= F.lit(adapters.DELIVERY_END).cast("timestamp"))
+              .select(incremental.PERIOD_COLUMNS["month"]).distinct().collect()]
+    return feature_state.feature_store(c.dim_customer, facts, c.fact_support, root, adapters.AS_OF, adapters.RUN_TS,
+                                       "month", months)
 
 
 def q_quarantine_clean(spark, sf_dir):
@@ -180,6 +301,12 @@ def q_dedup_customers(spark, sf_dir):
     return _chain(spark, sf_dir).customers
 
 
+def q_dedup_customers_split_keys(spark, sf_dir):
+    """Q4 with every key group split by the e-mail prefix keys: the path that all
+    groups take."""
+    return dedup.dedupe_customers(adapters.raw_customers(spark, sf_dir))
+
+
 def q_dedup_pair_count(spark, sf_dir):
     return dedup.likely_duplicate_pair_count(adapters.raw_customers(spark, sf_dir))
 
@@ -205,6 +332,11 @@ def q_rolling_90d(spark, sf_dir):
     return _chain(spark, sf_dir).transactions
 
 
+def q_rolling_90d_skew_safe(spark, sf_dir):
+    """Q5 through the decomposition that holds for hot keys: the path of all keys."""
+    return clean.compute_rolling_spend(_chain(spark, sf_dir).clean_transactions)
+
+
 def q_rolling_90d_midnight(spark, sf_dir):
     return _chain(spark, sf_dir, midnight=True).transactions
 
@@ -255,6 +387,12 @@ def q_fact_transactions(spark, sf_dir):
     return _processed(spark, sf_dir).fact_transactions
 
 
+def q_fact_transactions_point_join(spark, sf_dir):
+    """Q12 through the distinct points of the facts: the path of all customers."""
+    c = _processed(spark, sf_dir)
+    return marts.fact_transactions(c.stg_transactions, c.dim_customer, "left")
+
+
 def q_fact_transactions_closed(spark, sf_dir):
     return _processed(spark, sf_dir, midnight=True, closed="both").fact_transactions
 
@@ -280,7 +418,8 @@ def q_fact_transactions_partition_refresh(spark, sf_dir):
     root = scratch_path(spark, f"fact-by-date-{uuid.uuid4().hex}")
     table, stage = os.path.join(root, "table"), os.path.join(root, "stage")
     for batch in (first, c.stg_transactions):
-        incremental.refresh_fact_partitions(batch, c.dim_customer, table, stage, 3, period=FACT_PERIOD)
+        incremental.refresh_fact_partitions(batch, c.dim_customer, table, stage, 3, period=FACT_PERIOD,
+                                            index_path=os.path.join(root, "keys"))
     return spark.read.parquet(table).drop(incremental.PERIOD_COLUMNS[FACT_PERIOD])
 
 
