@@ -51,13 +51,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Spark removes a query's shuffle files when it ends (it keeps them until the
+# driver collects its garbage otherwise).
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, its
-    lineage cut, readable after the loss of any executor."""
+    lineage cut, readable after the loss of any executor. The shuffles of its
+    computation are over then, and their files go at once."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for t in tables:
+        path = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t._written)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, *wanted: str) -> list[str]:

@@ -346,8 +346,9 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.withColumnRenamed("m", "v")).distinct())
-        before = state
+        before, old = state, now
         now, state = kept(small)
+        common.release(old)
         if state == before:
             break
     return now.select(F.col("u").alias("row"), F.col("v").alias("label")).unionByName(
@@ -378,6 +379,7 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
         F.min("row").alias("first"), F.min_by("n", "row").alias("first_n"),
         F.max_by("row", rank).alias("most"), F.max_by("n", rank).alias("most_n"))
     members = common.written(multi.join(led, "bucket").drop("bucket", "c").distinct(), "members")
+    common.release(multi)
     texts = common.written(
         signed.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
         .join(members.select("row").distinct(), "row", "left_semi"), "candidates")
@@ -401,8 +403,11 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
     found = fresh = common.written(verify(pairs, texts, miss), "similar")
     misses = both_ways(found.filter(F.col("j") < threshold))
     edges = found.filter(F.col("j") >= threshold).select("a", "b")
+    labels = None
     while True:
-        labels = common.written(components(edges), "labels")
+        old, labels = labels, common.written(components(edges), "labels")
+        if old is not None:
+            common.release(old)
         of = lambda name: labels.select(F.col("row").alias(name), F.col("label").alias(name + "_class"))
         apart = (misses.join(of("a"), "a").join(of("b"), "b", "left").filter("b_class is null or b_class != a_class")
                  .select("a", "b", "j"))
@@ -421,7 +426,9 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
     rest = rest.join(labels, "row", "left").select("first", "most", "row", "n", F.coalesce("label", "row").alias("class"))
     more = common.written(link_rest(common.written(rest, "rest"), texts, threshold), "rest-links")
     if not more.isEmpty():
-        labels = common.written(components(edges.unionByName(more)), "labels")
+        old, labels = labels, common.written(components(edges.unionByName(more)), "labels")
+        common.release(old)
+    common.release(texts, members, pairs)
     of_print = reps.join(labels.withColumnRenamed("row", "rep"), "rep", "left").select(
         "print", F.coalesce("label", "rep").alias("class"))
     return signed.drop(key), (slim.select("row", "print").join(of_print, "print", "left")
