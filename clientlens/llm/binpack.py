@@ -9,8 +9,9 @@ documents gather anywhere.
 
 Output: a table in the shared folder, one row per matrix row, with the ids
 (little-endian 32-bit, padded to ``capacity``), the cumulative segment lengths
-and the position of every token in its document (it resets to the piece's start
-at each segment), plus the documents and starts of the segments.
+and the position of every token in its segment (it resets to 0 at each segment, so
+no position reaches ``capacity``), plus the documents of the segments and the
+tokens that stand before each in its document (``starts``, the way back).
 
 Edge cases: a null or empty text is the end-of-document id alone; ties in
 length go by the order in the window; repeated rows and null ids are packed row
@@ -91,7 +92,7 @@ def pack_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 window_tokens: int = WINDOW_TOKENS, vocabulary: str | None = None) -> DataFrame:
     """The packed matrix as a written table: ``sequence_id`` (gapless),
     ``ids``, ``cu_seqlens`` (from 0 to the tokens used), ``positions``
-    (little-endian 32-bit, one per id; 0 on padding), ``doc_ids``, ``starts``
+    (little-endian 32-bit, one per id, from 0 in each segment; 0 on padding), ``doc_ids``, ``starts``
     and ``doc_tokens`` of the segments in order."""
     common.prepare(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
@@ -109,9 +110,9 @@ def pack_matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ids, pos = np.full(capacity, PAD, "<u4"), np.zeros(capacity, "<u4")
                 cu = [0]
                 for i in row:
-                    _, start, piece, _ = window[i]
+                    piece = window[i][2]
                     a, b = cu[-1], cu[-1] + len(piece)
-                    ids[a:b], pos[a:b] = piece, np.arange(start, start + len(piece))
+                    ids[a:b], pos[a:b] = piece, np.arange(len(piece))
                     cu.append(b)
                 mine = [window[i] for i in row]
                 for c, v in zip(cols, (part, k, ids.tobytes(), cu, pos.tobytes(), [m[0] for m in mine],
