@@ -9,7 +9,8 @@ the line separator. So the files are plain multi-member gzip, committed task by
 task by Spark, on any file system it can write.
 
 Reading: Spark's line reader cuts the files at the gzip magic, any byte range
-of a file at a time. A range owns the candidates that start inside it and reads
+of a file at a time; files with a codec's name (``x.warc.gz``), which Spark would
+inflate, are cut the same way by tasks that read byte ranges themselves. A range owns the candidates that start inside it and reads
 on past its end to finish the last. A task decodes each candidate: compressed
 data holds the magic by chance once in 16 million bytes, and then the
 candidate's deflate stream is not finished and the next piece belongs to it. A
@@ -30,10 +31,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,10 @@ from clientlens.session import scratch_path
 MAGIC = b"\x1f\x8b\x08"
 REVISIT_BYTES = 0            # payloads of at least so many bytes are stored once
 LEVEL = 1
+# names for which Hadoop picks a codec
+CODEC_NAMES = r"(?i)\.(gz|bz2|deflate|lz4|snappy|zst)$"
+RANGE_BYTES = 64 << 20       # bytes of such a file that one task reads
+READ_BYTES = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 # Fixed values of the WARC 1.1 standard.
 VERSION = b"WARC/1.1"
@@ -215,13 +222,103 @@ def _scan(across_blocks: bool):
 _OUT = RECORD + ", file string, block bigint, place bigint, piece binary"
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def _open_range(uri: str):
+    """The file at a Hadoop path, for reads at any offset. Raises if pyarrow knows no
+    such file system."""
+    uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", uri))
+    system, path = pyarrow.fs.FileSystem.from_uri(uri)
+    return system.open_input_file(path)
+
+
+def cut_range(f, start: int, stop: int):
+    """The pieces of one byte range of an open file: a range owns the magics that
+    begin inside it, and a piece goes from a magic to the next one, wherever that
+    is. The range from 0 gives what stands before its first magic too."""
+    f.seek(start)
+    held, base, search, inside = bytearray(), start, 0, start == 0
+    while True:
+        k = held.find(MAGIC, search)
+        if k >= 0:
+            if inside:
+                yield bytes(held[:k])
+            if base + k >= stop:
+                return
+            inside, search = True, 0
+            base += k + len(MAGIC)
+            del held[:k + len(MAGIC)]
+            continue
+        search = max(0, len(held) - len(MAGIC) + 1)
+        if not inside:                                   # only a magic that has begun may matter
+            base += search
+            if base >= stop:
+                return
+            del held[:search]
+            search = 0
+        more = f.read(READ_BYTES)
+        if not more:
+            if inside:
+                yield bytes(held)
+            return
+        held += more
+
+
+def range_pieces(batches):
+    """(file, block, piece) of (file, start, stop) byte ranges."""
+    def record(file, start, pieces):
+        return pa.RecordBatch.from_arrays([pa.array([file] * len(pieces)), pa.array([start] * len(pieces), pa.int64()),
+                                           pa.array(pieces, pa.binary())], names=["file", "block", "piece"])
+
+    for batch in batches:
+        for file, start, stop in zip(*(batch.column(c).to_pylist() for c in ("file", "start", "stop"))):
+            with _open_range(file) as f:
+                out, size = [], 0
+                for piece in cut_range(f, start, stop):
+                    out.append(piece)
+                    size += len(piece)
+                    if size > READ_BYTES:
+                        yield record(file, start, out)
+                        out, size = [], 0
+                yield record(file, start, out)
+
+
+def _pieces(spark: SparkSession, path: str, range_bytes: int) -> DataFrame:
+    """(file, block, piece): what lies between the gzip magics of the files.
+
+    Spark's text source cuts files at the magic by byte ranges, but it picks a codec
+    by a file's name: of ``x.warc.gz`` it would give the inflated text, which has no
+    magic. Such files are dealt as byte ranges, each read through the file system by
+    a task; where pyarrow does not know the file system, they are read by the text
+    source under Hadoop's pass-through codec, one task a file."""
+    text = lambda reader, paths: (
+        reader.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(paths)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                F.col("value").cast("binary").alias("piece")))
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    named = F.col("path").rlike(CODEC_NAMES)
+    coded = files.filter(named).select("path").first()
+    if coded is None:
+        return text(spark.read, path)
+    try:
+        _open_range(coded.path).close()
+        found = (files.filter(named & (F.col("length") > 0))
+                 .select(F.col("path").alias("file"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
+                 .withColumn("stop", F.col("start") + range_bytes).repartition("file", "start")
+                 .mapInArrow(range_pieces, "file string, block bigint, piece binary"))
+    except (OSError, pa.ArrowException):
+        suffixes = [r.s for r in files.filter(named).select(F.lower(F.substring_index("path", ".", -1)).alias("s")).distinct().collect()]
+        found = None
+        for s in suffixes:
+            part = text(spark.read.option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
+                        .option("io.compress.passthrough.extension", "." + s).option("pathGlobFilter", f"*.{s}"), path)
+            found = part if found is None else found.unionByName(part)
+    plain = [r.path for r in files.filter(~named).select("path").collect()]        # file names, as Spark lists them too
+    return found.unionByName(text(spark.read, plain)) if plain else found
+
+
+def read_archive(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The records under ``path``: RECORD's columns."""
     common.prepare(spark)
-    lines = (spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
-             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                     F.col("value").cast("binary").alias("piece")))
-    found = lines.mapInArrow(_scan(False), _OUT)
+    found = _pieces(spark, path, range_bytes).mapInArrow(_scan(False), _OUT)
     whole = found.filter("piece is null").select(*_FIELDS)
     loose = found.filter("piece is not null").select("file", "block", "place", "piece")
     joined = (loose.repartition("file").sortWithinPartitions("file", "block", "place").mapInArrow(_scan(True), _OUT)

@@ -103,3 +103,45 @@ def test_large_records_end_in_a_zero_byte():
 
 def test_empty(spark):
     assert QUERIES["op7_warc"](spark, sf_dir(pages=spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+@pytest.mark.parametrize("split", [97, 5_000, 1 << 20])
+def test_archives_with_a_codec_name(spark, tmpdir_path, split):
+    """``.warc.gz`` files are cut into byte ranges like any other, beside plain names."""
+    rng = random.Random(split)
+    payloads = [b"".join(rng.choice([warc.MAGIC, b"\x1f", b"\x1f\x8b", rng.randbytes(5), b"abc" * 9])
+                         for _ in range(rng.randrange(0, 120))) for _ in range(30)] + [warc.MAGIC * 50, b""]
+    for name in ("a.warc.gz", "b.warc.GZ", "c.warc"):
+        with open(os.path.join(tmpdir_path, name), "wb") as f:
+            f.write(b"".join(_stored(p, f"{name}-{i}") for i, p in enumerate(payloads)))
+    open(os.path.join(tmpdir_path, "empty.warc.gz"), "wb").close()
+    got = {r.page: bytes(r.payload) for r in warc.read_archive(spark, tmpdir_path, split).collect()}
+    assert got == {f"{n}-{i}": p for n in ("a.warc.gz", "b.warc.GZ", "c.warc") for i, p in enumerate(payloads)}
+    one = warc.read_archive(spark, os.path.join(tmpdir_path, "a.warc.gz"), split)
+    assert one.count() == len(payloads)
+
+
+def test_a_file_system_that_only_spark_knows(spark, tmpdir_path, monkeypatch):
+    with open(os.path.join(tmpdir_path, "a.warc.gz"), "wb") as f:
+        f.write(b"".join(warc.member(str(i), None, f"payload {i} ".encode() * 20, None) for i in range(20)))
+
+    def unknown(uri):
+        raise OSError("no such file system")
+    monkeypatch.setattr(warc, "_open_range", unknown)
+    assert sorted(int(r.page) for r in warc.read_archive(spark, tmpdir_path).collect()) == list(range(20))
+
+
+def test_ranges_own_the_magics_that_begin_inside():
+    import io
+    data = b"before" + warc.MAGIC + b"one" + warc.MAGIC + warc.MAGIC + b"three" + b"\x1f"
+    for size in range(1, len(data) + 2):
+        pieces = [p for s in range(0, len(data), size) for p in warc.cut_range(io.BytesIO(data), s, s + size)]
+        assert pieces == [b"before", b"one", b"", b"three\x1f"]
+
+
+def test_one_payload_on_most_pages(spark):
+    """The error page that a third and more of all pages share is stored once."""
+    rows = [(i, f"http://h/{i}", "error" if i % 3 else f"page {i}") for i in range(300)]
+    got = [tuple(r) for r in QUERIES["op7_warc"](spark, sf_dir(pages=spark.createDataFrame(rows, SCHEMA).repartition(9))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()]
+    assert sorted(got, key=str) == _expected(rows)
