@@ -21,11 +21,13 @@ a shuffle.
 Edge cases: a null text or one without a letter is ``und`` with score 0 and
 rejected; without any training row every text is ``und``; equal cosines go to
 the first language in alphabetical order; repeated rows get equal results; the
-result is one struct column under a free name; an empty table stays empty.
+result is one struct column under a free name; an empty table stays empty; a
+very long text is counted whole, part by part.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,6 +44,8 @@ UNKNOWN = "und"
 RESULT = "lang string, score double, rejected boolean, letters boolean"
 _DIMS = 1 << DIMS_LOG2
 _BLOCK = 256                  # texts whose dense vectors a task holds at a time
+BLOCK_CHARS = 1 << 20         # characters whose symbols a task holds at a time
+_BLANK, _BETWEEN = re.compile(r"\s"), re.compile(r"[\W\d_]")
 
 _letter: list[np.ndarray] = []
 
@@ -67,15 +71,64 @@ def letters_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return doc[keep], np.where(letter, p, 32)[keep].astype(np.uint64), letter[keep]
 
 
-def seen_cells(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, cell) of every n-gram of ``MAX_N`` letters and separators."""
-    doc, p, _ = letters_of(texts)
-    m = max(len(p) - MAX_N + 1, 0)
-    gram = np.zeros(m, np.uint64)
-    for n in range(MAX_N):
-        gram = gram * np.uint64(0x110000) + p[n:n + m]
-    ok = doc[:m] == doc[len(doc) - m:]
-    return doc[:m][ok], (common.mix64(gram[ok]) >> np.uint64(64 - SEEN_LOG2)).astype(np.int64)
+def symbol_blocks(texts: list[str | None]):
+    """(text number, code point, is it a letter, is it new) of the symbols of
+    ``letters_of``, in blocks of about ``BLOCK_CHARS`` characters. A longer text
+    comes in several blocks, cut between words: the last symbols of one block open
+    the next, not new, so that an n-gram across a cut is counted once."""
+    def block(group):
+        doc, p, letter = letters_of([texts[i] for i in group])
+        return np.array(group)[doc], p, letter, np.ones(len(p), bool)
+
+    group, size = [], 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if group and size + n > BLOCK_CHARS:
+            yield block(group)
+            group, size = [], 0
+        if n <= BLOCK_CHARS:
+            group.append(i)
+            size += n
+            continue
+        at, tail, tail_letter = 0, np.empty(0, np.uint64), np.empty(0, bool)
+        while at < n:
+            cut = _BLANK.search(t, at + BLOCK_CHARS, at + 2 * BLOCK_CHARS) or _BETWEEN.search(t, at + BLOCK_CHARS)
+            end = cut.start() if cut else n
+            _, p, letter = letters_of([t[at:end]])
+            if at:                                   # the separator before the text's first word
+                p, letter = p[1:], letter[1:]
+            new = np.append(np.zeros(len(tail), bool), np.ones(len(p), bool))
+            p, letter = np.append(tail, p), np.append(tail_letter, letter)
+            yield np.full(len(p), i), p, letter, new
+            at, tail, tail_letter = end, p[1 - MAX_N:], letter[1 - MAX_N:]
+    if group:
+        yield block(group)
+
+
+def seen_cells(texts: list[str | None]):
+    """Blocks of (text number, cell) of every n-gram of ``MAX_N`` letters and separators."""
+    for doc, p, _, new in symbol_blocks(texts):
+        m = max(len(p) - MAX_N + 1, 0)
+        gram = np.zeros(m, np.uint64)
+        for n in range(MAX_N):
+            gram = gram * np.uint64(0x110000) + p[n:n + m]
+        ok = (doc[:m] == doc[len(doc) - m:]) & new[len(doc) - m:]
+        yield doc[:m][ok], (common.mix64(gram[ok]) >> np.uint64(64 - SEEN_LOG2)).astype(np.int64)
+
+
+def cell_counts(texts: list[str | None]) -> list[np.ndarray]:
+    """Per text its cells, and their counts in a second row."""
+    out = [np.empty((2, 0), np.int64) for _ in texts]
+    for doc, cells in seen_cells(texts):
+        ids, begins = np.unique(doc, return_index=True)          # the texts follow each other
+        for i, a, b in zip(ids.tolist(), begins.tolist(), [*begins.tolist()[1:], len(doc)]):
+            c, k = np.unique(cells[a:b], return_counts=True)
+            if out[i].shape[1]:
+                both = np.append(out[i], [c, k], axis=1)
+                c, at = np.unique(both[0], return_inverse=True)
+                k = np.bincount(at, weights=both[1]).astype(np.int64)
+            out[i] = np.array([c, k])
+    return out
 
 
 def allowance(n: np.ndarray) -> np.ndarray:
@@ -97,20 +150,21 @@ def unseen_limit(own: list[np.ndarray]) -> tuple[np.ndarray, float]:
 
 def counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-gram counts (texts x dimensions) and which texts have a letter."""
-    doc, p, letter = letters_of(texts)
-    has = np.bincount(doc[letter], minlength=len(texts)) > 0
+    has = np.zeros(len(texts), bool)
     out = np.zeros(len(texts) * _DIMS, np.float32)
-    gram = np.zeros(len(p), np.uint64)
-    for n in range(1, MAX_N + 1):
-        m = len(p) - n + 1
-        if m <= 0:
-            break
-        gram = gram[:m] * np.uint64(0x110000) + p[n - 1:]
-        ok = doc[:m] == doc[n - 1:]
-        if n == 1:
-            ok &= letter
-        h = (gram[ok] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - DIMS_LOG2)
-        out += np.bincount(doc[:m][ok] * _DIMS + h.astype(np.int64), minlength=len(out)).astype(np.float32)
+    for doc, p, letter, new in symbol_blocks(texts):
+        has |= np.bincount(doc[letter], minlength=len(texts)) > 0
+        gram = np.zeros(len(p), np.uint64)
+        for n in range(1, MAX_N + 1):
+            m = len(p) - n + 1
+            if m <= 0:
+                break
+            gram = gram[:m] * np.uint64(0x110000) + p[n - 1:]
+            ok = (doc[:m] == doc[n - 1:]) & new[n - 1:]
+            if n == 1:
+                ok &= letter
+            h = (gram[ok] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - DIMS_LOG2)
+            out += np.bincount(doc[:m][ok] * _DIMS + h.astype(np.int64), minlength=len(out)).astype(np.float32)
     return out.reshape(len(texts), _DIMS), has
 
 
@@ -155,17 +209,17 @@ class Model:
 
     def unseen(self, texts: list[str | None], langs: list[str]) -> np.ndarray:
         """Is the share of n-grams that the text's language has not seen too large?"""
-        doc, cells = seen_cells(texts)
-        n = np.bincount(doc, minlength=len(texts))
-        new, limit = np.zeros(len(texts), np.int64), np.ones(len(texts))
-        for lang in set(langs):
-            bits, most = self.seen[lang]
-            mine = np.array([x == lang for x in langs])
-            at = mine[doc]
-            bits, c = np.frombuffer(bits, np.uint8), cells[at]
-            known = bits[c >> 3] >> (7 - (c & 7)).astype(np.uint8) & 1
-            new += np.bincount(doc[at][known == 0], minlength=len(texts))
-            limit[mine] = most
+        n, new, limit = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.ones(len(texts))
+        owners = {lang: np.array([x == lang for x in langs]) for lang in set(langs)}
+        for lang, mine in owners.items():
+            limit[mine] = self.seen[lang][1]
+        for doc, cells in seen_cells(texts):
+            n += np.bincount(doc, minlength=len(texts))
+            for lang, mine in owners.items():
+                at = mine[doc]
+                bits, c = np.frombuffer(self.seen[lang][0], np.uint8), cells[at]
+                known = bits[c >> 3] >> (7 - (c & 7)).astype(np.uint8) & 1
+                new += np.bincount(doc[at][known == 0], minlength=len(texts))
         return new > (limit + allowance(n)) * n
 
     def predict(self, texts: list[str | None]):
@@ -223,10 +277,8 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", centroi
         out, t = [], texts.to_pylist()
         for i in range(0, len(t), _BLOCK):
             v, has = vectors(t[i:i + _BLOCK], idf)
-            doc, c = seen_cells(t[i:i + _BLOCK])
-            ends = np.cumsum(np.bincount(doc, minlength=len(v)))
-            out += [{"v": x.tobytes(), "cells": np.array(np.unique(c[b - n:b], return_counts=True), np.int32).tobytes()} if h else None
-                    for x, h, b, n in zip(v, has, ends, np.diff(ends, prepend=0))]
+            out += [{"v": x.tobytes(), "cells": c.astype(np.int32).tobytes()} if h else None
+                    for x, h, c in zip(v, has, cell_counts(t[i:i + _BLOCK]))]
         return pa.array(out, pa.struct([("v", pa.binary()), ("cells", pa.binary())]))
 
     def centres(group):

@@ -134,3 +134,30 @@ def test_query_on_the_given_documents(spark, sf, least):
     got = QUERIES["op3_language_id"](spark, sf).join(spark.read.parquet(sf + "/documents.parquet").select("doc_id", "lang"), "doc_id")
     out = got.filter("held_out and lang is not null").collect()
     assert len(out) > 200 and np.mean([r.lang == r.lang_pred for r in out]) >= least
+
+
+def test_long_texts_in_parts_count_like_whole_ones(monkeypatch):
+    """N-grams across a cut are counted once, cells too; runs without blanks are cut between words."""
+    rng = random.Random(2)
+    texts = [t for _, t, _ in _texts(30)] + [None, "", "x" * 300, "日本。語" * 200, "".join(rng.choice("ab1 .é\n") for _ in range(900))]
+    whole, has = langid.counts(texts)
+    cells = langid.cell_counts(texts)
+    for size in (7, 50, 1000):
+        monkeypatch.setattr(langid, "BLOCK_CHARS", size)
+        got, again = langid.counts(texts)
+        assert np.array_equal(got, whole) and np.array_equal(has, again)
+        assert all(np.array_equal(a, b) for a, b in zip(langid.cell_counts(texts), cells))
+
+
+def test_memory_is_bounded_by_characters():
+    """One very long text costs a task a part of it at a time."""
+    import tracemalloc
+    text = " ".join("".join(SYLLABLES["aa"][j % 5] for j in range(i % 7 + 1)) for i in range(2_000_000))
+    assert len(text) > 15_000_000
+    model = langid.Model(np.ones(langid._DIMS), ["aa"], np.ones((1, langid._DIMS), np.float32) / 64, np.zeros(1),
+                         {"aa": (np.packbits(np.ones(1 << langid.SEEN_LOG2, np.uint8)).tobytes(), 0.5)})
+    langid.counts(["warm"])
+    tracemalloc.start()
+    assert model.predict([text, None, "ka lo"])[0][0] == "aa"
+    assert tracemalloc.get_traced_memory()[1] < 400e6
+    tracemalloc.stop()
