@@ -4,7 +4,9 @@ A text is cut into sentences, each sentence is normalised (A-Z lower-cased,
 everything but letters and digits one blank), and known licence sentences are
 replaced by their identifiers. The sequence of identifiers, unknown sentences
 left out, is matched against ordered licence rules: a rule fits where its
-identifiers follow each other. Several rules of one licence report it once.
+identifiers follow each other. Several rules of one licence report it once. An
+SPDX expression counts as one tag per licence it names; vague findings ("all rights
+reserved", an unnumbered BSD text) give way to precise ones.
 
 Texts are read in two ways, line by line (headers, tags) and with wrapped lines
 joined (running text), and a licence found in either counts. Everything is a
@@ -69,6 +71,26 @@ SENTENCES = {
     "unlicense-public": "this is free and unencumbered software released into the public domain",
     "isc-permission": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "rights-reserved": "all rights reserved",
+    "apache-title": "apache license",
+    "apache-2-title-version": "version 2 0 january 2004",
+    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
+    "gpl-title": "gnu general public license",
+    "lgpl-title": "gnu lesser general public license",
+    "agpl-title": "gnu affero general public license",
+    "gpl-2-title-version": "version 2 june 1991",
+    "gpl-3-title-version": "version 3 29 june 2007",
+    "agpl-3-title-version": "version 3 19 november 2007",
+    "lgpl-2-1-title-version": "version 2 1 february 1999",
+    "lgpl-2-1-redistribute": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-3-redistribute": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-3-redistribute-program": "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-3-redistribute": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "bsd-endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-as-is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "mpl-2-title": "mozilla public license version 2 0",
+    "isc-title": "isc license",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "epl-2-terms": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
 }
 
 # Licence and its sentences in order.
@@ -108,8 +130,48 @@ RULES = [
     ("Unlicense", ["unlicense-public"]),
     ("ISC", ["isc-permission"]),
     ("proprietary", ["rights-reserved"]),
+    ("Apache-2.0", ["apache-title", "apache-2-title-version"]),
+    ("MIT", ["mit-grant"]),
+    ("GPL-2.0", ["gpl-title", "gpl-2-title-version"]),
+    ("GPL-3.0", ["gpl-title", "gpl-3-title-version"]),
+    ("LGPL-2.1", ["lgpl-title", "lgpl-2-1-title-version"]),
+    ("LGPL-3.0", ["lgpl-title", "gpl-3-title-version"]),
+    ("AGPL-3.0", ["agpl-title", "agpl-3-title-version"]),
+    ("LGPL-2.1-or-later", ["lgpl-2-1-redistribute"]),
+    ("LGPL-3.0-or-later", ["lgpl-3-redistribute"]),
+    ("LGPL-3.0-or-later", ["lgpl-3-redistribute-program"]),
+    ("AGPL-3.0-or-later", ["agpl-3-redistribute"]),
+    ("BSD-2-Clause", ["bsd-redistribution", "bsd-source", "bsd-binary", "bsd-as-is"]),
+    ("BSD-3-Clause", ["bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("MPL-2.0", ["mpl-2-title"]),
+    ("ISC", ["isc-title", "isc-permission"]),
+    ("ISC", ["isc-permission", "isc-as-is"]),
+    ("EPL-2.0", ["epl-2-terms"]),
 ]
 
+# Identifiers of the published SPDX list, and the licence they stand for.
+SPDX = {
+    "0BSD": "0BSD", "AGPL-3.0-only": "AGPL-3.0", "AGPL-3.0-or-later": "AGPL-3.0-or-later", "Apache-2.0": "Apache-2.0",
+    "BSD-2-Clause": "BSD-2-Clause", "BSD-3-Clause": "BSD-3-Clause", "BSL-1.0": "BSL-1.0", "CC-BY-4.0": "CC-BY-4.0",
+    "CC-BY-NC-4.0": "CC-BY-NC-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0", "CC0-1.0": "CC0-1.0", "EPL-2.0": "EPL-2.0",
+    "EUPL-1.2": "EUPL-1.2", "GPL-2.0-only": "GPL-2.0", "GPL-2.0-or-later": "GPL-2.0-or-later", "GPL-3.0-only": "GPL-3.0",
+    "GPL-3.0-or-later": "GPL-3.0-or-later", "ISC": "ISC", "LGPL-2.1-only": "LGPL-2.1", "LGPL-2.1-or-later": "LGPL-2.1-or-later",
+    "LGPL-3.0-only": "LGPL-3.0", "LGPL-3.0-or-later": "LGPL-3.0-or-later", "MIT": "MIT", "MIT-0": "MIT-0", "MPL-2.0": "MPL-2.0",
+    "Unlicense": "Unlicense", "Zlib": "Zlib",
+}
+TAG = "spdx license identifier "
+for _id, _licence in SPDX.items():
+    _sentence = TAG + _id.lower().replace("-", " ").replace(".", " ")
+    if _sentence not in SENTENCES.values():
+        SENTENCES["spdx-" + _id.lower()] = _sentence
+        RULES.append((_licence, ["spdx-" + _id.lower()]))
+
+# A licence that others make more precise: "BSD" is left out beside one of its
+# numbered forms, and "proprietary" (a bare reservation of rights, which most
+# licence headers have too) beside any recognised licence.
+VAGUE = {"BSD": ["BSD-2-Clause", "BSD-3-Clause"],
+         "proprietary": sorted({name for name, _ in RULES} - {"proprietary"})}
+
 SENTENCE_END = r"([.!?])([ \t\r\n])"
 NO_WORD = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 WRAPPED = r"([^\n])\n([^\n])"
@@ -126,8 +188,18 @@ def sentences(text: Column, joined: bool) -> Column:
     return F.filter(plain, lambda s: s != "")
 
 
-def identifiers(found: Column) -> Column:
+def tags(found: Column) -> Column:
+    """Sentences with each SPDX expression (``MIT OR Apache-2.0``) taken apart into
+    one tag per licence; "or later" is part of a licence's name."""
+    def parts(s):
+        names = F.split(F.regexp_replace(F.substring(s, F.lit(len(TAG) + 1), F.length(s)), " or later", " or_later"), " (?:or|and|with) ")
+        return F.transform(names, lambda n: F.concat(F.lit(TAG), F.replace(n, F.lit("or_later"), F.lit("or later"))))
+    return F.flatten(F.transform(found, lambda s: F.when(s.startswith(TAG), parts(s)).otherwise(F.array(s))))
+
+
+def identifiers(sentences: Column) -> Column:
     """The identifiers of the known sentences, in order."""
+    found = tags(sentences)
     known = F.create_map(*[F.lit(x) for name, s in SENTENCES.items() for x in (s, name)])
     lengths = sorted({len(s) for s in SENTENCES.values()})
     candidates = F.filter(found, lambda s: F.length(s).isin(lengths))
@@ -141,6 +213,13 @@ def licenses_of(ids: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*fits))))
 
 
+def precise(found: Column) -> Column:
+    """Without the vague names that another one makes more precise."""
+    for name, better in VAGUE.items():
+        found = F.when(F.arrays_overlap(found, F.array(*map(F.lit, better))), F.array_remove(found, name)).otherwise(found)
+    return found
+
+
 def scan(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with a struct column (its name is returned too): number of
     ``sentences``, the ``known`` ones line by line, and the ``licenses``."""
@@ -149,6 +228,6 @@ def scan(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     text = F.col(text_col)
     cut = docs.withColumn(lines, sentences(text, False)).withColumn(runs, identifiers(sentences(text, True)))
     cut = cut.withColumn(seen, identifiers(F.col(lines)))
-    both = F.array_sort(F.array_union(licenses_of(F.col(seen)), licenses_of(F.col(runs))))
+    both = precise(F.array_sort(F.array_union(licenses_of(F.col(seen)), licenses_of(F.col(runs)))))
     return cut.withColumn(result, F.struct(F.size(lines).cast("long").alias("sentences"), F.col(seen).alias("known"),
                                            both.alias("licenses"))).drop(lines, runs, seen), result

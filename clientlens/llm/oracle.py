@@ -32,12 +32,14 @@ _SEP = r"[\x20\x09-\x0D]"
 
 
 def _op5() -> str:
-    from clientlens.llm.quality import COVERAGE_PCT, LINE_CHARS_PCT, SYMBOLS_PCT
+    from clientlens.llm.quality import (COVERAGE_PCT, LINE_CHARS_PCT, SHORT_COVERAGE_PCT, SHORT_LINE_CHARS_PCT, SHORT_WORDS,
+                                        SYMBOLS_PCT)
+    most = lambda pct, short: f"CASE WHEN len(w) < {SHORT_WORDS} THEN {short} ELSE {pct} END"
     grams = "\nUNION ALL\n".join(
         f"SELECT {n} AS n, r, s, array_to_string(w[s:s + {n - 1}], ' ') AS gram FROM "
         f"(SELECT r, w, unnest(generate_series(1, len(w) - {n - 1})) AS s FROM d WHERE len(w) >= {n})"
         for n in COVERAGE_PCT)
-    over = " OR ".join(f"coalesce(c{n}, 0) * 100 > {pct} * word_chars" for n, pct in COVERAGE_PCT.items())
+    over = " OR ".join(f"coalesce(c{n}, 0) * 100 > ({most(pct, SHORT_COVERAGE_PCT[n])}) * word_chars" for n, pct in COVERAGE_PCT.items())
     sums = ", ".join(f"sum(chars) FILTER (n = {n}) AS c{n}" for n in COVERAGE_PCT)
     return f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, text,
@@ -55,7 +57,7 @@ f AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum([len(x) for x in w]), 0)::BIGINT AS word_chars,
          len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::BIGINT AS n_symbols,
          coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-         ({over} OR coalesce(line_chars, 0) * 100 > {LINE_CHARS_PCT} * word_chars) AS over_coverage
+         ({over} OR coalesce(line_chars, 0) * 100 > ({most(LINE_CHARS_PCT, SHORT_LINE_CHARS_PCT)}) * word_chars) AS over_coverage
   FROM d LEFT JOIN cover USING (r) LEFT JOIN dup USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
@@ -69,17 +71,19 @@ _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
 def _op2() -> str:
-    from clientlens.llm.urlgraph import DAMPING, LINK, ROUNDS, RULES, THRESHOLD
+    from clientlens.llm.urlgraph import LINK, RULES
+    # plain rounds until the rest of the walk is below 1e-7 of its mass, and the blocking margin
+    damping, rounds, margin = 0.85, 100, 1.01
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     rules = ", ".join(f"({quote(r.host)}, {quote(r.path)}, {quote(r.verdict)})" for r in RULES)
     rounds = "".join(f"""
 r{i + 1} AS MATERIALIZED (
   SELECT host, sum(t) AS t, sum(d) AS d FROM (
-    SELECT target AS host, {DAMPING} * r.t * links / all_out AS t, 0.0::DOUBLE AS d
+    SELECT target AS host, {damping} * r.t * links / all_out AS t, 0.0::DOUBLE AS d
     FROM edges JOIN outs USING (source) JOIN r{i} r ON r.host = source
     UNION ALL
-    SELECT source, 0.0, {DAMPING} * r.d * links / all_in FROM edges JOIN ins USING (target) JOIN r{i} r ON r.host = target
-    UNION ALL SELECT * FROM r0) GROUP BY host),""" for i in range(ROUNDS))
+    SELECT source, 0.0, {damping} * r.d * links / all_in FROM edges JOIN ins USING (target) JOIN r{i} r ON r.host = target
+    UNION ALL SELECT * FROM r0) GROUP BY host),""" for i in range(rounds))
     return f"""
 WITH p AS (
   SELECT page_id, row_number() OVER () AS n, html,
@@ -104,9 +108,9 @@ ins AS (SELECT target, sum(links) AS all_in FROM edges GROUP BY target),
 c AS (SELECT host, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS b
       FROM p JOIN fit USING (n) GROUP BY host),
 r0 AS MATERIALIZED (
-  SELECT host, {1 - DAMPING} * coalesce(a / nullif(sum(a) OVER (), 0), 0) AS t,
-         {1 - DAMPING} * coalesce(b / nullif(sum(b) OVER (), 0), 0) AS d FROM c),{rounds}
-last AS (SELECT host, round(t * {THRESHOLD}, 12) AS t, round(d, 12) AS d FROM r{ROUNDS})
+  SELECT host, {1 - damping} * coalesce(a / nullif(sum(a) OVER (), 0), 0) AS t,
+         {1 - damping} * coalesce(b / nullif(sum(b) OVER (), 0), 0) AS d FROM c),{rounds}
+last AS (SELECT host, t * {margin} AS t, d FROM r{rounds})
 SELECT page_id, host, path, rule,
        coalesce(verdict, CASE WHEN coalesce(d, 0) > coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fit USING (n) LEFT JOIN last USING (host)
@@ -114,13 +118,20 @@ FROM p LEFT JOIN fit USING (n) LEFT JOIN last USING (host)
 
 
 def _op6() -> str:
-    from clientlens.llm.licenses import RULES, SENTENCES
+    from clientlens.llm.licenses import RULES, SENTENCES, TAG, VAGUE
     names = ", ".join(f"'{s}': '{name}'" for name, s in SENTENCES.items())
     fits = ", ".join(f"CASE WHEN contains(l, ',{','.join(rule)},') THEN '{name}' END" for name, rule in RULES)
     cut = (r"list_filter(list_transform(string_split(regexp_replace({0}, '([.!?])([ \t\r\n])', '\1' || chr(10), 'g'), chr(10)), "
            r"lambda s: trim(regexp_replace(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
            r"'[^0-9a-z\x{{80}}-\x{{10FFFF}}]+', ' ', 'g'))), lambda s: s != '')")
-    ids = "list_filter(list_transform({0}, lambda s: k[s]), lambda x: x IS NOT NULL)"
+    parts = (f"list_transform(string_split_regex(replace(substr(s, {len(TAG) + 1}), ' or later', ' or_later'), ' (?:or|and|with) '), "
+             f"lambda n: '{TAG}' || replace(n, 'or_later', 'or later'))")
+    tagged = f"flatten(list_transform({{0}}, lambda s: CASE WHEN starts_with(s, '{TAG}') THEN {parts} ELSE [s] END))"
+    ids = f"list_filter(list_transform({tagged}, lambda s: k[s]), lambda x: x IS NOT NULL)"
+    precise = "all_found"
+    for name, better in VAGUE.items():
+        some = ", ".join(f"'{b}'" for b in better)
+        precise = f"CASE WHEN list_has_any(all_found, [{some}]) THEN list_filter({precise}, lambda x: x != '{name}') ELSE {precise} END"
     return f"""
 WITH names AS (SELECT MAP {{{names}}} AS k),
 s AS (SELECT doc_id, {cut.format("coalesce(text, '')")} AS a,
@@ -128,9 +139,9 @@ s AS (SELECT doc_id, {cut.format("coalesce(text, '')")} AS a,
 i AS (SELECT doc_id, len(a) AS n_sentences, {ids.format("a")} AS a, {ids.format("b")} AS b FROM s, names),
 f AS (SELECT doc_id, n_sentences, a, ',' || array_to_string(a, ',') || ',' AS l, ',' || array_to_string(b, ',') || ',' AS m FROM i)
 SELECT doc_id, n_sentences::BIGINT AS n_sentences, len(a)::BIGINT AS n_known, coalesce(array_to_string(a, ','), '') AS sentence_ids,
-       coalesce(array_to_string(list_sort(list_distinct(list_filter(
-         list_concat([{fits}], [{fits.replace('contains(l,', 'contains(m,')}]), lambda x: x IS NOT NULL))), ','), '') AS licenses
-FROM f
+       coalesce(array_to_string(list_sort({precise}), ','), '') AS licenses
+FROM (SELECT *, list_distinct(list_filter(list_concat([{fits}], [{fits.replace('contains(l,', 'contains(m,')}]),
+                                          lambda x: x IS NOT NULL)) AS all_found FROM f)
 """
 
 

@@ -4,7 +4,7 @@ Per text: words, their code points, special symbols, repeated lines, and the
 characters of words that lie inside duplicated n-grams of several lengths
 (rolling hashes over a block of texts in numpy) or inside repeated lines. A
 text is kept if it passes the base rules, every coverage is within its limit
-and symbols are few. Rows are judged in place, batch by batch: nothing is shuffled and no
+(wider ones for texts of fewer than ``SHORT_WORDS`` words) and symbols are few. Rows are judged in place, batch by batch: nothing is shuffled and no
 task holds more than a batch.
 
 Words are separated by blanks and the characters 9 to 13. Windows never cross
@@ -31,11 +31,15 @@ from pyspark.sql import functions as F
 from clientlens.llm import common
 
 BASE_N, MIN_WORDS, MAX_REPEAT_PCT = 5, 10, 20
-# Most characters, in percent of all word characters, inside duplicated
-# n-grams of n words. Wider than the published limits of web-corpus filters
-# (15 down to 10): a short text that states one sentence twice reaches 20.
-COVERAGE_PCT = {5: 25, 6: 24, 7: 23, 8: 23, 9: 22, 10: 20}
-LINE_CHARS_PCT = 25          # most characters inside repeated lines, in percent of all word characters
+# Most characters, in percent of all word characters, inside duplicated n-grams
+# of n words and inside repeated lines: the published limits of web-corpus filters.
+COVERAGE_PCT = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
+LINE_CHARS_PCT = 20
+# A text of fewer words than this that states one sentence twice is beyond them:
+# it has wider limits.
+SHORT_WORDS = 100
+SHORT_COVERAGE_PCT = {5: 25, 6: 24, 7: 23, 8: 23, 9: 22, 10: 20}
+SHORT_LINE_CHARS_PCT = 25
 SYMBOLS_PCT = 30             # most special symbols, in percent of the words
 _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 
@@ -117,8 +121,10 @@ def judge(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     figures, verdict = common.free_name(docs, "figures", "quality")
     f = lambda name: F.col(figures)[name]
     base = (f("n_words") < MIN_WORDS) | (100 * f("n_repeat_words") > MAX_REPEAT_PCT * f("n_words"))
-    limits = {f"dup_{n}gram_chars": pct for n, pct in COVERAGE_PCT.items()} | {"dup_line_chars": LINE_CHARS_PCT}
-    broken = F.array_compact(F.array(*[F.when(100 * f(k) > pct * f("word_chars"), F.lit(k)) for k, pct in limits.items()],
+    limits = {f"dup_{n}gram_chars": (pct, SHORT_COVERAGE_PCT[n]) for n, pct in COVERAGE_PCT.items()}
+    limits["dup_line_chars"] = (LINE_CHARS_PCT, SHORT_LINE_CHARS_PCT)
+    most = lambda pct, short: F.when(f("n_words") < SHORT_WORDS, short).otherwise(pct)
+    broken = F.array_compact(F.array(*[F.when(100 * f(k) > most(*pcts) * f("word_chars"), F.lit(k)) for k, pcts in limits.items()],
                                      F.when(100 * f("n_symbols") > SYMBOLS_PCT * f("n_words"), F.lit("n_symbols"))))
     measured = docs.withColumn(figures, F.arrow_udf(_figures, RESULT).asNondeterministic()(F.col(text_col)))
     return measured.withColumn(verdict, F.struct(

@@ -6,9 +6,9 @@ the links, and from the hosts of blocked pages against them (a host that links
 to blocked ones is suspect). A host is blocked when its distrust exceeds
 ``threshold`` times its trust.
 
-Edges: links from a page to another host, and a host and its parent domain
-(``blog.example.org`` and ``example.org``; no parent of a single label), both
-ways, as one link. Links are counted per pair of hosts before anything is
+Edges: links from a page to another host, and (an option: ``domain_links``, 0 to
+leave them out) a host and its parent domain (``blog.example.org`` and
+``example.org``; no parent of a single label), both ways. Links are counted per pair of hosts before anything is
 shuffled by host, so popular hosts cost one row per task; ranks, seeds and
 edges are joined as tables (no host list reaches the driver), and each few
 rounds the ranks are written to the shared folder. Only DataFrame functions.
@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from clientlens.llm import common
 from clientlens.llm.decontam import LOWER, UPPER
 
-DAMPING, ROUNDS, ROUNDS_A_TABLE, THRESHOLD = 0.85, 12, 4, 1.0
-RESIDUAL = 1e-6              # the walk goes on until at most this part of its mass is left
-RELATIVE = 1e-9              # sums in another order differ by less than this part
+DAMPING, ROUNDS_A_TABLE, THRESHOLD = 0.85, 8, 1.0
+RESIDUAL = 1e-4              # a host passes on what arrives until it is at most this part of the host's own rank
+RELATIVE = 1e-2              # a host is blocked if its distrust is larger by more than this part
+DOMAIN_LINKS = 1             # links that a host and its parent domain count as, each way (0: none)
 ALLOW, BLOCK = "allow", "block"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)(?:href|src)\s*=\s*[\"']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]+)"
@@ -70,25 +71,34 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.coalesce(*fits, F.lit(None).cast("struct<rule:string,verdict:string>"))
 
 
-def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
-    """(source, target, links) of ``pages`` with a ``host`` column."""
+def host_edges(pages: DataFrame, html_col: str, domain_links: int = DOMAIN_LINKS) -> DataFrame:
+    """(source, target, links) of ``pages`` with a ``host`` column. Links without a
+    host of their own stay on the page's host and are no edges."""
     found = F.explode(F.regexp_extract_all(F.col(html_col), F.lit(LINK), F.lit(1)))
     links = (pages.select(F.col("host").alias("source"), found.alias("target"))
              .withColumn("target", F.translate("target", UPPER, LOWER)))
     links = links.filter("source != '' and source != target").groupBy("source", "target").agg(F.count("*").alias("links"))
+    if not domain_links:
+        return links
     hosts = pages.select("host").unionByName(links.select(F.col("target").alias("host"))).distinct()
     parent = F.regexp_extract("host", r"^[^.]+\.([^.]+\..+)$", 1)
     up = hosts.select(F.col("host").alias("source"), parent.alias("target")).filter("target != ''")
     family = up.unionByName(up.select(F.col("target").alias("source"), F.col("source").alias("target"))).distinct()
-    return (links.unionByName(family.withColumn("links", F.lit(1).cast("long")))
+    return (links.unionByName(family.withColumn("links", F.lit(domain_links).cast("long")))
             .groupBy("source", "target").agg(F.sum("links").alias("links")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) of every host that either reaches after ``rounds``
-    rounds, or with none given once at most ``RESIDUAL`` is left. ``seeds``:
-    (host, trust, distrust), each summing to 1 or 0. Mass that flows into a
-    host without links leaves the graph."""
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, residual: float = RESIDUAL) -> DataFrame:
+    """(host, trust, distrust) of every host that either reaches. ``seeds``:
+    (host, trust, distrust), each summing to 1 or 0. Mass that flows into a host
+    without links leaves the graph.
+
+    Delta propagation: what arrives at a host adds to its rank and waits there
+    (``wait_t``, ``wait_d``); in each round the hosts where more waits than
+    ``residual`` times their own rank pass it on, the others keep it until more
+    has come. The walk ends when no host has anything to pass on. So accuracy is
+    relative to each host's own rank, however small that is and however far the
+    host is from a seed; a host that is reached for the first time always passes on."""
     out = edges.groupBy("source").agg(F.sum("links").alias("all_out"))
     into = edges.groupBy("target").agg(F.sum("links").alias("all_in"))
     ways = common.written(
@@ -97,26 +107,30 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         .unionByName(edges.join(into, "target").select(F.col("target").alias("host"), F.col("source").alias("to"),
                                                        F.lit(0.0).alias("t"), (F.col("links") / F.col("all_in")).alias("d"))),
         "ways")
-    start = seeds.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"))
-    ranks = start = common.written(start, "seeds")
-    i, mass, left = 0, 0.0, 1.0
-    while left > RESIDUAL if rounds is None else i < rounds:
-        flow = ways.join(ranks, "host").select(F.col("to").alias("host"), (F.col("t") * F.col("trust") * damping).alias("trust"),
-                                               (F.col("d") * F.col("distrust") * damping).alias("distrust"))
-        ranks = (flow.unionByName(start).groupBy("host")
-                 .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
-        i += 1
-        if i % ROUNDS_A_TABLE == 0 and i != rounds:
-            seen = Observation()
-            ranks = common.written(ranks.observe(seen, F.sum(F.col("trust") + F.col("distrust")).alias("mass")), "ranks")
-            # each round adds at most ``damping`` times what the last one added
-            before, mass = mass, seen.get["mass"] or 0.0
-            left = (mass - before) * damping ** ROUNDS_A_TABLE / (1 - damping ** ROUNDS_A_TABLE)
-    return ranks
+    t, d = (F.col(c) * (1 - damping) for c in ("trust", "distrust"))
+    ranks = common.written(seeds.select("host", t.alias("trust"), d.alias("distrust"), t.alias("wait_t"), d.alias("wait_d")), "ranks")
+    much = lambda wait, rank: F.col(wait) > residual * F.col(rank)
+    columns = ("trust", "distrust", "wait_t", "wait_d")
+    while True:
+        for _ in range(ROUNDS_A_TABLE):
+            # a side of a row stays or goes as a whole
+            go_t, go_d = (F.when(much(w, r), F.col(w)).otherwise(0.0) for w, r in (("wait_t", "trust"), ("wait_d", "distrust")))
+            split = ranks.select("host", "trust", "distrust", go_t.alias("go_t"), go_d.alias("go_d"),
+                                 (F.col("wait_t") - go_t).alias("wait_t"), (F.col("wait_d") - go_d).alias("wait_d"))
+            flow = (split.filter("go_t > 0 or go_d > 0").join(ways, "host")
+                    .select(F.col("to").alias("host"), (F.col("t") * F.col("go_t") * damping).alias("trust"),
+                            (F.col("d") * F.col("go_d") * damping).alias("distrust")).filter("trust > 0 or distrust > 0"))
+            arrived = flow.withColumns({"wait_t": F.col("trust"), "wait_d": F.col("distrust")})
+            ranks = (split.select("host", *columns).unionByName(arrived.select("host", *columns))
+                     .groupBy("host").agg(*[F.sum(c).alias(c) for c in columns]))
+        seen = Observation()
+        ranks = common.written(ranks.observe(seen, F.count_if(much("wait_t", "trust") | much("wait_d", "distrust")).alias("live")), "ranks")
+        if not seen.get["live"]:
+            return ranks.select("host", "trust", "distrust")
 
 
 def judge(pages: DataFrame, rules: list[Rule] | None = None, id_col: str = "page_id", url_col: str = "url",
-          html_col: str = "html", threshold: float = THRESHOLD) -> DataFrame:
+          html_col: str = "html", threshold: float = THRESHOLD, domain_links: int = DOMAIN_LINKS) -> DataFrame:
     """Per page: its id, ``host``, ``path``, ``rule``, ``verdict`` and the
     host's ``trust`` and ``distrust`` (0 where neither reaches)."""
     common.prepare(pages.sparkSession)
@@ -130,10 +144,10 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None, id_col: str = "page
     share = lambda x, t: F.coalesce(F.try_divide(F.col(x), F.col(t)), F.lit(0.0))
     seeds = (counts.withColumn("k", F.lit(1)).join(total.withColumn("k", F.lit(1)), "k")      # total is a single row
              .select("host", share("a", "all_a").alias("trust"), share("b", "all_b").alias("distrust")))
-    ranks = propagate(common.written(host_edges(rows, "html"), "edges"), seeds, rounds=None)
+    ranks = propagate(common.written(host_edges(rows, "html", domain_links), "edges"), seeds)
     found = ruled.select(id_col, "host", "path", "fit").join(ranks, "host", "left")
     trust, distrust = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("trust", "distrust"))
-    # by a relative tolerance: ranks get smaller as the input grows
+    # by a relative margin: ranks get smaller as the input grows
     spread = F.when(distrust > trust * threshold * (1 + RELATIVE), F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return found.select(id_col, "host", "path", F.col("fit.rule").alias("rule"),
                         F.coalesce(F.col("fit.verdict"), spread).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"))

@@ -59,3 +59,30 @@ def test_verdicts(spark):
 def test_awkward_and_empty(spark):
     assert sorted(r.doc_id for r in quality.keep_good(awkward(spark)).collect()) == [1, 1, 6]
     assert quality.keep_good(empty(spark)).count() == 0
+
+
+def _words(first, n):
+    return [f"{first}{i}" for i in range(n)]
+
+
+def test_each_coverage_rule_decides(spark):
+    """Texts that pass the base rules and break one kind of limit, and the same in short."""
+    # a run of k words twice in a text of many: for k words only windows of up to k repeat
+    def twice(k, share, word="w"):
+        n = round(2 * k / share)
+        run = _words("longish" + word, k)
+        return " ".join(run + _words("x", (n - 2 * k) // 2) + run + _words("y", (n - 2 * k) // 2))
+    rows = [(k, twice(k, 0.18)) for k in (5, 6, 7, 8, 9)] + [(10, twice(10, 0.15)), (50, twice(50, 0.15))]
+    line = " ".join(_words("line", 4))
+    rows.append((100, "\n".join(" ".join(_words(f"a{i}", 6)) + "\n" + line for i in range(60))))
+    sentence = " ".join(_words("s", 9))
+    rows.append((200, f"{sentence} " + " ".join(_words("t", 76)) + f" {sentence}"))     # a short text states one sentence twice
+    judged, verdict = quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r.doc_id: r[verdict] for r in judged.collect()}
+    assert not any(v.base_failed for v in got.values())
+    for k in (5, 6, 7, 8, 9, 10):
+        # the rule for k words is the longest that such a text can break
+        assert f"dup_{k}gram_chars" in got[k].failed and not got[k].kept
+        assert not {f"dup_{n}gram_chars" for n in range(k + 1, 11)} & set(got[k].failed)
+    assert got[50].failed and "dup_line_chars" in got[100].failed
+    assert got[200].kept and got[200].n_words < quality.SHORT_WORDS
