@@ -59,8 +59,12 @@ def fact_transactions(transactions: DataFrame, dim: DataFrame, closed: str = "le
     ``closed='both'`` reproduces BETWEEN semantics, where an event at
     midnight of a tier-change day meets both adjacent versions.
     """
-    j = point_in_time_join(transactions, dim, "customer_id", "event_timestamp", VERSION_ATTRS, closed)
-    return j.select(
+    return transaction_rows(point_in_time_join(transactions, dim, "customer_id", "event_timestamp", VERSION_ATTRS, closed))
+
+
+def transaction_rows(joined: DataFrame) -> DataFrame:
+    """The columns of the transaction fact from transactions with their version."""
+    return joined.select(
         "transaction_id", "customer_id", "customer_sk", "amount", "event_timestamp", "channel",
         "rolling_90d_spend", "rolling_90d_txn_count", "loyalty_tier", "customer_segment",
         "state", "signup_date",

@@ -9,11 +9,15 @@ Each table is scanned once for all its NULL and accepted-value checks; each
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clientlens.operators import changes, key_index
+from clientlens.operators.changes import in_periods, ordered
+from clientlens.sources import sinks
 from clientlens.sources.schemas import CHANNELS, TIERS
 
 
@@ -72,7 +76,42 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
               .agg(F.count_if(F.col("n") > 1).alias("failures")))
 
 
-def _table_results(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
+def duplicated(table: DataFrame, index: DataFrame, column: str, part: str, touched: list, before: DataFrame) -> DataFrame:
+    """T1 after a refresh: the values of ``column`` that occur more than once, from
+    the touched periods and the key index. A duplicated value has a row in a touched
+    period, or it was duplicated before and is in ``before`` (the last result): only
+    such values are counted, in the touched periods and in those that the index
+    names for them. The other periods are not read, and the table is not shuffled."""
+    own = table.filter(in_periods(part, touched)).select(column)
+    asked = own.unionByName(before.select(column)).filter(F.col(column).isNotNull()).distinct().checkpoint()
+    named = [r[0] for r in key_index.probe(index, asked, column, part).select(part).distinct().collect()]    # one per period
+    rows = table.filter(in_periods(part, ordered([*touched, *named]))).select(column)
+    return (rows.join(asked, column, "left_semi").groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+            .filter("n > 1").select(column))
+
+
+def unique_after(spark: SparkSession, table: DataFrame, index_path: str, root: str, column: str, part: str) -> DataFrame:
+    """T1 of a partitioned fact from the periods announced to ``root`` since the last
+    call (all of the table the first time); one row: ``failures``."""
+    folders, touched = changes.pending(spark, root)
+    last = sinks.current_version(spark, os.path.join(root, "duplicated"))
+    kind = table.schema[column].dataType.simpleString()
+    if last is None:
+        found = table.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(column)
+        number = 0
+    else:
+        number = int(last.rsplit("=", 1)[1])
+        before = spark.read.schema(f"{column} {kind}").parquet(last)
+        found = duplicated(table, key_index.read(spark, index_path, part), column, part, touched, before)
+    path = os.path.join(root, "duplicated", f"version={number + 1:06d}")
+    sinks.write_table(found, path)
+    changes.forget(spark, folders)
+    if last is not None:
+        sinks.remove(spark, last)
+    return spark.read.schema(f"{column} {kind}").parquet(path).agg(F.count(F.lit(1)).alias("failures"))
+
+
+def _table_results(model: str, df: DataFrame, checks: list[Check], known: dict | None = None) -> DataFrame:
     spark = df.sparkSession
     exprs, names = [], []
     for i, ch in enumerate(checks):
@@ -93,7 +132,8 @@ def _table_results(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
         parts.append(stacked.select(F.lit(model).alias("model"), "r.*"))
     for ch in checks:
         if ch.test == "unique":
-            parts.append(unique_failures(df, ch.column).select(
+            own = (known or {}).get((model, ch.column))
+            parts.append((unique_failures(df, ch.column) if own is None else own).select(
                 F.lit(model).alias("model"), F.lit(ch.column).alias("column_name"),
                 F.lit("unique").alias("test_name"), F.col("failures").cast("bigint")))
     if not parts:
@@ -104,14 +144,15 @@ def _table_results(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     return out
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """Results of every check: (model, column_name, test_name, failures)."""
+def run_checks(tables: dict[str, DataFrame], checks: list[Check], known: dict | None = None) -> DataFrame:
+    """Results of every check: (model, column_name, test_name, failures). ``known``:
+    failures of ``unique`` checks by (model, column), as ``unique_after`` gives them."""
     out = None
     for model, df in tables.items():
         mine = [c for c in checks if c.model == model]
         if not mine:
             continue
-        r = _table_results(model, df, mine)
+        r = _table_results(model, df, mine, known)
         out = r if out is None else out.unionByName(r)
     return out
 

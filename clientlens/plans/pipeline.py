@@ -139,14 +139,15 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_transactions
     # marts zone + gate
     dim = _write_read(spark, history_state.dimension(versions, as_of, run_ts), z("marts", "dim_customer"))
     fact_root, kept = z("marts", "fact_transactions"), z("marts", "_features")
-    part = incremental.PERIOD_COLUMNS[fact_period]
+    part, checked = incremental.PERIOD_COLUMNS[fact_period], z("marts", "_unique_fact_transactions")
     if fact_layout == "partitioned":
         if not readers.table_exists(spark, fact_root):
-            sinks.remove(spark, kept)                  # totals of a fact that is gone
+            for derived in (kept, checked):            # of a fact that is gone
+                sinks.remove(spark, derived)
         incremental.refresh_fact_partitions(
             stg["stg_transactions"], dim, fact_root, z("marts", "_stage_fact_transactions"), lookback_days, closed,
             period=fact_period, index_path=z("marts", "_keys_fact_transactions"),
-            followers=(os.path.join(kept, feature_state.TRANSACTIONS.name),))
+            followers=(os.path.join(kept, feature_state.TRANSACTIONS.name), *([checked] if gate else [])))
         fact_tx = spark.read.parquet(fact_root).drop(part)
     else:
         committed = sinks.current_version(spark, fact_root)
@@ -164,7 +165,12 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_transactions
     mart_tables = {"dim_customer": dim, "fact_transactions": fact_tx, "fact_support": fact_sp,
                    "feature_store_customer": feats}
     if gate:
-        out.tests_run += quality.assert_passing(quality.run_checks(mart_tables, quality.MART_CHECKS))
+        known = {}
+        if fact_layout == "partitioned":
+            # the fact's keys: those of touched periods, the others by the key index
+            known["fact_transactions", "transaction_id"] = quality.unique_after(
+                spark, spark.read.parquet(fact_root), z("marts", "_keys_fact_transactions"), checked, "transaction_id", part)
+        out.tests_run += quality.assert_passing(quality.run_checks(mart_tables, quality.MART_CHECKS, known))
 
     sinks.remove(spark, scratch)
     out.tables = {"customers": customers, "transactions": transactions, "support_ticket_messages": messages,

@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientlens.operators import (clean, dedup, feature_state, history_state, incremental, kpis, marts, quality,
-                                  rolling_state, scd2, staging)
+from clientlens.operators import (bitmaps, bucketed, changes, clean, dedup, feature_state, history_state, incremental,
+                                  key_index, kpis, marts, quality, rolling_state, scd2, staging)
 from clientlens.plans.chain import Chain
 from clientlens.plans.pipeline import RunResult, clean_job, run_from_files
 from clientlens.session import scratch_path
@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 INCREMENTAL_SPLIT = "2000-01-01 00:00:00"       # first load: events before this time
 FIRST_RUN_TS = "2001-08-01 06:00:00"            # _loaded_at of the first load
 KPI_CHANNELS = ["web", "mobile_app"]             # channel filter of the filtered monthly view
+BUCKET_SLOT_ROWS = 8                             # transactions of a customer in one bucket slot
 FACT_PERIOD = "month"                            # partition period of the by-period fact
 
 
@@ -393,6 +394,23 @@ def q_fact_transactions_point_join(spark, sf_dir):
     return marts.fact_transactions(c.stg_transactions, c.dim_customer, "left")
 
 
+def _bucketed(spark, sf_dir):
+    """Staged transactions and versions in buckets by customer; a few hundred rows
+    make a customer hot here, so slots occur."""
+    key = _key(spark, sf_dir, "bucketed")
+    if key not in _BUILT:
+        c = _processed(spark, sf_dir)
+        run = uuid.uuid4().hex
+        _BUILT[key] = bucketed.store(c.stg_transactions, c.dim_customer, scratch_path(spark, f"bucketed-{run}"), f"b{run}",
+                                     slot_rows=BUCKET_SLOT_ROWS)
+    return _BUILT[key]
+
+
+def q_fact_transactions_bucketed(spark, sf_dir):
+    """Q12 from bucketed storage: bucket joined with bucket, no shuffle."""
+    return bucketed.fact_transactions(*_bucketed(spark, sf_dir))
+
+
 def q_fact_transactions_closed(spark, sf_dir):
     return _processed(spark, sf_dir, midnight=True, closed="both").fact_transactions
 
@@ -463,6 +481,32 @@ def q_quarantine_written(spark, sf_dir):
     return spark.read.parquet(path).select("transaction_id", "customer_id", "amount", "timestamp", "channel", "quarantine_reason")
 
 
+def q_dq_unique_after_refresh(spark, sf_dir):
+    """T1 on a stored fact after a second load whose rows repeat keys of the first:
+    from the touched months and the key index, not from the whole fact."""
+    c = _processed(spark, sf_dir)
+    part, month = incremental.PERIOD_COLUMNS["month"], lambda df: incremental.period_of(F.col("event_timestamp"), "month")
+    root = scratch_path(spark, f"unique-{uuid.uuid4().hex}")
+    table, index, checked = (os.path.join(root, n) for n in ("table", "keys", "unique"))
+    rows = c.stg_transactions.select("transaction_id", "event_timestamp", month(c.stg_transactions).alias(part))
+    early = F.col("event_timestamp") < F.lit(INCREMENTAL_SPLIT).cast("timestamp")
+    sinks.write_table(rows.filter(early), table, [part])
+    key_index.follow(spark, spark.read.parquet(table), index, "transaction_id", part)
+    quality.unique_after(spark, spark.read.parquet(table), index, checked, "transaction_id", part)
+    # of 40 later transactions one takes the key of an earlier one, its number less 7
+    later = rows.filter(~early).withColumn("transaction_id", F.when(
+        F.col("transaction_id").cast("long") % 40 == 8, (F.col("transaction_id").cast("long") - 7).cast("string"))
+        .otherwise(F.col("transaction_id")))
+    months = [r[0] for r in later.select(part).distinct().collect()]
+    held = spark.read.parquet(table).filter(changes.in_periods(part, months)).checkpoint()
+    changes.announce(spark, index, part, months)
+    changes.announce(spark, checked, part, months)
+    sinks.write_partitions(later.select(*held.columns).unionByName(held), table, [part])
+    stored = spark.read.parquet(table)
+    key_index.follow(spark, stored, index, "transaction_id", part)
+    return quality.unique_after(spark, stored, index, checked, "transaction_id", part)
+
+
 def q_dedup_answer_key_json(spark, sf_dir):
     """The NDJSON answer key read back under its schema."""
     return readers.load_duplicate_key(spark, _raw_file(spark, sf_dir, "duplicate_key"))
@@ -492,6 +536,42 @@ def q_kpi_transactions(spark, sf_dir):
     return kpis.transaction_kpis(_built(spark, sf_dir).fact_transactions)
 
 
+def _customer_sets(spark, sf_dir):
+    """Bitmaps of the transacting customers per month and channel."""
+    key = _key(spark, sf_dir, "customer-sets")
+    if key not in _BUILT:
+        c = _built(spark, sf_dir)
+        root = scratch_path(spark, f"sets-{uuid.uuid4().hex}")
+        # half of the customers are known before, the others are numbered after them
+        facts = c.fact_transactions
+        early = facts.filter(F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 0)
+        numbers = bitmaps.number_customers(facts, bitmaps.number_customers(early))
+        sinks.write_table(numbers, os.path.join(root, "numbers"))
+        sets = bitmaps.customer_sets(facts, spark.read.parquet(os.path.join(root, "numbers")),
+                                     F.date_format("event_timestamp", "yyyy-MM").alias("month"), "channel")
+        sinks.write_table(sets, os.path.join(root, "sets"))
+        _BUILT[key] = spark.read.parquet(os.path.join(root, "sets"))
+    return _BUILT[key]
+
+
+def q_kpi_customers_by_month(spark, sf_dir):
+    """M6 by month: channels merged, customers counted once."""
+    return bitmaps.count_customers(_customer_sets(spark, sf_dir), "month")
+
+
+def q_kpi_customers_by_channel(spark, sf_dir):
+    """M6 by channel: months merged."""
+    return bitmaps.count_customers(_customer_sets(spark, sf_dir), "channel")
+
+
+def q_kpi_share_from_sets(spark, sf_dir):
+    """M6 and M17 in total: all sets merged, over the number of customers."""
+    base = _features(spark, sf_dir).agg(F.count(F.lit(1)).alias("customers"))
+    return bitmaps.count_customers(_customer_sets(spark, sf_dir)).crossJoin(base).select(       # two tables of one row
+        "unique_customers", F.when(F.col("customers") > 0, F.col("unique_customers").cast("double") * 100.0 / F.col("customers"))
+        .alias("pct_transacted"))
+
+
 def q_kpi_monthly_channel(spark, sf_dir):
     return kpis.monthly_channel(_built(spark, sf_dir).fact_transactions)
 

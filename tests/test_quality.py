@@ -27,3 +27,44 @@ def test_check_counts_match_the_declared_suite():
 def test_table_without_checks_gives_an_empty_result(spark):
     from clientlens.operators.quality import _table_results
     assert _table_results("m", spark.range(3), []).count() == 0
+
+
+def test_uniqueness_after_refreshes_equals_the_full_check(spark, tmpdir_path):
+    """Duplicates inside a touched period, with an untouched one, kept from before, and
+    resolved, counted from the touched periods and the key index."""
+    import os
+    import random
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from clientlens.operators import changes, incremental, key_index
+    from clientlens.sources import sinks
+    rng = random.Random(3)
+    table, index, root = (os.path.join(tmpdir_path, n) for n in ("t", "keys", "unique"))
+    days = {d: [f"k{d}-{i}" for i in range(8)] for d in range(12)}
+
+    def stored(of):
+        rows = [(k, datetime(2024, 1, 1) + timedelta(days=d)) for d in of for k in days[d]]
+        df = spark.createDataFrame(rows, "transaction_id string, event_timestamp timestamp")
+        return df.withColumn("event_date", incremental.period_of(F.col("event_timestamp"), "day"))
+
+    sinks.write_table(stored(days), table, ["event_date"])
+    days_of = lambda ds: [(datetime(2024, 1, 1) + timedelta(days=d)).date() for d in ds]
+    seen = []
+    for step in range(6):
+        t = spark.read.parquet(table)
+        key_index.follow(spark, t, index, "transaction_id", "event_date")
+        got = quality.unique_after(spark, t, index, root, "transaction_id", "event_date").first().failures
+        assert got == quality.unique_failures(t, "transaction_id").first().failures
+        seen.append(got)
+        touched = rng.sample(sorted(days), 2)
+        for d in touched:
+            if step == 3:
+                days[d] = [f"new{step}-{d}-{i}" for i in range(8)]         # what was twice may be once now
+            else:
+                days[d] += [rng.choice(days[rng.choice(sorted(days))]), days[d][0], None]
+        changes.announce(spark, index, "event_date", days_of(touched))
+        changes.announce(spark, root, "event_date", days_of(touched))
+        sinks.write_partitions(stored(touched), table, ["event_date"])
+    assert seen[0] == 0 and max(seen) > 4
