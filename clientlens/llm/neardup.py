@@ -152,9 +152,14 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return float(least / (a[1].sum() + b[1].sum() - least))
 
 
-def prepared(docs: DataFrame, text_col: str) -> tuple[DataFrame, str, str]:
+def _text_key(text: F.Column) -> F.Column:
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+
+
+def prepared(docs: DataFrame, text_col: str, keep_text: bool) -> tuple[DataFrame, str, str]:
     """``docs`` with a row number and a struct of fingerprint, shingles and
-    bands, as a written table; the two columns' names."""
+    bands, as a written table; the two columns' names. Without ``keep_text`` the
+    text is left out, and a 128-bit hash of it in the struct finds it again."""
     row, key = common.free_name(docs, "row", "key")
 
     def sign(texts: pa.Array) -> pa.Array:
@@ -167,8 +172,20 @@ def prepared(docs: DataFrame, text_col: str) -> tuple[DataFrame, str, str]:
             names=["print", "n", "bands"])
 
     udf = F.arrow_udf(sign, "print binary, n bigint, bands array<bigint>").asNondeterministic()
-    return common.written(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(key, udf(F.col(text_col))),
-                          "signed"), row, key
+    signed = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(key, udf(F.col(text_col)))
+    if not keep_text:
+        signed = signed.withColumn(key, F.col(key).withField("text", _text_key(F.col(text_col)))).drop(text_col)
+    return common.written(signed, "signed"), row, key
+
+
+def candidate_texts(docs: DataFrame, text_col: str, signed: DataFrame, row: str, key: str, wanted: DataFrame) -> DataFrame:
+    """(row, text) of the wanted rows. Texts that were not kept are read again and
+    found by their hash; of copies each task sends one."""
+    if text_col in signed.columns:
+        return signed.select(F.col(row).alias("row"), F.col(text_col).alias("text")).join(wanted, "row", "left_semi")
+    places = signed.select(F.col(row).alias("row"), F.col(key)["text"].alias("at")).join(wanted, "row", "left_semi")
+    texts = docs.select(F.col(text_col).alias("text"), _text_key(F.col(text_col)).alias("at"))
+    return texts.join(places, "at").groupBy("row").agg(F.first("text").alias("text"))
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -355,11 +372,13 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("v").alias("row"), F.col("v").alias("label"))).distinct()
 
 
-def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR) -> tuple[DataFrame, DataFrame, str]:
-    """The written rows of ``docs``, (row, class) for each of them (class: the
-    smallest row in it) and the name of the row column."""
+def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR,
+            keep_text: bool = True) -> tuple[DataFrame, DataFrame, str]:
+    """The written rows of ``docs`` (without the text if it need not be kept),
+    (row, class) for each of them (class: the smallest row in it) and the name of
+    the row column."""
     common.prepare(docs.sparkSession)
-    signed, row, key = prepared(docs, text_col)
+    signed, row, key = prepared(docs, text_col, keep_text)
     k = F.col(key)
     slim = signed.select(F.col(row).alias("row"), k["print"].alias("print"), k["n"].alias("n"), k["bands"].alias("bands"))
     reps = slim.filter("print is not null").groupBy("print").agg(F.min("row").alias("rep"))
@@ -380,9 +399,7 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
         F.max_by("row", rank).alias("most"), F.max_by("n", rank).alias("most_n"))
     members = common.written(multi.join(led, "bucket").drop("bucket", "c").distinct(), "members")
     common.release(multi)
-    texts = common.written(
-        signed.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
-        .join(members.select("row").distinct(), "row", "left_semi"), "candidates")
+    texts = common.written(candidate_texts(docs, text_col, signed, row, key, members.select("row").distinct()), "candidates")
 
     # a similarity is at most the ratio of the sizes
     miss = 2 * threshold - 1 - 1e-9
@@ -438,7 +455,7 @@ def classes(docs: DataFrame, text_col: str = "text", threshold: float = SIMILAR)
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILAR) -> DataFrame:
     """One row per document: its id, ``class_id`` (the smallest id of its
     class), ``class_size`` and whether it is the one that stays (``kept``)."""
-    rows, found, row = classes(docs.select(id_col, text_col), text_col, threshold)
+    rows, found, row = classes(docs.select(id_col, text_col), text_col, threshold, keep_text=False)
     ids = common.written(rows.select(F.col(row).alias("row"), F.col(id_col).alias("id")).join(found, "row"), "classes")
     # the smallest id stays, of rows with that id the first; an id sorts before none
     stays = ids.groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"),
