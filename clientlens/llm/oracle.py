@@ -73,7 +73,7 @@ _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 def _op2() -> str:
     from clientlens.llm.urlgraph import LINK, RULES
     # plain rounds until the rest of the walk is below 1e-7 of its mass, and the blocking margin
-    damping, rounds, margin = 0.85, 100, 1.01
+    damping, last, margin = 0.85, 100, 1.01
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     rules = ", ".join(f"({quote(r.host)}, {quote(r.path)}, {quote(r.verdict)})" for r in RULES)
     rounds = "".join(f"""
@@ -83,7 +83,7 @@ r{i + 1} AS MATERIALIZED (
     FROM edges JOIN outs USING (source) JOIN r{i} r ON r.host = source
     UNION ALL
     SELECT source, 0.0, {damping} * r.d * links / all_in FROM edges JOIN ins USING (target) JOIN r{i} r ON r.host = target
-    UNION ALL SELECT * FROM r0) GROUP BY host),""" for i in range(rounds))
+    UNION ALL SELECT * FROM r0) GROUP BY host),""" for i in range(last))
     return f"""
 WITH p AS (
   SELECT page_id, row_number() OVER () AS n, html,
@@ -110,7 +110,7 @@ c AS (SELECT host, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (ve
 r0 AS MATERIALIZED (
   SELECT host, {1 - damping} * coalesce(a / nullif(sum(a) OVER (), 0), 0) AS t,
          {1 - damping} * coalesce(b / nullif(sum(b) OVER (), 0), 0) AS d FROM c),{rounds}
-last AS (SELECT host, t * {margin} AS t, d FROM r{rounds})
+last AS (SELECT host, t * {margin} AS t, d FROM r{last})
 SELECT page_id, host, path, rule,
        coalesce(verdict, CASE WHEN coalesce(d, 0) > coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fit USING (n) LEFT JOIN last USING (host)
