@@ -265,7 +265,7 @@ def cut_range(f, start: int, stop: int):
 def range_pieces(batches):
     """(file, block, piece) of (file, start, stop) byte ranges."""
     def record(file, start, pieces):
-        return pa.RecordBatch.from_arrays([pa.array([file] * len(pieces)), pa.array([start] * len(pieces), pa.int64()),
+        return pa.RecordBatch.from_arrays([pa.array([file] * len(pieces), pa.string()), pa.array([start] * len(pieces), pa.int64()),
                                            pa.array(pieces, pa.binary())], names=["file", "block", "piece"])
 
     for batch in batches:
@@ -305,13 +305,18 @@ def _pieces(spark: SparkSession, path: str, range_bytes: int) -> DataFrame:
                  .withColumn("stop", F.col("start") + range_bytes).repartition("file", "start")
                  .mapInArrow(range_pieces, "file string, block bigint, piece binary"))
     except (OSError, pa.ArrowException):
-        suffixes = [r.s for r in files.filter(named).select(F.lower(F.substring_index("path", ".", -1)).alias("s")).distinct().collect()]
+        # file names, as Spark's own listing holds them too
+        by_suffix: dict[str, list[str]] = {}
+        for r in files.filter(named).select("path").collect():
+            by_suffix.setdefault(r.path.rsplit(".", 1)[1].lower(), []).append(r.path)
         found = None
-        for s in suffixes:
-            part = text(spark.read.option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
-                        .option("io.compress.passthrough.extension", "." + s).option("pathGlobFilter", f"*.{s}"), path)
+        for suffix, paths in by_suffix.items():
+            reader = spark.read.option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
+            for prefix in ("", "org.apache.hadoop.shaded."):         # the setting's name in Hadoop, and in its shaded client
+                reader = reader.option(prefix + "io.compress.passthrough.extension", "." + suffix)
+            part = text(reader, paths)
             found = part if found is None else found.unionByName(part)
-    plain = [r.path for r in files.filter(~named).select("path").collect()]        # file names, as Spark lists them too
+    plain = [r.path for r in files.filter(~named).select("path").collect()]
     return found.unionByName(text(spark.read, plain)) if plain else found
 
 
