@@ -19,7 +19,7 @@ from clientlens.operators import (bitmaps, bucketed, changes, clean, dedup, feat
 from clientlens.plans.chain import Chain
 from clientlens.plans.pipeline import RunResult, clean_job, run_from_files
 from clientlens.session import scratch_path
-from clientlens.sources import adapters, readers, schemas, sinks
+from clientlens.sources import adapters, layout, readers, schemas, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,7 @@ INCREMENTAL_SPLIT = "2000-01-01 00:00:00"       # first load: events before this
 FIRST_RUN_TS = "2001-08-01 06:00:00"            # _loaded_at of the first load
 KPI_CHANNELS = ["web", "mobile_app"]             # channel filter of the filtered monthly view
 BUCKET_SLOT_ROWS = 8                             # transactions of a customer in one bucket slot
+LAYOUT_CLUSTERS = 2                              # customer clusters of the stored fact
 FACT_PERIOD = "month"                            # partition period of the by-period fact
 
 
@@ -441,6 +442,19 @@ def q_fact_transactions_partition_refresh(spark, sf_dir):
     return spark.read.parquet(table).drop(incremental.PERIOD_COLUMNS[FACT_PERIOD])
 
 
+def q_fact_transactions_compacted(spark, sf_dir):
+    """K2: the fact stored by month and customer cluster in three deliveries, then
+    compacted to one sorted file a folder."""
+    facts = _built(spark, sf_dir).fact_transactions
+    path = os.path.join(scratch_path(spark, f"layout-{uuid.uuid4().hex}"), "fact")
+    part = incremental.PERIOD_COLUMNS["month"]
+    dated = facts.withColumn(part, incremental.period_of(F.col("event_timestamp"), "month"))
+    for k in range(3):
+        layout.append(dated.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == k), path, part, clusters=LAYOUT_CLUSTERS)
+    layout.compact(spark, path, part)
+    return spark.read.parquet(path).select(*facts.columns)
+
+
 def q_fact_support(spark, sf_dir):
     return _processed(spark, sf_dir).fact_support
 

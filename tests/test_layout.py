@@ -1,0 +1,86 @@
+"""Clustered layout and compaction (K2, K4): same rows, fewer files, one cluster read."""
+
+import os
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from clientlens.operators import incremental
+from clientlens.sources import layout
+
+SCHEMA = "transaction_id string, customer_id string, amount double, event_timestamp timestamp"
+
+
+def batch(spark, rng, n, first):
+    rows = [(f"t{first + i}", rng.choice(["hot", "hot", None, *[f"c{k}" for k in range(30)]]), float(i),
+             datetime(2024, 1, 1) + timedelta(days=rng.randrange(70), seconds=rng.randrange(86400)) if rng.random() < 0.98 else None)
+            for i in range(n)]
+    return spark.createDataFrame(rows, SCHEMA).withColumn("event_month", incremental.period_of(F.col("event_timestamp"), "month"))
+
+
+def appended(spark, path, times=5):
+    rng = random.Random(1)
+    whole = None
+    for k in range(times):
+        df = batch(spark, rng, 120, 1000 * k)
+        layout.append(df, path, "event_month", clusters=4)
+        whole = df if whole is None else whole.unionByName(df)
+    return whole
+
+
+def rows(df):
+    return sorted(map(str, df.select("transaction_id", "customer_id", "amount", "event_timestamp", "event_month").collect()))
+
+
+def test_compaction_keeps_every_row_and_leaves_one_file_a_folder(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    want = rows(appended(spark, path))
+    table = spark.read.parquet(path)
+    files, one = len(table.inputFiles()), layout.of_customer(table, "c3", 4)
+    before, cost = rows(one), layout.files_read(one)
+    folders = {os.path.dirname(f) for f in table.inputFiles()}                   # 3 months and none, 4 clusters
+    assert 0 < layout.compact(spark, path, "event_month") <= len(folders)
+    table = spark.read.parquet(path)
+    one = layout.of_customer(table, "c3", 4)
+    assert rows(table) == want and rows(one) == before
+    assert len(table.inputFiles()) == len(folders) < files and layout.files_read(one) <= 4 < cost
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(customer_cluster" in plan and "EqualTo(customer_id,c3)" in plan
+    # sorted by customer inside a file; nothing left to do
+    part = spark.read.parquet(table.inputFiles()[0]).select("customer_id").collect()
+    assert [r[0] or "" for r in part] == sorted(r[0] or "" for r in part)
+    assert layout.compact(spark, path, "event_month") == 0
+
+
+def test_only_fragmented_folders_are_rewritten(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    appended(spark, path)
+    layout.compact(spark, path, "event_month")
+    kept = set(spark.read.parquet(path).inputFiles())
+    assert len(kept) == len({os.path.dirname(f) for f in kept})
+    late = spark.createDataFrame([("new", "c3", 1.0, datetime(2024, 1, 5))], SCHEMA).withColumn(
+        "event_month", incremental.period_of(F.col("event_timestamp"), "month"))
+    layout.append(late, path, "event_month", clusters=4)
+    assert layout.compact(spark, path, "event_month") == 1
+    assert len(kept & set(spark.read.parquet(path).inputFiles())) == len(kept) - 1
+
+
+def test_a_stopped_compaction_is_finished_by_the_next(spark, tmpdir_path, monkeypatch):
+    path = os.path.join(tmpdir_path, "t")
+    want = rows(appended(spark, path, 2))
+    write = layout._write
+
+    def stopped(df, to, *a):
+        if to == path:
+            raise RuntimeError("stop")
+        return write(df, to, *a)
+
+    with monkeypatch.context() as m:
+        m.setattr(layout, "_write", stopped)
+        with pytest.raises(RuntimeError):
+            layout.compact(spark, path, "event_month")
+    assert rows(spark.read.parquet(path)) == want
+    layout.compact(spark, path, "event_month")
+    assert rows(spark.read.parquet(path)) == want and not layout.fragmented(spark, path, "event_month")
