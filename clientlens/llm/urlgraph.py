@@ -101,28 +101,32 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, resi
     host is from a seed; a host that is reached for the first time always passes on."""
     out = edges.groupBy("source").agg(F.sum("links").alias("all_out"))
     into = edges.groupBy("target").agg(F.sum("links").alias("all_in"))
+    none, no = F.lit(0.0), F.lit(False).alias("stays")
+    # a way of every host leads to itself and carries what it keeps, so that a round
+    # is one join and one sum, and reads the last one's ranks once
+    hosts = (edges.select(F.col("source").alias("host")).unionByName(edges.select(F.col("target").alias("host")))
+             .unionByName(seeds.select("host")).distinct())
     ways = common.written(
         edges.join(out, "source").select(F.col("source").alias("host"), F.col("target").alias("to"),
-                                         (F.col("links") / F.col("all_out")).alias("t"), F.lit(0.0).alias("d"))
+                                         (F.col("links") / F.col("all_out")).alias("t"), none.alias("d"), no)
         .unionByName(edges.join(into, "target").select(F.col("target").alias("host"), F.col("source").alias("to"),
-                                                       F.lit(0.0).alias("t"), (F.col("links") / F.col("all_in")).alias("d"))),
+                                                       none.alias("t"), (F.col("links") / F.col("all_in")).alias("d"), no))
+        .unionByName(hosts.select("host", F.col("host").alias("to"), none.alias("t"), none.alias("d"), F.lit(True).alias("stays"))),
         "ways")
     t, d = (F.col(c) * (1 - damping) for c in ("trust", "distrust"))
     ranks = common.written(seeds.select("host", t.alias("trust"), d.alias("distrust"), t.alias("wait_t"), d.alias("wait_d")), "ranks")
     much = lambda wait, rank: F.col(wait) > residual * F.col(rank)
-    columns = ("trust", "distrust", "wait_t", "wait_d")
     while True:
         for _ in range(ROUNDS_A_TABLE):
-            # a side of a row stays or goes as a whole
-            go_t, go_d = (F.when(much(w, r), F.col(w)).otherwise(0.0) for w, r in (("wait_t", "trust"), ("wait_d", "distrust")))
-            split = ranks.select("host", "trust", "distrust", go_t.alias("go_t"), go_d.alias("go_d"),
-                                 (F.col("wait_t") - go_t).alias("wait_t"), (F.col("wait_d") - go_d).alias("wait_d"))
-            flow = (split.filter("go_t > 0 or go_d > 0").join(ways, "host")
-                    .select(F.col("to").alias("host"), (F.col("t") * F.col("go_t") * damping).alias("trust"),
-                            (F.col("d") * F.col("go_d") * damping).alias("distrust")).filter("trust > 0 or distrust > 0"))
-            arrived = flow.withColumns({"wait_t": F.col("trust"), "wait_d": F.col("distrust")})
-            ranks = (split.select("host", *columns).unionByName(arrived.select("host", *columns))
-                     .groupBy("host").agg(*[F.sum(c).alias(c) for c in columns]))
+            moved = []
+            for rank, wait, share in (("trust", "wait_t", "t"), ("distrust", "wait_d", "d")):
+                go = F.when(much(wait, rank), F.col(wait)).otherwise(0.0)
+                sent = F.col(share) * go * damping
+                moved += [F.when(F.col("stays"), F.col(rank)).otherwise(sent).alias(rank),
+                          F.when(F.col("stays"), F.col(wait) - go).otherwise(sent).alias(wait)]
+            ranks = (ranks.join(ways, "host").select(F.col("to").alias("host"), "stays", *moved)
+                     .filter("stays or trust > 0 or distrust > 0").groupBy("host")
+                     .agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "wait_t", "wait_d")]))
         seen = Observation()
         ranks = common.written(ranks.observe(seen, F.count_if(much("wait_t", "trust") | much("wait_d", "distrust")).alias("live")), "ranks")
         if not seen.get["live"]:
