@@ -8,12 +8,15 @@ result is a uniformly random arrangement of all rows in which every shard has
 exactly its size (counts differ by one at most).
 
 No task or driver ever holds the matrix: the rows follow from a seeded binary
-tree over the partitions. A node draws how its slots of each bucket split
-between its halves, so each task walks the few nodes above its own partition
-and all tasks agree. Only the row count of each partition goes to the driver.
-A shard is dealt as several buckets of at most ``bucket_rows`` rows, whose
-places in the shard are known from their exact sizes, so no task sorts a whole
-shard.
+tree over the partitions. A node draws how its slots of each shard split between
+its halves, so a task walks the few nodes above its own partition (their number
+grows with the logarithm of the partitions) and all tasks agree. Only the row count
+and bytes of each partition go to the driver.
+
+The second permutation orders a shard by a random key of each row. A shard is dealt
+as buckets of the key's leading bits, of about ``bucket_rows`` rows and
+``bucket_bytes`` bytes, so no task sorts a whole shard; a bucket's first slot is the
+number of rows in the buckets before it.
 
 The rows are first written with their partition number and position into the
 shared folder: a lost task deals the same rows again. Values of keys play no
@@ -24,7 +27,6 @@ unchanged; an empty table gives no rows.
 
 from __future__ import annotations
 
-import functools
 import math
 
 import numpy as np
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from clientlens.llm import common
 
-SHARDS, SEED, BUCKET_ROWS = 16, 8, 1 << 16
+SHARDS, SEED, BUCKET_ROWS, BUCKET_BYTES = 16, 8, 1 << 16, 64 << 20
 
 _NUMPY_LIMIT = 10 ** 9
 
@@ -71,7 +73,7 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int
 
 
 def split(rng: np.random.Generator, room: tuple[int, ...], n: int) -> tuple[int, ...]:
-    """How ``n`` rows, drawn uniformly, fall on buckets with that much room."""
+    """How ``n`` rows, drawn uniformly, fall on shards with that much room."""
     out, rest = [], sum(room)
     for r in room:
         rest -= r
@@ -88,10 +90,9 @@ class Matrix:
         self.before, self.room, self.seed = [0], tuple(room), seed
         for c in counts:
             self.before.append(self.before[-1] + c)
-        self.node = functools.lru_cache(maxsize=4096)(self.node)
 
     def node(self, low: int, high: int) -> tuple[int, ...]:
-        """Slots of each bucket that partitions low to high - 1 fill."""
+        """Slots of each shard that partitions low to high - 1 fill."""
         parent, left = (0, len(self.before) - 1), self.room
         while parent != (low, high):                 # down from the root
             a, b = parent
@@ -112,23 +113,26 @@ def even(total: int, parts: int) -> list[int]:
     return [total // parts + (i < total % parts) for i in range(parts)]
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS,
+          bucket_bytes: int = BUCKET_BYTES, text_col: str = "text") -> DataFrame:
     """``docs`` with one struct column ``placed`` (under a free name if taken)
     of ``shard`` and ``slot``: slots count from 0 without gaps in each shard."""
     common.prepare(docs.sparkSession)
-    part, pos, bucket, order, placed = common.free_name(docs, "part", "pos", "bucket", "order", "placed")
+    part, pos, to, bucket, order, begin, s, k, placed = common.free_name(
+        docs, "part", "pos", "shard", "bucket", "order", "begin", "s", "k", "placed")
     row = F.monotonically_increasing_id()
     rows = common.written(docs.withColumns({part: F.shiftright(row, 33), pos: row.bitwiseAND((1 << 33) - 1)}), "rows")
-    counted = {r[part]: r["count"] for r in rows.groupBy(part).count().collect()}     # one number per partition
-    counts = [counted.get(i, 0) for i in range(max(counted, default=-1) + 1)]
-    total = sum(counts)
-    per_shard = max(1, math.ceil(total / shards / bucket_rows))
-    room = [r for s in even(total, shards) for r in even(s, per_shard)]
-
-    @F.arrow_udf("bigint")
+    size = F.sum(F.octet_length(text_col)) if text_col in docs.columns else F.lit(0)
+    counted = {r[part]: r for r in rows.groupBy(part).agg(F.count("*").alias("n"), size.alias("bytes")).collect()}   # one per partition
+    counts = [counted[i].n if i in counted else 0 for i in range(max(counted, default=-1) + 1)]
+    total, room = sum(counts), even(sum(counts), shards)
+    wanted = max(total / bucket_rows, sum(r.bytes or 0 for r in counted.values()) / bucket_bytes) / shards
+    bits = max(0, math.ceil(math.log2(max(wanted, 1))))
+
+    @F.arrow_udf("int")
     def deal(parts: pa.Array, positions: pa.Array) -> pa.Array:
         p, at = parts.to_numpy(zero_copy_only=False), positions.to_numpy(zero_copy_only=False)
-        out = np.empty(len(p), np.int64)
+        out = np.empty(len(p), np.int32)
         for i in np.unique(p).tolist():
             mine = p == i
             places, ends = dealt(i)
@@ -141,17 +145,18 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows:
         """Partition i's local permutation and the ends of its shares."""
         if i not in held:
             held.clear()
-            matrix = Matrix(counts, room, seed)
-            held[i] = (np.random.default_rng([seed, len(counts), i]).permutation(counts[i]), np.cumsum(matrix.row(i)))
+            held[i] = (np.random.default_rng([seed, len(counts), i]).permutation(counts[i]),
+                       np.cumsum(Matrix(counts, room, seed).row(i)))
         return held[i]
 
-    b = F.col(bucket)
-    size = F.lit(total // shards) + (F.floor(b / per_shard) < total % shards).cast("long")
-    inner = b % per_shard
-    first = inner * F.floor(size / per_shard) + F.least(inner, size % per_shard)
-    again = Window.partitionBy(bucket).orderBy(order, part, pos)
-    return (rows.withColumn(bucket, deal(part, pos))
-            .withColumn(order, F.xxhash64(F.lit(seed), F.col(part), F.col(pos)))
-            .withColumn(placed, F.struct(F.floor(b / per_shard).cast("int").alias("shard"),
-                                         (first + F.row_number().over(again) - 1).cast("long").alias("slot")))
-            .drop(part, pos, bucket, order))
+    key = F.xxhash64(F.lit(seed), F.col(part), F.col(pos))
+    lead = F.shiftrightunsigned(order, 64 - bits) if bits else F.lit(0).cast("long")
+    keyed = lambda df: df.withColumn(to, deal(part, pos)).withColumn(order, key).withColumn(bucket, lead)
+    sizes = keyed(rows.select(part, pos)).groupBy(to, bucket).agg(F.count("*").alias("n"))
+    before = Window.partitionBy(s).orderBy(k).rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select(F.col(to).alias(s), F.col(bucket).alias(k), "n").select(
+        s, k, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(begin))             # a row per bucket
+    again = Window.partitionBy(to, bucket).orderBy(order, part, pos)
+    return (keyed(rows).join(begins, (F.col(to) == F.col(s)) & (F.col(bucket) == F.col(k))).drop(s, k)
+            .withColumn(placed, F.struct(F.col(to).alias("shard"), (F.col(begin) + F.row_number().over(again) - 1).cast("long").alias("slot")))
+            .drop(part, pos, to, bucket, order, begin))

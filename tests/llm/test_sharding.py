@@ -63,6 +63,28 @@ def test_rows_are_spread_uniformly(spark):
     assert 6 < np.mean(place) < 9
 
 
+def test_buckets_follow_rows_and_bytes(spark):
+    """Small buckets by either bound: the same shards, exact sizes, gapless slots."""
+    docs = spark.range(500, numPartitions=5).selectExpr("id AS doc_id", "repeat('x', 100) AS text", "id AS s", "id AS k")
+    place = lambda **o: {r.doc_id: r["__placed"] for r in sharding.shard(docs, 4, **o).collect()}
+    one, rows, size = place(), place(bucket_rows=10), place(bucket_bytes=1000)
+    for other in (rows, size):
+        assert {i: p.shard for i, p in other.items()} == {i: p.shard for i, p in one.items()}
+        for shard in range(4):
+            assert sorted(p.slot for p in other.values() if p.shard == shard) == list(range(125))
+    out = sharding.shard(docs, 4)
+    assert out.columns[:4] == docs.columns and len(out.columns) == 5
+
+
+def test_many_partitions_cost_few_draws():
+    """The row of one of 100,000 partitions takes a draw per shard and level."""
+    import time
+    matrix = sharding.Matrix([60_000] * 100_000, sharding.even(6 * 10 ** 9, 16), 1)
+    t = time.perf_counter()
+    row = matrix.row(77_777)
+    assert sum(row) == 60_000 and time.perf_counter() - t < 1
+
+
 def test_query_on_awkward_rows(spark):
     rows = QUERIES["op8_sharding"](spark, sf_dir(documents=awkward(spark))).collect()
     want = sorted(((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in AWKWARD), key=str)
