@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,16 @@ def ordered(periods) -> list:
     return sorted(set(periods), key=lambda p: (p is not None, p))
 
 
+def periods_of(first: date, last: date, period: str) -> list[date]:
+    """The periods (days, or months by their first day) from one day to another."""
+    days = (first + timedelta(days=i) for i in range((last - first).days + 1))
+    return list(days) if period == "day" else sorted({d.replace(day=1) for d in days})
+
+
+def last_day(start: date, period: str) -> date:
+    return start if period == "day" else (start.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+
+
 def announce(spark: SparkSession, root: str, part: str, periods: list) -> None:
     """Note for the derived table under ``root`` that ``periods`` will change."""
     if periods:

@@ -31,6 +31,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,8 +176,10 @@ def refresh(spark: SparkSession, facts: DataFrame, root: str, as_of: str, source
         marks = spark.createDataFrame([(p,) for p in changed], f"{part} date")
         missing = [F.lit(None).cast(new.schema[c].dataType).alias(c) for c in new.columns if c != part]
         new = new.unionByName(marks.select(part, *missing))
-    sinks.write_table(new, version, [part])
-    new = spark.read.schema(new.schema).parquet(version).filter(F.col("customer_id").isNotNull())
+    # without a state there is nothing to swap: a stop leaves days that the next first run replaces
+    at = days_path if newest is None else version
+    sinks.write_table(new, at, [part])
+    new = spark.read.schema(schema).parquet(at).filter(F.col("customer_id").isNotNull())
 
     totals = [f"{n}_{k}" for k in ("l", *source.windows) for n in source.measures]
     if state is None or was is None:
@@ -184,7 +187,7 @@ def refresh(spark: SparkSession, facts: DataFrame, root: str, as_of: str, source
         out = whole.filter(F.col("r_l") > 0).select("customer_id", source.by, *totals, F.col("come").alias("active"))
     else:
         # literal periods: the changed ones and those with days that cross a window's start
-        crossed = _periods_between(spark, was, as_of, source.windows, period)
+        crossed = _periods_between(was, as_of, source.windows, period)
         slices = in_periods(part, changed)
         for k in source.windows:
             slices = slices | _moved(was, as_of, k)
@@ -203,14 +206,11 @@ def refresh(spark: SparkSession, facts: DataFrame, root: str, as_of: str, source
     return spark.read.parquet(target)
 
 
-def _periods_between(spark: SparkSession, was: str, now: str, windows: tuple[int, ...], period: str) -> list:
-    """Periods with a day that crosses the start of a window: bounded by the calendar."""
-    a, b = sorted((was, now))
-    if a == b or not windows:
-        return []
-    rows = spark.range(1).select(F.explode(F.flatten(F.array(*[F.sequence(
-        marts.window_start(a, k), F.date_sub(marts.window_start(b, k), 1)) for k in windows]))).alias("d"))
-    return [r[0] for r in rows.select(incremental.period_of(F.col("d"), period).alias("p")).distinct().collect()]
+def _periods_between(was: str, now: str, windows: tuple[int, ...], period: str) -> list:
+    """Periods with a day that crosses the start of a window."""
+    a, b = sorted(map(date.fromisoformat, (was, now)))
+    return changes.ordered(p for k in windows for p in changes.periods_of(
+        a - timedelta(days=k), b - timedelta(days=k + 1), period))
 
 
 def _swap_in(spark: SparkSession, state: str, stage_path: str, days_path: str, part: str, schema: StructType) -> None:

@@ -25,6 +25,7 @@ as changed. (A caller that names the periods names those of a stopped run again.
 from __future__ import annotations
 
 import os
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,14 +72,10 @@ def _swap_in(spark: SparkSession, root: str, part: str) -> None:
     sinks.remove(spark, os.path.join(root, "stage"))
 
 
-def _periods(spark: SparkSession, changed: list, before: int, after: int, period: str) -> list:
-    """The periods within a distance in days of changed ones: bounded by the calendar."""
-    some = [(d,) for d in changed if d is not None]
-    if not some:
-        return []
-    end = F.col("d") if period == "day" else F.last_day("d")
-    days = spark.createDataFrame(some, "d date").select(F.explode(F.sequence(F.date_sub("d", before), F.date_add(end, after))).alias("d"))
-    return [r[0] for r in days.select(incremental.period_of(F.col("d"), period).alias("p")).distinct().collect()]
+def _periods(changed: list, before: int, after: int, period: str) -> set:
+    """The periods within a distance in days of changed ones."""
+    return {p for c in changed if c is not None for p in changes.periods_of(
+        c - timedelta(days=before), changes.last_day(c, period) + timedelta(days=after), period)}
 
 
 def refresh(transactions: DataFrame, root: str, changed: list | None = None, period: str = "day") -> DataFrame:
@@ -128,7 +125,7 @@ def _replace(spark: SparkSession, dated: DataFrame, root: str, changed: list, pe
            .select(F.col("customer_id").alias("__who")).distinct().checkpoint())
     theirs = lambda df, how: df.join(who, F.col("customer_id").eqNullSafe(F.col("__who")), how)
 
-    other = lambda before: [p for p in _periods(spark, changed, before, DAYS, period) if p not in set(changed)]
+    other = lambda before: sorted(_periods(changed, before, DAYS, period) - set(changed))
     around, later = other(DAYS), other(0)
     frames = _frames(theirs(seconds.filter(in_periods(part, around)), "left_semi").unionByName(fresh))
     held = stored.filter(in_periods(part, later)).drop(SUM, COUNT)
