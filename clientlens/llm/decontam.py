@@ -3,12 +3,12 @@
 The benchmark items become windows of ``n`` words (an item of fewer words is
 one window). The distinct (window, item) pairs are sent to the tasks in blocks
 of at most ``BLOCK_PAIRS``: one block for usual benchmarks; for a larger set
-the documents are scanned once per block, with the result so far kept in the
-shared folder in between, so what a task holds is bounded whatever the
+the documents are written once and scanned once per block, and each block gives a
+slim table of the rows it hits, so what a task holds is bounded whatever the
 benchmark's size. A scan numbers the words of a batch by the block's
 vocabulary, skips windows with a word outside of it, looks up rolling hashes
 of the others in the sorted hashes of the block, and verifies each hit by the
-window's exact words. Documents are never shuffled.
+window's exact words. With one block documents are not shuffled.
 
 Edge cases: null or wordless texts have no words and no hits; wordless or null
 items have no window; hits of an item without an id count, but it is not
@@ -110,38 +110,42 @@ def merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _scanner(grams: Grams, text: str, before: str | None):
-    """The scan of one block as a column; ``before``: the column with the
-    result of earlier blocks, which it is merged with."""
+def _scanner(grams: Grams, text: str):
+    """The scan of one block as a column."""
     sent = None if not grams.items else grams
-    span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 
-    def scan(texts: pa.Array, old: pa.Array | None) -> pa.Array:
+    @F.arrow_udf(RESULT)
+    def scan(texts: pa.Array) -> pa.Array:
         raws, n, spans, items = common.raw_texts(texts), [], [], []
         for a, b in common.blocks(raws):
             part = sent.scan(raws[a:b]) if sent else ([len(words_of(r)) for r in raws[a:b]], [[]] * (b - a), [[]] * (b - a))
             for whole, piece in zip((n, spans, items), part):
                 whole += piece
-        if old is not None:
-            for i, o in enumerate(old.to_pylist()):
-                if o["items"] or o["spans"]:
-                    spans[i] = merged(spans[i] + [[s["first"], s["last"]] for s in o["spans"]])
-                    items[i] = sorted({*items[i], *o["items"]})
-        return pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], pa.list_(span)),
-             pa.array(items, pa.list_(pa.string()))], names=["n_words", "spans", "items"])
+        return _results(n, spans, items)
+
+    return scan.asNondeterministic()(F.col(text))
 
-    @F.arrow_udf(RESULT)
-    def first(texts: pa.Array) -> pa.Array:
-        return scan(texts, None)
 
+def _results(n: list, spans: list, items: list) -> pa.Array:
+    span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
+    return pa.StructArray.from_arrays(
+        [pa.array(n, pa.int64()), pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], pa.list_(span)),
+         pa.array(items, pa.list_(pa.string()))], names=["n_words", "spans", "items"])
+
+
+def _with_more(hits: str, more: str):
+    """Results with the spans and items of further blocks (null without any), as a column."""
     @F.arrow_udf(RESULT)
-    def further(texts: pa.Array, old: pa.Array) -> pa.Array:
-        return scan(texts, old)
+    def merge(found: pa.Array, more: pa.Array) -> pa.Array:
+        n, spans, items = [], [], []
+        for one, other in zip(found.to_pylist(), more.to_pylist()):
+            every = one["spans"] + (other["spans"] if other else [])
+            n.append(one["n_words"])
+            spans.append(merged([[x["first"], x["last"]] for x in every]))
+            items.append(sorted({*one["items"], *(other["items"] if other else [])}))
+        return _results(n, spans, items)
 
-    if before is None:
-        return first.asNondeterministic()(F.col(text))
-    return further.asNondeterministic()(F.col(text), F.col(before))
+    return F.when(F.col(more).isNull(), F.col(hits)).otherwise(merge(F.col(hits), F.col(more)))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -154,14 +158,28 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     grams = common.written(item_windows(benchmark, item_col, item_text_col, n), "grams")
     total = grams.count()
     parts = max(1, -(-total // block_pairs))
-    out = docs
-    for i in range(parts):
+
+    def scanned(rows: DataFrame, i: int) -> DataFrame:
         block = grams if parts == 1 else grams.filter(F.pmod(F.xxhash64("gram", "item"), F.lit(parts)) == i)
         pairs = [(r.gram, r.item) for r in block.collect()]         # about block_pairs rows
-        if i:
-            out = common.written(out, "scanned")
-        out = out.withColumn(hits, _scanner(Grams(pairs), text_col, hits if i else None))
-    return out, hits
+        return rows.withColumn(hits, _scanner(Grams(pairs), text_col))
+
+    if parts == 1:
+        return scanned(docs, 0), hits
+    # the documents are written once, with the first block's result; each further
+    # block gives a slim table of the rows that it hits
+    row, more = common.free_name(docs.withColumn(hits, F.lit(0)), "row", "more")
+    base = common.written(scanned(docs.withColumn(row, F.monotonically_increasing_id()), 0), "scanned")
+    slim = None
+    for i in range(1, parts):
+        h = F.col(hits)
+        part = common.written(scanned(base.select(row, text_col), i).filter(F.size(h["spans"]) > 0)
+                              .select(row, h["spans"].alias("spans"), h["items"].alias("items")), "block-hits")
+        slim = part if slim is None else slim.unionByName(part)
+    # a row has an entry per block that hits it
+    every = slim.groupBy(row).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    joined = base.join(every.select(row, F.struct("spans", "items").alias(more)), row, "left")
+    return joined.withColumn(hits, _with_more(hits, more)).select(*docs.columns, hits), hits
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", remove: str = "document",
