@@ -154,3 +154,17 @@ def test_probe_keys_meet_every_near_string_and_are_few(spark, k):
     assert met.filter("not ok").collect() == []
     bound = sum((k * k - d * d) // 2 + k + 1 for d in range(k + 1))
     assert keys.agg(F.max(F.size("p"))).first()[0] <= bound and bound == {0: 1, 1: 4, 2: 12, 3: 26}[k]
+
+
+@pytest.mark.parametrize("few", [1, 3, 1000])
+def test_keys_of_few_and_of_many_groups_match_alike(spark, monkeypatch, few):
+    """The same pairs whether the groups of a first-name key meet directly or by
+    prefix segments."""
+    rnd = random.Random(5)
+    rows = [(f"{rnd.randint(0, 150):05d}", rnd.choice(["Customer#17", "Customer#18", "Customer#27", "ann"]), rnd.choice(["lee", "ng"]),
+             f"m{rnd.randint(10, 40)}.{rnd.randint(0, 30)}@x.com", "2024-01-01", "Gold", rnd.choice(["CA", "NY", None])) for _ in range(200)]
+    df = cust(spark, rows)
+    monkeypatch.setattr(dedup, "FEW", few)
+    want, pairs = brute(spark, df)
+    assert {r.customer_id for r in dedup.flagged_ids(df).collect()} == want
+    assert dedup.likely_duplicate_pair_count(df).first()[0] == pairs

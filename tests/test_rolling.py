@@ -64,3 +64,18 @@ def test_equals_plain_window_with_hot_key(spark):
         assert j.count() == len(rows)
         bad = j.filter(~F.col("s").eqNullSafe(F.col("s2")) | (F.col("c") != F.col("c2")))
         assert bad.count() == 0, days
+
+
+def test_frames_read_each_second_once(spark):
+    """Blocks before 1970 and at block edges; the frames take two shuffles of the seconds."""
+    from clientlens.operators import rolling
+    span, rows = 90 * 86400, []
+    for i, s in enumerate([-2 * span, -span - 1, -span, -1, 0, 1, span - 1, span, span + 1, 2 * span, 2 * span + 1]):
+        rows += [(f"{i}{k}", k, datetime(1970, 1, 1) + timedelta(seconds=s), Decimal(1 << i)) for k in ("a", None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    j = run(df).join(plain(df), "id")
+    assert j.filter(F.col("s").eqNullSafe(F.col("s2")) & (F.col("c") == F.col("c2"))).count() == len(rows)
+    seconds = rolling.second_sums(df, "k", "ts", F.col("v"), "id").checkpoint()
+    frames = rolling.second_frames(seconds, 90, "s", "c", "decimal(18,2)")
+    plan = frames._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Scan ExistingRDD") == 1
