@@ -102,3 +102,15 @@ def test_segments_follow_the_number_of_keys(spark):
     df = facts(spark, [(f"k{i}", 0) for i in range(1025)] + [("x", 1)])
     got = {r.event_date.day: r.segments for r in key_index.build(df, "transaction_id", "event_date").collect()}
     assert got == {1: 2, 2: 1}
+
+
+def test_words_of_a_segment_are_put_in_place_without_look_ups(spark):
+    """Each bit is in its word, words without a bit are zero, and no map of 512
+    words is searched 512 times."""
+    rows = facts(spark, [(f"k{i}", 0) for i in range(3)])
+    index = key_index.build(rows, "transaction_id", "event_date")
+    want = {r[0] for r in rows.select(F.explode(key_index._positions("transaction_id"))).collect()}
+    words = index.first()["words"]
+    assert index.count() == 1 and len(words) == key_index.WORDS
+    assert {i * 64 + b for i, w in enumerate(words) for b in range(64) if (w >> b) & 1} == want
+    assert "map_from_entries" not in index._jdf.queryExecution().optimizedPlan().toString()
