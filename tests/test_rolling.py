@@ -79,3 +79,4 @@ def test_frames_read_each_second_once(spark):
     frames = rolling.second_frames(seconds, 90, "s", "c", "decimal(18,2)")
     plan = frames._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Scan ExistingRDD") == 1
+    assert plan.count("Window [") == 1 and plan.count("Sort [") == 1
