@@ -168,3 +168,17 @@ def test_keys_of_few_and_of_many_groups_match_alike(spark, monkeypatch, few):
     want, pairs = brute(spark, df)
     assert {r.customer_id for r in dedup.flagged_ids(df).collect()} == want
     assert dedup.likely_duplicate_pair_count(df).first()[0] == pairs
+
+
+def test_groups_of_a_name_meet_once_and_edges_are_not_sorted(spark):
+    """Copies of a customer under other e-mails share every key of their name: each
+    pair of them is found once, not once a key, and edges are hashed, not sorted."""
+    rows = [(f"{i:05d}", name, "lee", f"m01.{i % 20}@x.com", "2024-01-01", "Gold", "CA")
+            for i, name in enumerate(["Customer#000000011"] * 20 + ["Customer#000000012"] * 20)]
+    df = cust(spark, rows)
+    groups, edges = dedup.matching_groups(df)
+    want, pairs = brute(spark, df)
+    assert groups.count() == 40 and edges.count() == 2 * pairs == 40 * 39
+    assert {r.customer_id for r in dedup.flagged_ids(df).collect()} == want
+    plan = dedup.flagged_ids(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
