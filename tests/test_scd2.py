@@ -3,6 +3,7 @@
 import random
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from clientlens.operators import scd2
@@ -176,3 +177,25 @@ def test_history_backfill_signup_option(spark):
         ("BRONZE", date(2020, 1, 1), date(2021, 1, 1), False)
     assert h[("early", 2)].loyalty_tier == "GOLD" and h[("early", 3)].is_current
     assert h[("late", 1)].loyalty_tier == "PLATINUM" and h[("none", 1)].valid_to == date(9999, 12, 31)
+
+
+@pytest.mark.parametrize("closed", ["left", "both"])
+def test_versions_of_one_interval_meet_the_points_once(spark, monkeypatch, closed):
+    """A key that repeats on the version side: its versions are not multiplied by
+    points and years, and each fact takes all of them."""
+    versions = spark.createDataFrame(
+        [("a", f"first{i}", date(2020, 1, 1), date(2022, 1, 1)) for i in range(30)]
+        + [("a", f"next{i}", date(2022, 1, 1), date(9999, 12, 31)) for i in range(20)] + [("b", "only", date(2020, 1, 1), date(9999, 12, 31))],
+        "customer_id string, tag string, valid_from date, valid_to date")
+    facts = spark.createDataFrame([("a", datetime(2021, 5, 1, 9)), ("a", datetime(2022, 1, 1)), ("b", datetime(2020, 1, 1)),
+                                   ("c", datetime(2021, 1, 1)), (None, datetime(2021, 1, 1)), ("a", None)], "customer_id string, ts timestamp")
+    sent, by_year = [], scd2._by_year
+    monkeypatch.setattr(scd2, "_by_year", lambda *a: sent.append(by_year(*a)) or sent[-1])
+    got = point_in_time_join(facts, versions, "customer_id", "ts", ["tag"], closed)
+    assert sent[0].count() == 4 and got.columns == ["customer_id", "ts", "tag"]
+    counts = {(r.customer_id, r.ts): (r.n, r.tags) for r in got.groupBy("customer_id", "ts").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("tag").alias("tags")).collect()}
+    at_change = 50 if closed == "both" else 20
+    assert counts == {("a", datetime(2021, 5, 1, 9)): (30, 30), ("a", datetime(2022, 1, 1)): (at_change, at_change),
+                      ("b", datetime(2020, 1, 1)): (1, 1), ("c", datetime(2021, 1, 1)): (1, 0), (None, datetime(2021, 1, 1)): (1, 0),
+                      ("a", None): (1, 0)}
