@@ -1,0 +1,54 @@
+"""Tables that grow with the input are not broadcast through the driver, however few
+bytes their files have."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from clientlens.operators import dedup, rolling
+from clientlens.sources import adapters, schemas
+
+
+def stored(df, folder, name):
+    path = os.path.join(folder, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def broadcasts(df):
+    """The broadcasts in the plan of a run (AQE: the final one)."""
+    df.collect()
+    return [x.strip() for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Broadcast" in x]
+
+
+@pytest.fixture()
+def customers(spark, tmpdir_path):
+    rows = [(f"c{i:03d}", "Ann" if i % 2 else "Anna", "Ng", f"a{i % 5}@x.com", "2024-01-01", "Gold", "TX") for i in range(40)]
+    return stored(spark.createDataFrame(rows, schemas.CUSTOMERS), tmpdir_path, "customers")
+
+
+@pytest.fixture()
+def facts(spark, tmpdir_path):
+    rows = spark.range(60).select(F.format_string("t%02d", "id").alias("transaction_id"), F.format_string("c%03d", F.col("id") % 40).alias("customer_id"),
+                                  F.lit(10).cast("decimal(18,2)").alias("amount"),
+                                  F.timestamp_seconds(F.lit(1700000000) + F.col("id") * 86400).alias("event_timestamp"), F.lit("web").alias("channel"))
+    return stored(rows, tmpdir_path, "facts")
+
+
+def test_dedup(customers):
+    assert broadcasts(dedup.matching_groups(customers)[1]) == []
+    flags = dedup.dedupe_customers(customers)
+    assert broadcasts(flags) == []
+    assert flags.filter("is_likely_duplicate").count() == 39                # all within one letter of the smallest id
+
+
+def test_answer_key(spark, tmpdir_path):
+    spark.range(300).select(F.col("id").alias("c_custkey"), F.concat(F.lit("C"), "id").alias("c_name"), F.lit(1).alias("c_nationkey")) \
+        .write.parquet(os.path.join(tmpdir_path, "customer.parquet"))
+    key = adapters.duplicate_key(spark, tmpdir_path)
+    assert broadcasts(key) == [] and key.count() == 200
+
+
+def test_rolling(facts):
+    assert broadcasts(rolling.rolling_sum_count(facts, "customer_id", "event_timestamp", "amount", "transaction_id", 90, "s", "n")) == []
