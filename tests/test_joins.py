@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from clientlens.operators import dedup, rolling
+from clientlens.operators import dedup, history_state, incremental, intermediate, marts, rolling, scd2
 from clientlens.sources import adapters, schemas
 
 
@@ -36,6 +36,19 @@ def facts(spark, tmpdir_path):
     return stored(rows, tmpdir_path, "facts")
 
 
+@pytest.fixture()
+def staged(customers):
+    return customers.withColumn("signup_date", F.to_date("signup_date")).withColumn("is_likely_duplicate", F.lit(False)).withColumn(
+        "_loaded_at", F.lit("2024-02-01").cast("timestamp"))
+
+
+@pytest.fixture()
+def events(spark, tmpdir_path):
+    rows = spark.range(10).select(F.format_string("c%03d", "id").alias("customer_id"), F.lit("tier_upgrade").alias("event_type"),
+                                  F.lit("Gold").alias("new_tier"), F.lit("2023-11-20").cast("date").alias("event_date"))
+    return stored(rows, tmpdir_path, "events")
+
+
 def test_dedup(customers):
     assert broadcasts(dedup.matching_groups(customers)[1]) == []
     flags = dedup.dedupe_customers(customers)
@@ -52,3 +65,35 @@ def test_answer_key(spark, tmpdir_path):
 
 def test_rolling(facts):
     assert broadcasts(rolling.rolling_sum_count(facts, "customer_id", "event_timestamp", "amount", "transaction_id", 90, "s", "n")) == []
+
+
+def test_history_and_point_in_time(staged, events, facts, tmpdir_path):
+    history = scd2.tier_history(staged, events, backfill_signup=True)
+    assert broadcasts(history) == []
+    assert broadcasts(history_state.cut(staged, events, 4)) == []
+    dim = stored(marts.dim_customer(staged, history, "2024-02-02"), tmpdir_path, "dim")
+    assert broadcasts(marts.dim_customer(staged, history, "2024-02-02")) == []
+    for closed in ("left", "both"):
+        joined = scd2.point_in_time_join(facts, dim, "customer_id", "event_timestamp", marts.VERSION_ATTRS, closed)
+        assert broadcasts(joined) == [] and joined.count() == 60
+
+
+def test_models(staged, facts, spark, tmpdir_path):
+    rolled = facts.withColumn("rolling_90d_spend", F.col("amount")).withColumn("rolling_90d_txn_count", F.lit(1)).withColumn(
+        "_loaded_at", F.lit("2024-02-01").cast("timestamp"))
+    assert broadcasts(intermediate.int_customer_transactions(rolled, staged)) == []
+    dim = staged.select("customer_id", "loyalty_tier", F.lit("new").alias("customer_segment"), "state", "signup_date",
+                        "is_likely_duplicate", F.lit(True).alias("is_current"))
+    support = stored(spark.createDataFrame([("k1", "c001", "billing", 3)], "ticket_id string, customer_id string, category string, resolution_hours int"),
+                     tmpdir_path, "support")
+    features = marts.feature_store_customer(dim, facts, support, "2024-02-02", "2024-02-02 06:00:00")
+    assert broadcasts(features) == [] and features.count() == 40
+
+
+def test_merge(facts):
+    part = incremental.PERIOD_COLUMNS["month"]
+    dated = facts.withColumn(part, incremental.period_of(F.col("event_timestamp"), "month"))
+    batch = dated.filter("transaction_id > 't40'")
+    assert broadcasts(incremental.merge_by_key(dated, batch, "transaction_id")) == []
+    content, _ = incremental.rewrite_partitions(dated, batch, "transaction_id", part)
+    assert broadcasts(content) == [] and incremental.merge_by_key(dated, batch, "transaction_id").count() == 60
